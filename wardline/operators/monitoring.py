@@ -28,6 +28,7 @@ from wardline.functions.expressions import (
 )
 from wardline.functions.quantiles import exact_quantiles
 from wardline.functions.running import one_row, previous_value, running_totals
+from wardline.operators.scoring import attribution
 from wardline.schema import DISPLAY_TIME_ZONE, INCOMPLETE, UNPARSEABLE
 
 
@@ -158,13 +159,8 @@ def recall_by_type(det: DataFrame) -> DataFrame:
 
 
 def precision_by_type(det: DataFrame) -> DataFrame:
-    claims = det.select("label", F.explode("matched_attack_types").alias("attack_type"))
     return (
-        claims.groupBy("attack_type")
-        .agg(
-            F.count(F.lit(1)).alias("times_claimed"),
-            count_where(F.col("label") == F.col("attack_type")).alias("correct"),
-        )
+        attribution(det, claims_name="times_claimed")
         .withColumn("precision_pct", F.round(100 * ratio(F.col("correct"), F.col("times_claimed")), 1))
         .orderBy("precision_pct", "attack_type")
     )

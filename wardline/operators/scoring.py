@@ -25,6 +25,15 @@ from wardline.functions.running import one_row
 from wardline.schema import LATENCY_TARGET_SECONDS, NORMAL_LABEL
 
 
+def _combinations(det: DataFrame, claimed: str = "matched_attack_types") -> DataFrame:
+    """Stored rows counted per (label, claims, flagged).
+
+    There are few such combinations however many rows there are, so whatever
+    fans claims out to one row each runs on this instead of on the rows.
+    """
+    return det.groupBy("label", claimed, "is_detection").agg(F.count(F.lit(1)).alias("_rows"))
+
+
 def outcome_per_label(det: DataFrame) -> DataFrame:
     return (
         det.groupBy("label")
@@ -36,15 +45,17 @@ def outcome_per_label(det: DataFrame) -> DataFrame:
     )
 
 
-def attribution(det: DataFrame) -> DataFrame:
+def attribution(
+    det: DataFrame, claims_name: str = "predicted", correct_name: str = "correct"
+) -> DataFrame:
     """Per claimed type: how often the rules claimed it, how often rightly."""
-    claims = det.select("label", F.explode("matched_attack_types").alias("attack_type"))
+    claims = _combinations(det).select(
+        "label", "_rows", F.explode("matched_attack_types").alias("attack_type")
+    )
+    right = F.when(F.col("label") == F.col("attack_type"), F.col("_rows"))
     return (
         claims.groupBy("attack_type")
-        .agg(
-            F.count(F.lit(1)).alias("predicted"),
-            count_where(F.col("label") == F.col("attack_type")).alias("correct"),
-        )
+        .agg(total(F.col("_rows")).alias(claims_name), total(right).alias(correct_name))
         .orderBy("attack_type")
     )
 
@@ -157,19 +168,27 @@ def malformed_rate(counts: DataFrame) -> DataFrame:
 def _label_tallies(det: DataFrame, counts: DataFrame) -> DataFrame:
     """Stored outcome, claims and traffic side by side, one row per label.
 
-    The three label-keyed aggregates are stacked and folded once, which equals
-    a full outer join of all three.
+    Equal to a full outer join of the three label-keyed aggregates, but read
+    in one pass over each table: a combination of stored rows contributes one
+    entry for its own label and one for every type it claims.
     """
-    outcome = det.groupBy("label").agg(
-        F.count(F.lit(1)).alias("stored"), count_where(F.col("is_detection")).alias("caught")
-    )
-    claims = attribution(det).withColumnRenamed("attack_type", "label")
-    traffic = counts.where(is_real_traffic()).groupBy("label").agg(
-        total(F.col("record_count")).alias("traffic")
+    rows, none = F.col("_rows"), F.lit(None).cast("bigint")
+
+    def entry(label, stored, caught, predicted, correct):
+        return F.struct(
+            label.alias("label"), stored.alias("stored"), caught.alias("caught"),
+            predicted.alias("predicted"), correct.alias("correct"),
+        )
+
+    own = entry(F.col("label"), rows, F.when(F.col("is_detection"), rows).otherwise(0), none, none)
+    claimed = F.transform(
+        "matched_attack_types",
+        lambda t: entry(t, none, none, rows, F.when(t == F.col("label"), rows).otherwise(0)),
     )
+    stored = _combinations(det).select(F.inline(F.concat(F.array(own), claimed)))
+    traffic = counts.where(is_real_traffic()).select("label", F.col("record_count").alias("traffic"))
     return (
-        outcome.unionByName(claims, allowMissingColumns=True)
-        .unionByName(traffic, allowMissingColumns=True)
+        stored.unionByName(traffic, allowMissingColumns=True)
         .groupBy("label")
         .agg(*[F.sum(c).alias(c) for c in ("stored", "caught", "predicted", "correct", "traffic")])
     )
@@ -265,10 +284,10 @@ def false_positives_by_rule(det: DataFrame, counts: DataFrame) -> DataFrame:
         counts.where(is_normal()).agg(total(F.col("record_count")).alias("n")).scalar()
     )
     return (
-        det.where(is_normal())
-        .select(F.explode("matched_rule_ids").alias("rule_id"))
+        _combinations(det.where(is_normal()), "matched_rule_ids")
+        .select("_rows", F.explode("matched_rule_ids").alias("rule_id"))
         .groupBy("rule_id")
-        .agg(F.count(F.lit(1)).alias("false_positives"))
+        .agg(total(F.col("_rows")).alias("false_positives"))
         .withColumn("rate", ratio(F.col("false_positives"), normal_total))
         .orderBy(F.desc("false_positives"), "rule_id")
     )

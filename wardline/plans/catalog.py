@@ -21,11 +21,18 @@ from wardline.operators import decode, monitoring, prepare, scoring
 from wardline.operators.rules import evaluate
 from wardline.operators.shipped_rules import shipped_rules
 from wardline.plans import rulesets
-from wardline.schema import COUNT_LABEL_COLUMN, RECORD_FIELDS, STATUS_COLUMN, VERDICT_FIELDS
+from wardline.schema import (
+    COUNT_LABEL_COLUMN,
+    COUNTS_SCHEMA,
+    RECORD_FIELDS,
+    STATUS_COLUMN,
+    VERDICT_FIELDS,
+    detections_schema,
+)
 from wardline.session import prepare_session, shared_dir
 from wardline.sources import adapters
 from wardline.sources.messages import file_stream
-from wardline.sources.tables import read_table
+from wardline.sources.tables import read_table, state_of
 from wardline.streaming.job import run_available, run_id_of
 from wardline.streaming.progress import caught_up_without_data, progress_table
 from wardline.streaming.report import export_report
@@ -74,13 +81,22 @@ class Views:
         return evaluate(self.parsed, shipped_rules())
 
     @cached_property
-    def det(self) -> DataFrame:
-        """Detections of all micro-batches, through the whole message path."""
-        return prepare.detections(self.judged, F.col("batch_id"), F.col("processed_at"))
+    def prepared(self) -> tuple[DataFrame, DataFrame]:
+        """Both tables of all micro-batches as plans over the messages."""
+        at = F.col("batch_id"), F.col("processed_at")
+        return prepare.detections(self.judged, *at), prepare.traffic_counts(self.parsed, *at)
 
     @cached_property
+    def stored(self) -> tuple[DataFrame, DataFrame]:
+        return stored_tables(self)
+
+    @property
+    def det(self) -> DataFrame:
+        return self.stored[0]
+
+    @property
     def counts(self) -> DataFrame:
-        return prepare.traffic_counts(self.parsed, F.col("batch_id"), F.col("processed_at"))
+        return self.stored[1]
 
     @property
     def now(self) -> Column:
@@ -88,6 +104,32 @@ class Views:
         return self.events.agg(F.max("processed_at").alias("t")).scalar()
 
 
+#: Folders of stored tables, by session, data folder and state of its events.
+_STORED: dict[tuple, str] = {}
+
+
+def stored_tables(v: Views) -> tuple[DataFrame, DataFrame]:
+    """The two tables as a deployment has them: written once, then queried.
+
+    Scoring and monitoring never go back to the raw messages.  The first query
+    on a data folder runs the ingest and writes both tables to the shared
+    folder; later ones, and tasks rerun after an executor loss, read them.
+    """
+    key = (v.spark.sparkContext.applicationId, v.directory, *state_of(v.spark, v.directory, "events"))
+    folder = _STORED.get(key)
+    if folder is None:
+        folder = shared_dir(v.spark, "tables")
+        det, counts = v.prepared
+        prepare.sort_for_storage(det).write.parquet(f"{folder}/detections")
+        counts.write.parquet(f"{folder}/traffic_counts")
+        _STORED[key] = folder
+    read = v.spark.read
+    return (
+        read.schema(detections_schema()).parquet(f"{folder}/detections"),
+        read.schema(COUNTS_SCHEMA).parquet(f"{folder}/traffic_counts"),
+    )
+
+
 def rounded(df: DataFrame, *names: str, places: int = 6) -> DataFrame:
     return df.withColumns({name: F.round(name, places) for name in names})
 
@@ -175,7 +217,7 @@ def fields_present(v: Views) -> DataFrame:
 
 
 def latency_stamp(v: Views) -> DataFrame:
-    return texts(v.det.select("timestamp", "batch_id", "processed_at", "latency_seconds"), "processed_at")
+    return texts(v.prepared[0].select("timestamp", "batch_id", "processed_at", "latency_seconds"), "processed_at")
 
 
 def verdicts(v: Views) -> DataFrame:
@@ -357,8 +399,8 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     # decoding and preparation
     "parse_classify": parse_classify,
     "fields_present": fields_present,
-    "counts_per_batch": lambda v: texts(v.counts, "batch_time"),
-    "detections": lambda v: texts(lists(v.det), "processed_at"),
+    "counts_per_batch": lambda v: texts(v.prepared[1], "batch_time"),
+    "detections": lambda v: texts(lists(v.prepared[0]), "processed_at"),
     "latency_stamp": latency_stamp,
     # scoring
     "outcome_per_label": lambda v: scoring.outcome_per_label(v.det),

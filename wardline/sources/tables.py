@@ -10,6 +10,14 @@ def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
 
 
+def state_of(spark: SparkSession, directory: str, name: str) -> tuple[int, int, int]:
+    """Bytes, files and modification time of a table, to notice a rewrite."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{directory.rstrip('/')}/{name}.parquet")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    summary = files.getContentSummary(path)
+    return summary.getLength(), summary.getFileCount(), files.getFileStatus(path).getModificationTime()
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give expensive row work as many partitions as there are cores.
 
