@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +38,7 @@ def decode(
 
 def fields_present(schema: StructType = RECORD_SCHEMA) -> Column:
     """How many record fields of a row are not null."""
-    return reduce(add, [F.col(f"`{name}`").isNotNull().cast("int") for name in schema.fieldNames()])
+    return F.expr(" + ".join(f"int(`{name}` IS NOT NULL)" for name in schema.fieldNames()))
 
 
 def status(
@@ -53,7 +51,7 @@ def status(
     such rows also lack every required field.
     """
     nothing = fields_present(schema) == 0
-    lacking = reduce(or_, [F.col(f"`{name}`").isNull() for name in required])
+    lacking = F.expr(" OR ".join(f"`{name}` IS NULL" for name in required))
     return F.when(nothing, UNPARSEABLE).when(lacking, INCOMPLETE).otherwise(VALID)
 
 

@@ -38,7 +38,7 @@ def detections(
     columns when many batches are prepared in a single job.
     """
     return worth_storing(df).select(
-        *[F.col(f"`{name}`") for name in schema.fieldNames()],
+        *[f"`{name}`" for name in schema.fieldNames()],
         *VERDICT_FIELDS,
         batch_id.cast("bigint").alias("batch_id"),
         processed_at.alias("processed_at"),

@@ -18,6 +18,9 @@ RECOMMENDED_CONF = {
     # A wide record makes generated methods longer than the JVM is willing to
     # compile; beyond this size Spark then prefers its split, compilable form.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Recording the Python call site of every column operation takes longer
+    # than planning these queries does.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

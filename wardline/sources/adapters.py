@@ -190,9 +190,9 @@ def record_view(events: DataFrame) -> DataFrame:
         .otherwise(NORMAL_LABEL)
         .alias("label"),
     )
-    return base.select(
+    return base.selectExpr(
         "event_id", "batch_id", "processed_at",
-        *[F.expr(record_expression(name)).alias(name) for name in RECORD_FIELDS],
+        *[f"{record_expression(name)} AS `{name}`" for name in RECORD_FIELDS],
     )
 
 
@@ -205,9 +205,9 @@ def message_view(events: DataFrame, keep: Sequence[str] = ("event_id", "batch_id
     """Records as JSON text in a ``value`` column, with transport faults."""
     records = record_view(spread(events))
     event_id = F.col("event_id")
-    fields = [F.col(f"`{name}`") for name in RECORD_FIELDS if name != "label"]
-    label = F.when(event_id % UNLABELLED_EVERY != 0, F.col("label")).alias("label")
-    text = F.to_json(F.struct(*fields, label))
+    fields = ", ".join(f"`{name}`" for name in RECORD_FIELDS if name != "label")
+    label = f"CASE WHEN event_id % {UNLABELLED_EVERY} <> 0 THEN label END AS label"
+    text = F.expr(f"to_json(struct({fields}, {label}))")
     text = F.when(
         event_id % MISTYPED_EVERY == 0,
         F.regexp_replace(text, '"count":[0-9]+', '"count":"many"'),
