@@ -42,9 +42,10 @@ def exact_quantiles(
     ``quantiles`` maps output column names to probabilities; the group keys are
     kept.  Null values are ignored and NaN sorts last, as in ``percentile``.
     """
-    keys = [f"_key{i}" for i in range(len(by))]
+    # one struct key: equal also where parts of it are null
+    keys = ["_key"] if by else []
     measured = df.select(
-        *[F.col(name).alias(key) for name, key in zip(by, keys)], F.col(value).alias("_value")
+        *[F.struct(*by).alias(key) for key in keys], F.col(value).alias("_value")
     ).where(F.col("_value").isNotNull())
     bucket = F.when(F.isnan("_value"), F.lit(_LAST_BUCKET)).otherwise(
         F.floor(F.col("_value") / F.lit(bucket_width))
@@ -76,18 +77,8 @@ def exact_quantiles(
     )
     chosen = buckets.where(wanted).select(*keys, "_bucket", "_start", "_size")
 
-    left, right = tally.alias("t"), chosen.alias("c")
-    same = reduce(
-        lambda a, b: a & b,
-        [F.col(f"t.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys],
-        F.col("t._bucket") == F.col("c._bucket"),
-    )
     ranked = (
-        left.join(right, same)
-        .select(
-            *[F.col(f"t.{k}").alias(k) for k in keys],
-            "t._bucket", "t._value", "t._n", "c._start", "c._size",
-        )
+        tally.join(chosen, [*keys, "_bucket"])
         .withColumn(
             "_end",
             F.col("_start")
@@ -109,4 +100,4 @@ def exact_quantiles(
         results.append(
             F.when(low == high, low).otherwise(low * (1 - weight) + high * weight).alias(name)
         )
-    return picked.select(*[F.col(k).alias(name) for k, name in zip(keys, by)], *results)
+    return picked.select(*[f"_key.{name}" for name in by], *results)

@@ -211,7 +211,7 @@ def throughput(
     )
 
 
-def event_time_formats(df: DataFrame, zone: str = DISPLAY_TIME_ZONE) -> list[Column]:
+def event_time_formats(zone: str = DISPLAY_TIME_ZONE) -> list[Column]:
     """The three display formats of a record's event time."""
     return [
         display_time(event_instant(), MINUTE_FORMAT, zone).alias("minute_text"),

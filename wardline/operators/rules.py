@@ -213,21 +213,28 @@ def load_rules(
 
 # --- compilation ------------------------------------------------------------
 
-def rule_predicate(rule: Rule) -> Column:
-    """True where every condition holds.
+def _all_conditions(rule: Rule) -> Column:
+    """True where every condition holds; false or null elsewhere.
 
     A null feature makes its comparison null, never true, and an AND with a
-    null in it is never true either; the coalesce turns that into "no match".
+    null in it is never true either.
     """
-    tests = [OPERATORS[c.op].build(F.col(f"`{c.field}`"), c.value) for c in rule.conditions]
-    return F.coalesce(reduce(and_, tests), F.lit(False))
+    return reduce(
+        and_, [OPERATORS[c.op].build(F.col(f"`{c.field}`"), c.value) for c in rule.conditions]
+    )
+
+
+def rule_predicate(rule: Rule) -> Column:
+    """One rule as a never-null boolean: a null feature does not match."""
+    return F.coalesce(_all_conditions(rule), F.lit(False))
 
 
 def _hit_masks(rules: Sequence[Rule]) -> list[Column]:
     masks = []
     for start in range(0, len(rules), MASK_BITS):
         bits = [
-            F.when(rule_predicate(rule), F.lit(1 << i).cast("bigint")).otherwise(
+            # the ELSE branch also takes the null predicates of null features
+            F.when(_all_conditions(rule), F.lit(1 << i).cast("bigint")).otherwise(
                 F.lit(0).cast("bigint")
             )
             for i, rule in enumerate(rules[start : start + MASK_BITS])
@@ -255,12 +262,19 @@ def _read_masks(rules: Sequence[Rule], masks: Sequence[Column]) -> dict[str, Col
 
     hit = reduce(or_, [mask != 0 for mask in masks])
 
-    # Dropping nulls with array_except also drops repeats and keeps first
-    # occurrences in rule order.  Unlike a lambda filter it is code-generated.
     def named(names: Sequence[str]) -> Column:
-        slots = [F.when(any_of([i]), F.lit(name)) for i, name in enumerate(names)]
-        present = F.array_except(F.array(*slots), F.array(F.lit(None).cast("string")))
-        return F.when(hit, present).otherwise(nothing)
+        """Names of the matched rules in rule order, each name once.
+
+        A rule adds its name unless an earlier match has already done so, so
+        no pass over the finished array is needed to drop repeats.
+        """
+        parts, bearers = [], {}
+        for i, name in enumerate(names):
+            earlier = bearers.setdefault(name, [])
+            adds = any_of([i]) & ~any_of(earlier) if earlier else any_of([i])
+            parts.append(F.when(adds, F.array(F.lit(name))).otherwise(nothing))
+            earlier.append(i)
+        return F.when(hit, F.concat(*parts)).otherwise(nothing)
 
     severity = F.lit(None).cast("string")
     for level in SEVERITIES:

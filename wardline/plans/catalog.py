@@ -59,13 +59,12 @@ class Views:
     def judged_events(self) -> DataFrame:
         return evaluate(self.events, rulesets.event_rules())
 
-    @cached_property
-    def records(self) -> DataFrame:
-        return adapters.record_view(self.table("events"))
-
     @cached_property
     def judged_records(self) -> DataFrame:
-        return evaluate(self.records, shipped_rules())
+        """Typed records with verdicts, without the way through messages."""
+        rules = shipped_rules()
+        read = sorted({c.field for rule in rules for c in rule.conditions})
+        return evaluate(adapters.record_view(self.table("events"), [*read, "timestamp", "label"]), rules)
 
     @cached_property
     def messages(self) -> DataFrame:
@@ -146,10 +145,11 @@ def lists(df: DataFrame) -> DataFrame:
 # --- rules ------------------------------------------------------------------
 
 def _rule_hits(judged: DataFrame) -> DataFrame:
+    sets = judged.groupBy("matched_rule_ids").agg(F.count(F.lit(1)).alias("rows"))
     return (
-        judged.select(F.explode("matched_rule_ids").alias("rule_id"))
+        sets.select("rows", F.explode("matched_rule_ids").alias("rule_id"))
         .groupBy("rule_id")
-        .agg(F.count(F.lit(1)).alias("matches"))
+        .agg(F.sum("rows").alias("matches"))
     )
 
 
@@ -228,7 +228,8 @@ def verdicts(v: Views) -> DataFrame:
 
 
 def event_time_format(v: Views) -> DataFrame:
-    return v.records.select("event_id", *monitoring.event_time_formats(v.records))
+    records = adapters.record_view(v.table("events"), ["timestamp"])
+    return records.select("event_id", *monitoring.event_time_formats())
 
 
 # --- monitoring -------------------------------------------------------------
@@ -280,9 +281,10 @@ def batch_cost_fit(v: Views) -> DataFrame:
 
 def run_compare(v: Views) -> DataFrame:
     """Scored straight from typed records, against scored through messages."""
-    at = F.col("batch_id"), F.col("processed_at")
+    records = v.judged_records
     direct = scoring.long_metrics(
-        prepare.detections(v.judged_records, *at), prepare.traffic_counts(v.records, *at)
+        prepare.worth_storing(records),
+        prepare.traffic_counts(records, F.col("batch_id"), F.col("processed_at")),
     )
     return rounded(
         scoring.run_compare(direct, scoring.long_metrics(v.det, v.counts)),

@@ -177,8 +177,12 @@ def event_view(events: DataFrame) -> DataFrame:
     )
 
 
-def record_view(events: DataFrame) -> DataFrame:
-    """Events as connection records: one in twenty an attack, six kinds in turn."""
+def record_view(events: DataFrame, fields: Sequence[str] = RECORD_FIELDS) -> DataFrame:
+    """Events as connection records: one in twenty an attack, six kinds in turn.
+
+    The record goes through ``inline`` so that a filter on its fields does not
+    repeat their expressions; name the ``fields`` needed, as nothing prunes them.
+    """
     kinds = F.array(*[F.lit(name) for name in ATTACK_TYPES])
     turn = F.floor(F.col("event_id") / 20) % len(ATTACK_TYPES)
     base = event_view(events).select(
@@ -190,10 +194,8 @@ def record_view(events: DataFrame) -> DataFrame:
         .otherwise(NORMAL_LABEL)
         .alias("label"),
     )
-    return base.selectExpr(
-        "event_id", "batch_id", "processed_at",
-        *[f"{record_expression(name)} AS `{name}`" for name in RECORD_FIELDS],
-    )
+    record = ", ".join(f"{record_expression(name)} AS `{name}`" for name in fields)
+    return base.selectExpr("event_id", "batch_id", "processed_at", f"inline(array(struct({record})))")
 
 
 #: Faults by event id: every 97th message is cut short, every 89th of the
