@@ -116,7 +116,8 @@ class Store:
         if not complete_only:
             return stored
         complete = self.counts().select("run_id", "batch_id").distinct()
-        return stored.join(complete, ["run_id", "batch_id"], "left_semi")
+        whole = stored.join(complete, ["run_id", "batch_id"], "left_semi")
+        return whole.select(*stored.columns)
 
     # --- writing ---
 
