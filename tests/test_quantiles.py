@@ -29,9 +29,9 @@ def test_matches_numpy(spark):
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.floats(-1000, 1000, allow_nan=False), min_size=1, max_size=40), st.sampled_from([0.01, 1.0, 500.0]))
-def test_any_values_and_widths(spark, values, width):
-    assert one(spark, values, bucket_width=width) == expected(values)
+@given(st.lists(st.floats(-1000, 1000, allow_nan=False), min_size=1, max_size=40), st.sampled_from([(0.01,), (1.0, 0.5), (500.0, 7.0, 0.1)]))
+def test_any_values_and_widths(spark, values, widths):
+    assert one(spark, values, widths=widths) == expected(values)
 
 
 def test_one_value_holding_most_rows(spark):
@@ -39,6 +39,11 @@ def test_one_value_holding_most_rows(spark):
     assert one(spark, values) == expected(values)
 
 
+def test_values_far_apart(spark):
+    values = [1e9 + i * 1e-3 for i in range(2000)] + [i * 1e-6 for i in range(2000)] + [-5e8]
+    assert one(spark, values) == expected(values)
+
+
 def test_nulls_are_ignored_and_nan_sorts_last(spark):
     assert one(spark, [1.0, None, 3.0])[1] == 2.0
     low, mid, *_, top = one(spark, [1.0, 2.0, float("nan")])

@@ -1,17 +1,18 @@
 """Exact quantiles whose tasks stay small however large or skewed the group is.
 
 Spark's own ``percentile`` keeps one map of every distinct value of a group in
-a single task.  Here a group is cut into fixed-width value buckets instead:
-
-1. rows collapse to (group, bucket, value) counts - ties, however many, become
-   one row before the shuffle, and no key but the full triple is hashed on;
-2. those collapse to one count per bucket, and a running sum over the buckets
-   tells which buckets hold the wanted ranks;
-3. only the values of those few buckets are ranked one by one.
-
-A window partition therefore holds either the buckets of one group (value
-range / width) or the distinct values of one bucket (width / resolution),
-never the rows of a group.
+a single task.  Here the wanted ranks are found by zooming in:
+
+1. rows collapse to (group, value) counts - ties, however many, become one row
+   before the shuffle, and it hashes on the value too, so no group is hot;
+2. the counts are summed per coarse bucket of values, a running sum over the
+   buckets of a group tells which of them hold the wanted ranks, and the values
+   of just those go on to the next, finer buckets;
+3. after the last bucket width the remaining values are ranked one by one.
+
+A window partition holds the coarse buckets of one group, the fine buckets of
+one coarse bucket, or the distinct values of one fine bucket.  All three are
+bounded by value range, width ratio and value resolution - not by rows.
 """
 
 from __future__ import annotations
@@ -23,11 +24,18 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: 2^-4 s.  At the microsecond resolution of timestamps a bucket has at most
-#: some 10^5 distinct values, and a day of latencies has 1.4 million buckets.
-DEFAULT_BUCKET_WIDTH = 0.0625
+#: For seconds: 64 s, then 1/1024 s.  A year of latencies has half a million
+#: coarse buckets, a coarse bucket 65,536 fine ones, and a fine one, at the
+#: resolution of epoch seconds in a double, some 4,000 distinct values.
+DEFAULT_WIDTHS = (64.0, 2.0**-10)
+
+_NAN_BUCKET = 2**63 - 1
 
-_LAST_BUCKET = 2**63 - 1
+
+def _bucket(width: float) -> Column:
+    """Bucket number of a value, in value order; NaN comes last."""
+    number = F.floor(F.col("_value") / F.lit(width))
+    return F.when(F.isnan("_value"), F.lit(_NAN_BUCKET)).otherwise(number)
 
 
 def exact_quantiles(
@@ -35,36 +43,23 @@ def exact_quantiles(
     value: str,
     quantiles: Mapping[str, float],
     by: Sequence[str] = (),
-    bucket_width: float = DEFAULT_BUCKET_WIDTH,
+    widths: Sequence[float] = DEFAULT_WIDTHS,
 ) -> DataFrame:
     """One row per group with linearly interpolated quantiles.
 
     ``quantiles`` maps output column names to probabilities; the group keys are
     kept.  Null values are ignored and NaN sorts last, as in ``percentile``.
+    ``widths`` are the bucket widths, coarse to fine, and only affect speed.
     """
     # one struct key: equal also where parts of it are null
     keys = ["_key"] if by else []
-    measured = df.select(
-        *[F.struct(*by).alias(key) for key in keys], F.col(value).alias("_value")
-    ).where(F.col("_value").isNotNull())
-    bucket = F.when(F.isnan("_value"), F.lit(_LAST_BUCKET)).otherwise(
-        F.floor(F.col("_value") / F.lit(bucket_width))
-    )
     tally = (
-        measured.withColumn("_bucket", bucket)
-        .groupBy(*keys, "_bucket", "_value")
+        df.select(*[F.struct(*by).alias(k) for k in keys], F.col(value).alias("_value"))
+        .where(F.col("_value").isNotNull())
+        .groupBy(*keys, "_value")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
 
-    group = Window.partitionBy(*keys)
-    buckets = (
-        tally.groupBy(*keys, "_bucket")
-        .agg(F.sum("_n").alias("_in_bucket"))
-        .withColumn("_end", F.sum("_in_bucket").over(group.orderBy("_bucket")))
-        .withColumn("_start", F.col("_end") - F.col("_in_bucket"))
-        .withColumn("_size", F.sum("_in_bucket").over(group))
-    )
-
     def position(p: float) -> Column:
         return F.lit(float(p)) * (F.col("_size") - 1)
 
@@ -75,17 +70,30 @@ def exact_quantiles(
         or_,
         [holds(edge(position(p))) for p in quantiles.values() for edge in (F.floor, F.ceil)],
     )
-    chosen = buckets.where(wanted).select(*keys, "_bucket", "_start", "_size")
-
-    ranked = (
-        tally.join(chosen, [*keys, "_bucket"])
-        .withColumn(
-            "_end",
-            F.col("_start")
-            + F.sum("_n").over(Window.partitionBy(*keys, "_bucket").orderBy("_value")),
+
+    def placed(pieces: DataFrame, inside: Sequence[str], order: str, known: bool) -> DataFrame:
+        """Ranks [_start, _end) of each piece, counted on from its parent's."""
+        parent = Window.partitionBy(*inside)
+        upto = F.sum("_n").over(parent.orderBy(order))
+        size = F.col("_size") if known else F.sum("_n").over(parent)
+        base = F.col("_base") if known else F.lit(0)
+        return pieces.select(
+            *inside, order, size.alias("_size"),
+            (base + upto - F.col("_n")).alias("_start"), (base + upto).alias("_end"),
         )
-        .withColumn("_start", F.col("_end") - F.col("_n"))
-    )
+
+    inside, candidates = list(keys), tally
+    for level, width in enumerate(widths):
+        name, known = f"_bucket{level}", level > 0
+        candidates = candidates.withColumn(name, _bucket(width))
+        carried = [F.first(c).alias(c) for c in ("_size", "_base") if known]
+        pieces = candidates.groupBy(*inside, name).agg(F.sum("_n").alias("_n"), *carried)
+        chosen = placed(pieces, inside, name, known).where(wanted)
+        inside = [*inside, name]
+        candidates = candidates.select(*inside, "_value", "_n").join(
+            chosen.select(*inside, "_size", F.col("_start").alias("_base")), inside
+        )
+    ranked = placed(candidates, inside, "_value", known=True)
 
     picks = []
     for i, p in enumerate(quantiles.values()):
