@@ -169,3 +169,14 @@ def test_offline_scores(det):
     assert scores["data_exfiltration"] == pytest.approx(361 / 372)
     assert scoring.offline_fp_rate(det).first()["false_positives"] == 250
     assert scoring.attribution_mismatch(det).first()["mismatches"] == 0
+
+
+def test_long_metrics_agree_with_the_tables(det, counts):
+    long = {(r["metric"], r["label"]): r["value"] for r in scoring.long_metrics(det, counts).collect()}
+    overall = scoring.overall_metrics(det, counts).first()
+    for name in ("precision", "recall", "f1", "false_positive_rate", "accuracy"):
+        assert long.pop((name, "*")) == pytest.approx(overall[name])
+    for r in scoring.label_metrics(det, counts).collect():
+        for name in ("precision", "recall", "f1"):
+            assert long.pop((name, r["label"])) == r[name]
+    assert long == {}

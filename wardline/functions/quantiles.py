@@ -74,7 +74,8 @@ def exact_quantiles(
     def placed(pieces: DataFrame, inside: Sequence[str], order: str, known: bool) -> DataFrame:
         """Ranks [_start, _end) of each piece, counted on from its parent's."""
         parent = Window.partitionBy(*inside)
-        upto = F.sum("_n").over(parent.orderBy(order))
+        so_far = parent.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        upto = F.sum("_n").over(so_far)
         size = F.col("_size") if known else F.sum("_n").over(parent)
         base = F.col("_base") if known else F.lit(0)
         return pieces.select(
@@ -85,7 +86,9 @@ def exact_quantiles(
     inside, candidates = list(keys), tally
     for level, width in enumerate(widths):
         name, known = f"_bucket{level}", level > 0
-        candidates = candidates.withColumn(name, _bucket(width))
+        # The join below would add this filter to its own side only, and the
+        # two uses of the counts could then no longer share one shuffle.
+        candidates = candidates.withColumn(name, _bucket(width)).where(F.col(name).isNotNull())
         carried = [F.first(c).alias(c) for c in ("_size", "_base") if known]
         pieces = candidates.groupBy(*inside, name).agg(F.sum("_n").alias("_n"), *carried)
         chosen = placed(pieces, inside, name, known).where(wanted)

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 DEFAULT_BLOCK = 4096
 
 
-def _block(order_by: str, size: int):
-    return F.floor(F.col(order_by) / F.lit(size))
+def _in_blocks(df: DataFrame, order_by: str, size: int) -> DataFrame:
+    """Rows with their block; filtered here so that both uses share a shuffle."""
+    block = F.floor(F.col(order_by) / F.lit(size))
+    return df.withColumn("_block", block).where(F.col("_block").isNotNull())
 
 
 def running_totals(
@@ -29,7 +31,7 @@ def running_totals(
 
     ``order_by`` is an integer column with one row per value.
     """
-    blocked = df.withColumn("_block", _block(order_by, block_size))
+    blocked = _in_blocks(df, order_by, block_size)
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         blocked.groupBy("_block")
@@ -42,7 +44,11 @@ def running_totals(
             ],
         )
     )
-    within = Window.partitionBy("_block").orderBy(order_by)
+    within = (
+        Window.partitionBy("_block")
+        .orderBy(order_by)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     inner = blocked.select(
         "*", *[F.sum(source).over(within).alias(f"_run_{name}") for name, source in totals.items()]
     )
@@ -59,7 +65,7 @@ def previous_value(
     block_size: int = DEFAULT_BLOCK,
 ) -> DataFrame:
     """Add the next smaller value of ``order_by``, null on the first row."""
-    blocked = df.withColumn("_block", _block(order_by, block_size))
+    blocked = _in_blocks(df, order_by, block_size)
     carried = (
         blocked.groupBy("_block")
         .agg(F.max(order_by).alias("_last"))

@@ -7,7 +7,7 @@ aggregates are stacked and folded instead of cross-joined.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions.expressions import (
@@ -22,7 +22,7 @@ from wardline.functions.expressions import (
 )
 from wardline.functions.quantiles import exact_quantiles
 from wardline.functions.running import one_row
-from wardline.schema import LATENCY_TARGET_SECONDS, NORMAL_LABEL
+from wardline.schema import LATENCY_TARGET_SECONDS
 
 
 def _combinations(det: DataFrame, claimed: str = "matched_attack_types") -> DataFrame:
@@ -194,6 +194,31 @@ def _label_tallies(det: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
+def _is_scored() -> Column:
+    """Classes that get a score: stored attacks, and whatever was claimed."""
+    return (F.col("stored").isNotNull() & is_attack()) | F.col("predicted").isNotNull()
+
+
+def _own_tallies() -> dict[str, Column]:
+    """A class's tallies; stored normal rows are false alarms, not recall."""
+    def of_attack(name: str) -> Column:
+        return F.when(is_normal(), F.lit(0)).otherwise(F.coalesce(name, F.lit(0)))
+
+    return {
+        "stored": of_attack("stored"),
+        "caught": of_attack("caught"),
+        "predicted": F.coalesce("predicted", F.lit(0)),
+        "correct": F.coalesce("correct", F.lit(0)),
+    }
+
+
+def _own_rates() -> dict[str, Column]:
+    tally = _own_tallies()
+    recall = ratio(tally["caught"], tally["stored"])
+    precision = ratio(tally["correct"], tally["predicted"])
+    return {"recall": recall, "precision": precision, "f1": harmonic_mean(precision, recall)}
+
+
 def label_metrics(det: DataFrame, counts: DataFrame) -> DataFrame:
     """Per-class support, outcome, attribution and the rates from them.
 
@@ -201,30 +226,17 @@ def label_metrics(det: DataFrame, counts: DataFrame) -> DataFrame:
     of the class were right; normal rows count against the class they were
     claimed for.  Classes neither stored nor claimed are left out.
     """
-    tallies = _label_tallies(det, counts)
-    normal = F.col("label") == NORMAL_LABEL
-    outcome = {
-        name: F.when(normal, F.lit(0)).otherwise(F.coalesce(name, F.lit(0)))
-        for name in ("stored", "caught")
+    tally = _own_tallies()
+    columns = {
+        "support": F.coalesce("traffic", "stored", F.lit(0)),
+        **tally,
+        "missed": tally["stored"] - tally["caught"],
+        **_own_rates(),
     }
-    listed = (F.col("stored").isNotNull() & ~normal) | F.col("predicted").isNotNull()
-    scored = tallies.where(listed).select(
-        "label",
-        F.coalesce("traffic", "stored", F.lit(0)).alias("support"),
-        outcome["stored"].alias("stored"),
-        outcome["caught"].alias("caught"),
-        F.coalesce("predicted", F.lit(0)).alias("predicted"),
-        F.coalesce("correct", F.lit(0)).alias("correct"),
-    )
     return (
-        scored.withColumns(
-            {
-                "missed": F.col("stored") - F.col("caught"),
-                "recall": ratio(F.col("caught"), F.col("stored")),
-                "precision": ratio(F.col("correct"), F.col("predicted")),
-            }
-        )
-        .withColumn("f1", harmonic_mean(F.col("precision"), F.col("recall")))
+        _label_tallies(det, counts)
+        .where(_is_scored())
+        .select("label", *[column.alias(name) for name, column in columns.items()])
         .orderBy("label")
     )
 
@@ -332,20 +344,48 @@ def table_counts(det: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def long_metrics(det: DataFrame, counts: DataFrame) -> DataFrame:
-    """Headline and per-class rates as (metric, label, value) rows."""
-    def melt(df: DataFrame, label, names: list[str]) -> DataFrame:
-        pairs = [
-            F.struct(F.lit(n).alias("metric"), label.alias("label"), F.col(n).cast("double").alias("value"))
-            for n in names
-        ]
-        return df.select(F.inline(F.array(*pairs)))
+    """Headline and per-class rates as (metric, label, value) rows.
 
-    overall = melt(
-        overall_metrics(det, counts), F.lit("*"),
-        ["precision", "recall", "f1", "false_positive_rate", "accuracy"],
+    The headline (label ``*``) is the rollup of the per-class tallies, so each
+    table is read once for both.
+    """
+    tallies = _label_tallies(det, counts)
+    attack, normal = F.when(is_attack(), 1).otherwise(0), F.when(is_normal(), 1).otherwise(0)
+    stored, caught, traffic = (F.coalesce(c, F.lit(0)) for c in ("stored", "caught", "traffic"))
+    marked = tallies.withColumns(
+        {
+            "tp": attack * caught,
+            "fn": attack * (stored - caught),
+            "fp": normal * stored,
+            "normal_total": normal * traffic,
+            "total_records": traffic,
+            "scored": _is_scored(),
+        }
+    )
+    sums = ["stored", "caught", "predicted", "correct", "traffic", "tp", "fn", "fp",
+            "normal_total", "total_records"]
+    rolled = marked.rollup("label").agg(
+        F.grouping("label").cast("boolean").alias("is_total"),
+        F.max("scored").alias("scored"),
+        *[F.sum(c).alias(c) for c in sums],
+    )
+    rated = with_rates(rolled.withColumn("tn", F.col("normal_total") - F.col("fp"))).where(
+        F.col("is_total") | F.col("scored")
+    )
+    own = _own_rates()
+    pairs = [
+        F.struct(
+            F.lit(name).alias("metric"),
+            F.when(F.col("is_total"), F.lit("*")).otherwise(F.col("label")).alias("label"),
+            F.when(F.col("is_total"), F.col(name)).otherwise(own.get(name)).cast("double").alias("value"),
+        )
+        for name in ("precision", "recall", "f1", "false_positive_rate", "accuracy")
+    ]
+    return (
+        rated.select("is_total", F.inline(F.array(*pairs)))
+        .where(F.col("is_total") | F.col("metric").isin(list(own)))
+        .drop("is_total")
     )
-    labels = melt(label_metrics(det, counts), F.col("label"), ["precision", "recall", "f1"])
-    return overall.unionByName(labels)
 
 
 def run_compare(left: DataFrame, right: DataFrame) -> DataFrame:
