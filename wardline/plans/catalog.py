@@ -11,6 +11,8 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from wardline.functions.expressions import (
     SECOND_FORMAT,
@@ -21,6 +23,7 @@ from wardline.operators import decode, monitoring, prepare, scoring
 from wardline.operators.rules import evaluate
 from wardline.operators.shipped_rules import shipped_rules
 from wardline.plans import rulesets
+from wardline.plans.staging import written_once
 from wardline.schema import (
     COUNT_LABEL_COLUMN,
     COUNTS_SCHEMA,
@@ -32,7 +35,7 @@ from wardline.schema import (
 from wardline.session import prepare_session, shared_dir
 from wardline.sources import adapters
 from wardline.sources.messages import file_stream
-from wardline.sources.tables import read_table, state_of
+from wardline.sources.tables import read_table
 from wardline.streaming.job import run_available, run_id_of
 from wardline.streaming.progress import caught_up_without_data, progress_table
 from wardline.streaming.report import export_report
@@ -42,7 +45,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Views:
-    """The given tables as the views the operators work on; all lazy."""
+    """The given tables as the views the operators work on."""
 
     def __init__(self, spark: SparkSession, directory: str):
         self.spark = prepare_session(spark)
@@ -66,36 +69,41 @@ class Views:
         read = sorted({c.field for rule in rules for c in rule.conditions})
         return evaluate(adapters.record_view(self.table("events"), [*read, "timestamp", "label"]), rules)
 
+    def _written(self, name: str, schema: StructType, build: Callable[[], DataFrame]) -> DataFrame:
+        return written_once(self.spark, self.directory, "events", name, schema, build)
+
     @cached_property
     def messages(self) -> DataFrame:
-        return adapters.message_view(self.table("events"))
+        """Events as JSON messages, laid down like a topic."""
+        return self._written(
+            "messages", adapters.MESSAGE_TABLE, lambda: adapters.message_view(self.table("events"))
+        )
 
     @cached_property
     def parsed(self) -> DataFrame:
-        keep = ("event_id", "batch_id", "processed_at")
-        return decode.parse_messages(self.messages, keep=keep)
+        return decode.parse_messages(self.messages, keep=("event_id", "batch_id", "processed_at"))
 
     @cached_property
     def judged(self) -> DataFrame:
         return evaluate(self.parsed, shipped_rules())
 
-    @cached_property
-    def prepared(self) -> tuple[DataFrame, DataFrame]:
-        """Both tables of all micro-batches as plans over the messages."""
-        at = F.col("batch_id"), F.col("processed_at")
-        return prepare.detections(self.judged, *at), prepare.traffic_counts(self.parsed, *at)
+    def detect(self) -> DataFrame:
+        """Detections of all micro-batches, from the messages."""
+        return prepare.detections(self.judged, F.col("batch_id"), F.col("processed_at"))
 
-    @cached_property
-    def stored(self) -> tuple[DataFrame, DataFrame]:
-        return stored_tables(self)
+    def count(self) -> DataFrame:
+        """Counts of all micro-batches, from the messages."""
+        return prepare.traffic_counts(self.parsed, F.col("batch_id"), F.col("processed_at"))
 
-    @property
+    @cached_property
     def det(self) -> DataFrame:
-        return self.stored[0]
+        return self._written(
+            "detections", detections_schema(), lambda: prepare.sort_for_storage(self.detect())
+        )
 
-    @property
+    @cached_property
     def counts(self) -> DataFrame:
-        return self.stored[1]
+        return self._written("traffic_counts", COUNTS_SCHEMA, self.count)
 
     @property
     def now(self) -> Column:
@@ -103,32 +111,6 @@ class Views:
         return self.events.agg(F.max("processed_at").alias("t")).scalar()
 
 
-#: Folders of stored tables, by session, data folder and state of its events.
-_STORED: dict[tuple, str] = {}
-
-
-def stored_tables(v: Views) -> tuple[DataFrame, DataFrame]:
-    """The two tables as a deployment has them: written once, then queried.
-
-    Scoring and monitoring never go back to the raw messages.  The first query
-    on a data folder runs the ingest and writes both tables to the shared
-    folder; later ones, and tasks rerun after an executor loss, read them.
-    """
-    key = (v.spark.sparkContext.applicationId, v.directory, *state_of(v.spark, v.directory, "events"))
-    folder = _STORED.get(key)
-    if folder is None:
-        folder = shared_dir(v.spark, "tables")
-        det, counts = v.prepared
-        prepare.sort_for_storage(det).write.parquet(f"{folder}/detections")
-        counts.write.parquet(f"{folder}/traffic_counts")
-        _STORED[key] = folder
-    read = v.spark.read
-    return (
-        read.schema(detections_schema()).parquet(f"{folder}/detections"),
-        read.schema(COUNTS_SCHEMA).parquet(f"{folder}/traffic_counts"),
-    )
-
-
 def rounded(df: DataFrame, *names: str, places: int = 6) -> DataFrame:
     return df.withColumns({name: F.round(name, places) for name in names})
 
@@ -217,7 +199,7 @@ def fields_present(v: Views) -> DataFrame:
 
 
 def latency_stamp(v: Views) -> DataFrame:
-    return texts(v.prepared[0].select("timestamp", "batch_id", "processed_at", "latency_seconds"), "processed_at")
+    return texts(v.detect().select("timestamp", "batch_id", "processed_at", "latency_seconds"), "processed_at")
 
 
 def verdicts(v: Views) -> DataFrame:
@@ -354,18 +336,25 @@ def _live(v: Views) -> tuple[str, Store, str]:
     return f"{root}/in", Store(v.spark, f"{root}/store"), f"{root}/checkpoint"
 
 
+def _drain(v: Views, source: str, store: Store, checkpoint: str, max_files: int) -> StreamingQuery:
+    return run_available(
+        file_stream(v.spark, source, max_files=max_files), shipped_rules(), store, checkpoint,
+        decode_partitions=v.spark.sparkContext.defaultParallelism,
+    )
+
+
 def stream_ingest(v: Views) -> DataFrame:
     """What bounded micro-batches counted, malformed messages included."""
     source, store, checkpoint = _live(v)
     _stage(v, source, files=4)
-    run_available(file_stream(v.spark, source, max_files=2), shipped_rules(), store, checkpoint)
+    _drain(v, source, store, checkpoint, max_files=2)
     return store.counts().groupBy("label").agg(F.sum("record_count").alias("record_count"))
 
 
 def stream_detect(v: Views) -> DataFrame:
     source, store, checkpoint = _live(v)
     _stage(v, source, files=4)
-    run_available(file_stream(v.spark, source, max_files=2), shipped_rules(), store, checkpoint)
+    _drain(v, source, store, checkpoint, max_files=2)
     return store.round_trip(run_id_of(v.spark, checkpoint))
 
 
@@ -375,7 +364,7 @@ def stream_resume(v: Views) -> DataFrame:
     early = F.hour("processed_at") < 12
     for part in (v.messages.where(early), v.messages.where(~early)):
         _stage(v, source, 2, part)
-        run_available(file_stream(v.spark, source, max_files=1), shipped_rules(), store, checkpoint)
+        _drain(v, source, store, checkpoint, max_files=1)
     return store.counts().groupBy("label").agg(
         F.count_distinct("run_id").alias("runs"), F.sum("record_count").alias("record_count")
     )
@@ -384,7 +373,7 @@ def stream_resume(v: Views) -> DataFrame:
 def stream_progress(v: Views) -> DataFrame:
     source, store, checkpoint = _live(v)
     _stage(v, source, files=4)
-    query = run_available(file_stream(v.spark, source, max_files=1), shipped_rules(), store, checkpoint)
+    query = _drain(v, source, store, checkpoint, max_files=1)
     progress = progress_table(v.spark, query)
     waiting = caught_up_without_data(progress).select("batch_id", F.lit(True).alias("caught_up"))
     return progress.join(waiting, "batch_id", "left").fillna(False, ["caught_up"])
@@ -401,8 +390,8 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     # decoding and preparation
     "parse_classify": parse_classify,
     "fields_present": fields_present,
-    "counts_per_batch": lambda v: texts(v.prepared[1], "batch_time"),
-    "detections": lambda v: texts(lists(v.prepared[0]), "processed_at"),
+    "counts_per_batch": lambda v: texts(v.count(), "batch_time"),
+    "detections": lambda v: texts(lists(v.detect()), "processed_at"),
     "latency_stamp": latency_stamp,
     # scoring
     "outcome_per_label": lambda v: scoring.outcome_per_label(v.det),

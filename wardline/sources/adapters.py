@@ -18,6 +18,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampType,
 )
 
 from wardline.schema import NORMAL_LABEL, RECORD_FIELDS, RECORD_SCHEMA
@@ -203,7 +204,13 @@ def record_view(events: DataFrame, fields: Sequence[str] = RECORD_FIELDS) -> Dat
 CUT_EVERY, UNLABELLED_EVERY, MISTYPED_EVERY = 97, 89, 83
 
 
-def message_view(events: DataFrame, keep: Sequence[str] = ("event_id", "batch_id", "processed_at")) -> DataFrame:
+MESSAGE_TABLE = StructType([
+    StructField("event_id", LongType()), StructField("batch_id", LongType()),
+    StructField("processed_at", TimestampType()), StructField("value", StringType()),
+])
+
+
+def message_view(events: DataFrame) -> DataFrame:
     """Records as JSON text in a ``value`` column, with transport faults."""
     records = record_view(spread(events))
     event_id = F.col("event_id")
@@ -215,7 +222,7 @@ def message_view(events: DataFrame, keep: Sequence[str] = ("event_id", "batch_id
         F.regexp_replace(text, '"count":[0-9]+', '"count":"many"'),
     ).otherwise(text)
     value = F.when(event_id % CUT_EVERY == 0, F.left(text, F.length(text) - 10)).otherwise(text)
-    return records.select(*keep, value.alias("value"))
+    return records.select("event_id", "batch_id", "processed_at", value.alias("value"))
 
 
 # --- other tables -----------------------------------------------------------

@@ -10,14 +10,24 @@ def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
 
 
+def _file_system(spark: SparkSession, location: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def state_of(spark: SparkSession, directory: str, name: str) -> tuple[int, int, int]:
     """Bytes, files and modification time of a table, to notice a rewrite."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{directory.rstrip('/')}/{name}.parquet")
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    path, files = _file_system(spark, f"{directory.rstrip('/')}/{name}.parquet")
     summary = files.getContentSummary(path)
     return summary.getLength(), summary.getFileCount(), files.getFileStatus(path).getModificationTime()
 
 
+def is_complete(spark: SparkSession, folder: str) -> bool:
+    """Whether a finished write left its mark in the folder."""
+    path, files = _file_system(spark, f"{folder}/_SUCCESS")
+    return files.exists(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give expensive row work as many partitions as there are cores.
 

@@ -44,9 +44,13 @@ def start_detection(
     trigger: str | None = DEFAULT_TRIGGER,
     required: Sequence[str] = REQUIRED_FIELDS,
     reset_first: bool = False,
+    decode_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start the stream; ``trigger=None`` processes what is there and stops.
 
+    ``decode_partitions`` spreads the messages over that many tasks first, for
+    sources that deliver fewer splits than the cluster has cores.
+
     Malformed messages travel along as rows of nulls - no rule can fire on
     them - and are counted with everything else in one aggregation.
     """
@@ -56,10 +60,13 @@ def start_detection(
         store.reset()
     else:
         store.ensure_tables()
-    parsed = parse_messages(messages, store.record_schema, required)
+    if decode_partitions:
+        messages = messages.repartition(decode_partitions)
+    # Rules are part of the stream's own plan: compiled once, not per batch.
+    judged = evaluate(parse_messages(messages, store.record_schema, required), rules)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        totals = store.write_batch(evaluate(batch, rules), batch_id, run_id)
+        totals = store.write_batch(batch, batch_id, run_id)
         broken = totals.unparseable + totals.incomplete
         LOG.log(
             logging.WARNING if broken else logging.INFO,
@@ -67,7 +74,7 @@ def start_detection(
             batch_id, totals.messages, totals.unparseable, totals.incomplete,
         )
 
-    writer = parsed.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    writer = judged.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     if trigger is None:
         writer = writer.trigger(availableNow=True)
     else:
@@ -75,8 +82,10 @@ def start_detection(
     return writer.start()
 
 
-def run_available(messages: DataFrame, rules: Sequence[Rule], store: Store, checkpoint: str) -> StreamingQuery:
+def run_available(
+    messages: DataFrame, rules: Sequence[Rule], store: Store, checkpoint: str, **settings
+) -> StreamingQuery:
     """Process everything available now and return the finished query."""
-    query = start_detection(messages, rules, store, checkpoint, trigger=None)
+    query = start_detection(messages, rules, store, checkpoint, trigger=None, **settings)
     query.awaitTermination()
     return query

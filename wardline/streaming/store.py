@@ -13,7 +13,7 @@ lives of a stream.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -134,7 +134,7 @@ class Store:
         One clock value stamps the whole batch.  Nothing but three sums, taken
         while the counts are written, returns to the driver.
         """
-        clock = now or self.spark.sql("SELECT current_timestamp() AS t").first()["t"]
+        clock = now or datetime.now(timezone.utc)
         stamp, tag = F.lit(clock).cast("timestamp"), F.lit(batch_id)
 
         evaluated.persist(StorageLevel.MEMORY_AND_DISK)
