@@ -57,3 +57,11 @@ def test_foreign_sessions_are_brought_to_utc(spark):
     other = spark.newSession()
     other.conf.set("spark.sql.session.timeZone", "America/New_York")
     assert prepare_session(other).conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_settings_fixed_at_start_are_left_alone(spark, monkeypatch):
+    from wardline import session
+
+    monkeypatch.setitem(session.RECOMMENDED_CONF, "spark.sql.warehouse.dir", "/elsewhere")
+    before = spark.conf.get("spark.sql.warehouse.dir")
+    assert prepare_session(spark).conf.get("spark.sql.warehouse.dir") == before

@@ -46,10 +46,11 @@ def build_session(
 def prepare_session(spark: SparkSession) -> SparkSession:
     """Apply the recommended settings to a session somebody else built.
 
-    Stored times are UTC, so time arithmetic has to run in UTC.
+    Stored times are UTC, so time arithmetic has to run in UTC.  Settings that
+    are fixed once a session exists stay as they are.
     """
     for key, value in RECOMMENDED_CONF.items():
-        if spark.conf.get(key, None) != value:
+        if spark.conf.get(key, None) != value and spark.conf.isModifiable(key):
             spark.conf.set(key, value)
     return spark
 
