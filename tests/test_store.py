@@ -135,6 +135,13 @@ def test_an_empty_batch_stores_nothing(store, three):
     assert totals.messages == 0 and contents(store) == ([], [])
 
 
+def test_bulk_loads_need_no_cache(store, three):
+    store.write_batch(three, 0)
+    with_cache = contents(store)
+    store.write_batch(three, 0, cached=False)
+    assert contents(store) == with_cache
+
+
 def test_cache_is_released(spark, store, three):
     store.write_batch(three, 0)
     assert not three.is_cached

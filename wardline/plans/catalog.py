@@ -284,7 +284,7 @@ def _one_batch(v: Views) -> tuple[Store, DataFrame]:
 
 def sink_roundtrip(v: Views) -> DataFrame:
     store, rows = _one_batch(v)
-    store.write_batch(rows, 0)
+    store.write_batch(rows, 0, cached=False)
     return store.round_trip("main")
 
 
@@ -296,7 +296,7 @@ def _sizes(moment: str, store: Store) -> DataFrame:
 def reset_tables(v: Views) -> DataFrame:
     """Row counts after a reset; the batch before it was the whole data."""
     store, rows = _one_batch(v)
-    store.write_batch(rows, 0)
+    store.write_batch(rows, 0, cached=False)
     store.reset()
     return _sizes("after reset", store)
 
@@ -304,8 +304,8 @@ def reset_tables(v: Views) -> DataFrame:
 def delete_batch(v: Views) -> DataFrame:
     """The whole data stored as two batches, one of them deleted again."""
     store, rows = _one_batch(v)
-    store.write_batch(rows, 0)
-    store.write_batch(rows, 1)
+    store.write_batch(rows, 0, cached=False)
+    store.write_batch(rows, 1, cached=False)
     store.delete_batch(1)
     return store.counts().groupBy("batch_id", "label").agg(
         F.sum("record_count").alias("record_count")
@@ -325,10 +325,8 @@ def report_export(v: Views) -> DataFrame:
     return labels.unionByName(whole)
 
 
-def _stage(v: Views, folder: str, files: int, messages: DataFrame | None = None) -> None:
-    """Write messages as text files, the way a producer leaves them."""
-    rows = v.messages if messages is None else messages
-    rows.select("value").repartition(files).write.mode("append").text(folder)
+#: Most files one micro-batch of a stream query takes.
+MAX_BATCH_FILES = 4096
 
 
 def _live(v: Views) -> tuple[str, Store, str]:
@@ -336,25 +334,34 @@ def _live(v: Views) -> tuple[str, Store, str]:
     return f"{root}/in", Store(v.spark, f"{root}/store"), f"{root}/checkpoint"
 
 
-def _drain(v: Views, source: str, store: Store, checkpoint: str, max_files: int) -> StreamingQuery:
+def _deliver_and_drain(
+    v: Views, messages: DataFrame, source: str, store: Store, checkpoint: str
+) -> StreamingQuery:
+    """Leave messages as text files, one per split, and stream what is new.
+
+    Half of the files make a micro-batch, within a fixed bound; batches
+    with fewer files than cores are spread before they are decoded.
+    """
+    messages.select("value").write.mode("append").option("compression", "gzip").text(source)
+    files = messages.rdd.getNumPartitions()
+    per_batch = min(-(-files // 2), MAX_BATCH_FILES)
+    cores = v.spark.sparkContext.defaultParallelism
     return run_available(
-        file_stream(v.spark, source, max_files=max_files), shipped_rules(), store, checkpoint,
-        decode_partitions=v.spark.sparkContext.defaultParallelism,
+        file_stream(v.spark, source, max_files=per_batch), shipped_rules(), store, checkpoint,
+        decode_partitions=cores if per_batch < cores else None,
     )
 
 
 def stream_ingest(v: Views) -> DataFrame:
     """What bounded micro-batches counted, malformed messages included."""
     source, store, checkpoint = _live(v)
-    _stage(v, source, files=4)
-    _drain(v, source, store, checkpoint, max_files=2)
+    _deliver_and_drain(v, v.messages, source, store, checkpoint)
     return store.counts().groupBy("label").agg(F.sum("record_count").alias("record_count"))
 
 
 def stream_detect(v: Views) -> DataFrame:
     source, store, checkpoint = _live(v)
-    _stage(v, source, files=4)
-    _drain(v, source, store, checkpoint, max_files=2)
+    _deliver_and_drain(v, v.messages, source, store, checkpoint)
     return store.round_trip(run_id_of(v.spark, checkpoint))
 
 
@@ -363,8 +370,7 @@ def stream_resume(v: Views) -> DataFrame:
     source, store, checkpoint = _live(v)
     early = F.hour("processed_at") < 12
     for part in (v.messages.where(early), v.messages.where(~early)):
-        _stage(v, source, 2, part)
-        _drain(v, source, store, checkpoint, max_files=1)
+        _deliver_and_drain(v, part, source, store, checkpoint)
     return store.counts().groupBy("label").agg(
         F.count_distinct("run_id").alias("runs"), F.sum("record_count").alias("record_count")
     )
@@ -372,8 +378,7 @@ def stream_resume(v: Views) -> DataFrame:
 
 def stream_progress(v: Views) -> DataFrame:
     source, store, checkpoint = _live(v)
-    _stage(v, source, files=4)
-    query = _drain(v, source, store, checkpoint, max_files=1)
+    query = _deliver_and_drain(v, v.messages, source, store, checkpoint)
     progress = progress_table(v.spark, query)
     waiting = caught_up_without_data(progress).select("batch_id", F.lit(True).alias("caught_up"))
     return progress.join(waiting, "batch_id", "left").fillna(False, ["caught_up"])

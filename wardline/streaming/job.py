@@ -6,13 +6,13 @@ import logging
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from wardline.operators.decode import parse_messages
 from wardline.operators.rules import Rule, evaluate
 from wardline.schema import REQUIRED_FIELDS
+from wardline.sources.tables import is_complete
 from wardline.streaming.store import Store
 
 LOG = logging.getLogger("wardline")
@@ -28,12 +28,10 @@ def run_id_of(spark: SparkSession, checkpoint: str) -> str:
     cannot overwrite the batches of the previous run.
     """
     path = f"{checkpoint.rstrip('/')}/wardline_run"
-    try:
-        return spark.read.text(path).first()["value"]
-    except AnalysisException:
-        run_id = uuid.uuid4().hex
-        spark.createDataFrame([(run_id,)], "value string").coalesce(1).write.text(path)
-        return run_id
+    if not is_complete(spark, path):
+        fresh = spark.createDataFrame([(uuid.uuid4().hex,)], "value string")
+        fresh.coalesce(1).write.mode("overwrite").text(path)
+    return spark.read.text(path).first()["value"]
 
 
 def start_detection(

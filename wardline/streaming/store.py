@@ -127,17 +127,20 @@ class Store:
         batch_id: int,
         run_id: str = "main",
         now: datetime | None = None,
+        cached: bool = True,
     ) -> BatchTotals:
         """Store one evaluated micro-batch.
 
-        Both tables are fed from one cached evaluation that may spill to disk.
-        One clock value stamps the whole batch.  Nothing but three sums, taken
+        Both tables are fed from one cached evaluation that may spill to disk;
+        a bulk load too large for that is better evaluated once per table
+        (``cached=False``).  One clock value stamps the whole batch.  Nothing but three sums, taken
         while the counts are written, returns to the driver.
         """
         clock = now or datetime.now(timezone.utc)
         stamp, tag = F.lit(clock).cast("timestamp"), F.lit(batch_id)
 
-        evaluated.persist(StorageLevel.MEMORY_AND_DISK)
+        if cached:
+            evaluated.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             rows = detections(evaluated, tag, stamp, self.record_schema).drop("batch_id")
             sort_for_storage(rows).write.mode("overwrite").parquet(
@@ -160,7 +163,8 @@ class Store:
             )
             found = seen.get
         finally:
-            evaluated.unpersist()
+            if cached:
+                evaluated.unpersist()
         unparseable, incomplete = found["unparseable"], found["incomplete"]
         return BatchTotals(found["messages"] - unparseable - incomplete, unparseable, incomplete)
 
