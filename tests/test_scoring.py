@@ -180,3 +180,17 @@ def test_long_metrics_agree_with_the_tables(det, counts):
         for name in ("precision", "recall", "f1"):
             assert long.pop((name, r["label"])) == r[name]
     assert long == {}
+
+
+def test_fanning_claims_out_does_not_evaluate_rules_twice(spark):
+    from conftest import plan_text
+
+    from wardline.operators.rules import evaluate, parse_rules
+
+    rules = parse_rules([{"rule_id": "r", "attack_type": "t", "severity": "low",
+                          "conditions": [{"field": "count", "op": ">=", "value": 123}]}])
+    df = spark.range(9).selectExpr("int(id) AS count", "'normal' AS label", "id AS record_count")
+    judged = evaluate(df, rules)
+    assert plan_text(scoring.attribution(judged)).count(">= 123") == 1
+    assert plan_text(scoring.label_metrics(judged, df)).count(">= 123") == 1
+    assert plan_text(scoring.false_positives_by_rule(judged, df)).count(">= 123") == 1

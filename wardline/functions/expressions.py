@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.schema import DISPLAY_TIME_ZONE, INCOMPLETE, NORMAL_LABEL, UNPARSEABLE
@@ -81,6 +81,16 @@ def failure_kind(label: str = "label") -> Column:
     )
 
 
+def each_of(df: DataFrame, array_column: str, name: str, *keep: str) -> DataFrame:
+    """One row per array element; empty arrays give no row.
+
+    A plain explode makes Spark add a "not empty" filter and push it to the
+    scan.  Where the array is computed in the same plan - by rule evaluation -
+    that evaluates every rule a second time for every row.
+    """
+    return df.select(*keep, F.explode_outer(array_column).alias(name)).where(F.col(name).isNotNull())
+
+
 def listed(array_column: str) -> Column:
     return F.array_join(array_column, ", ")
 

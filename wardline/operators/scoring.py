@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions.expressions import (
     count_where,
+    each_of,
     harmonic_mean,
     is_attack,
     is_normal,
@@ -49,9 +50,7 @@ def attribution(
     det: DataFrame, claims_name: str = "predicted", correct_name: str = "correct"
 ) -> DataFrame:
     """Per claimed type: how often the rules claimed it, how often rightly."""
-    claims = _combinations(det).select(
-        "label", "_rows", F.explode("matched_attack_types").alias("attack_type")
-    )
+    claims = each_of(_combinations(det), "matched_attack_types", "attack_type", "label", "_rows")
     right = F.when(F.col("label") == F.col("attack_type"), F.col("_rows"))
     return (
         claims.groupBy("attack_type")
@@ -295,9 +294,9 @@ def false_positives_by_rule(det: DataFrame, counts: DataFrame) -> DataFrame:
     normal_total = (
         counts.where(is_normal()).agg(total(F.col("record_count")).alias("n")).scalar()
     )
+    normal = _combinations(det.where(is_normal()), "matched_rule_ids")
     return (
-        _combinations(det.where(is_normal()), "matched_rule_ids")
-        .select("_rows", F.explode("matched_rule_ids").alias("rule_id"))
+        each_of(normal, "matched_rule_ids", "rule_id", "_rows")
         .groupBy("rule_id")
         .agg(total(F.col("_rows")).alias("false_positives"))
         .withColumn("rate", ratio(F.col("false_positives"), normal_total))

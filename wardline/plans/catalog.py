@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 from wardline.functions.expressions import (
     SECOND_FORMAT,
     count_where,
+    each_of,
     listed,
 )
 from wardline.operators import decode, monitoring, prepare, scoring
@@ -129,7 +130,7 @@ def lists(df: DataFrame) -> DataFrame:
 def _rule_hits(judged: DataFrame) -> DataFrame:
     sets = judged.groupBy("matched_rule_ids").agg(F.count(F.lit(1)).alias("rows"))
     return (
-        sets.select("rows", F.explode("matched_rule_ids").alias("rule_id"))
+        each_of(sets, "matched_rule_ids", "rule_id", "rows")
         .groupBy("rule_id")
         .agg(F.sum("rows").alias("matches"))
     )
