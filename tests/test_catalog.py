@@ -8,9 +8,10 @@ import pytest
 from conftest import DATA, PYTHON_NODES, plan_text
 
 import __spark_entry__ as contract
+from wardline.plans.catalog import registered
+from wardline.plans.oracle import ORACLE
 
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES = registered()
 ROWS_ONLY = {"stream_progress"}
 
 SURVEYED = """
@@ -33,6 +34,7 @@ def duck():
 def test_every_surveyed_operator_has_a_query():
     assert len(SURVEYED) == 55 and set(SURVEYED) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
