@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from wardline.llm import mixing
+from wardline.llm import bpe, langid, mixing
 
 QUERIES = {
+    "op1_language": langid.op1_language,
     "op5_source_mix": mixing.op5_source_mix,
+    "op8_bpe_round_trip": bpe.op8_bpe_round_trip,
 }
 
 ORACLE = {
