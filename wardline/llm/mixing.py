@@ -189,7 +189,7 @@ def mix_sources(docs: DataFrame, schedules: DataFrame | None = None, cap: float
             "doc_id", "text_hash", "source", "size", "source_size", "target", "taken",
             F.col("passes").cast("int").alias("passes"), "position",
         )
-        .orderBy(F.col("position").asc_nulls_last())
+        .orderBy(F.col("position").asc_nulls_last(), "doc_id")
     )
 
 
