@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardline.llm.text import mix
 from wardline.session import shared_dir
 
 #: Bytes of packed keys that one bucket should hold.
@@ -90,3 +91,115 @@ def per_bucket(df: DataFrame, function: Callable[[pa.Table], pa.Table], schema:
 
 def table_of(schema: pa.Schema, **columns) -> pa.Table:
     return pa.table([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
+
+
+def _narrow(keys: np.ndarray, width: int) -> np.ndarray:
+    """The low ``width`` bytes of 64-bit keys."""
+    raw = np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, :width])
+    return raw.view(f"V{width}").ravel()
+
+
+def _widen(raw: np.ndarray, width: int) -> np.ndarray:
+    out = np.zeros((len(raw) // width, 8), dtype=np.uint8)
+    out[:, :width] = raw.reshape(-1, width)
+    return out.view(np.uint64).ravel()
+
+
+#: What a slice tells a bucket: keys it merely has, keys whose owners (row, place) want to
+#: know whether they occur elsewhere, and owners of keys that the slice itself has twice.
+OFFER = "bucket int, plain binary, keys binary, rows binary, ats binary, known_rows binary, known_ats binary"
+_OFFER = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in "plain keys rows ats known_rows known_ats".split())])
+
+
+def _completed(batch: pa.RecordBatch) -> pa.RecordBatch:
+    missing = pa.nulls(batch.num_rows, pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [batch.column(n) if n in batch.schema.names else missing for n in _OFFER.names], schema=_OFFER
+    )
+
+
+def offer(keys: np.ndarray, rows: np.ndarray, ats: np.ndarray, asked: np.ndarray, bits: int, width: int = 8) -> Iterator[pa.RecordBatch]:
+    """Send each distinct key of a slice to its bucket once, however often the slice has it."""
+    distinct, place, counts = np.unique(keys, return_inverse=True, return_counts=True)
+    twice = counts[place] > 1
+    asking, known = asked & ~twice, asked & twice
+    answered = np.ones(len(distinct), dtype=bool)
+    answered[place[asking]] = False
+    plain, top = distinct[answered], np.uint64(64 - bits)
+    parts = [
+        packed(plain >> top, {"plain": _narrow(plain, width)}),
+        packed(keys[asking] >> top, {"keys": _narrow(keys[asking], width), "rows": rows[asking], "ats": ats[asking]}),
+        packed(
+            mix(rows[known].view(np.uint64)) >> top, {"known_rows": rows[known], "known_ats": ats[known]}
+        ),
+    ]
+    for part in parts:
+        yield from map(_completed, part)
+
+
+def answer(table: pa.Table, width: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """In a bucket: owners (rows, places) of the keys that occur more than once in all."""
+    have = lambda name, kind: unpacked(table[name].drop_null(), kind)
+    plain, keys = (_widen(have(c, np.uint8), width) for c in ("plain", "keys"))
+    everything = np.sort(np.concatenate([plain, keys]))
+    repeated = everything[1:][everything[1:] == everything[:-1]]
+    found = np.isin(keys, repeated)
+    rows = np.concatenate([have("rows", np.int64)[found], have("known_rows", np.int64)])
+    ats = np.concatenate([have("ats", np.int32)[found], have("known_ats", np.int32)])
+    return rows, ats
+
+
+def regrouped(rows: np.ndarray, ats: np.ndarray, bits: int) -> pa.Table:
+    """(row, place) pairs, packed by buckets of rows."""
+    order = np.lexsort((ats, rows))
+    rows, ats = rows[order], ats[order]
+    parts = list(packed(mix(rows.view(np.uint64)) >> np.uint64(64 - bits), {"rows": rows, "ats": ats}))
+    return pa.Table.from_batches(parts, schema=REGROUPED)
+
+
+REGROUPED = pa.schema([("bucket", pa.int32()), ("rows", pa.binary()), ("ats", pa.binary())])
+
+
+def runs_of(table: pa.Table, reach: int) -> pa.Table:
+    """In a bucket of rows: the maximal stretches covered by ``reach`` places from each given one.
+
+    One line per row with the stretches' starts and ends.
+    """
+    rows, ats = unpacked(table["rows"], np.int64), unpacked(table["ats"], np.int32)
+    order = np.lexsort((ats, rows))
+    rows, ats = rows[order], ats[order]
+    fresh = np.ones(len(rows), dtype=bool)
+    fresh[1:] = (rows[1:] != rows[:-1]) | (ats[1:] > ats[:-1] + reach)
+    first = np.flatnonzero(fresh)
+    last = np.append(first[1:], len(rows)) - 1 if len(rows) else first
+    return spans_table(rows[first], ats[first], ats[last] + np.int32(reach))
+
+
+SPANS = "row long, starts array<int>, ends array<int>"
+
+
+def spans_table(rows: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Table:
+    """Stretches sorted by row, as one line per row."""
+    head = np.flatnonzero(np.diff(rows, prepend=rows[0] - 1)) if len(rows) else np.zeros(0, dtype=np.int64)
+    edges = pa.array(np.append(head, len(rows)), type=pa.int32())
+    lists = [pa.ListArray.from_arrays(edges, pa.array(x.astype(np.int32), type=pa.int32())) for x in (starts, ends)]
+    return pa.table({"row": pa.array(rows[head], type=pa.int64()), "starts": lists[0], "ends": lists[1]})
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``row``, a 64-bit identity of id and text, and a marker of texts that occur more than once.
+
+    Rows equal in both are the same text with the same answer, so they may share an identity.
+    """
+    return docs.withColumn("row", F.xxhash64("doc_id", "text"))
+
+
+def copies_of(docs: DataFrame) -> DataFrame:
+    """``row, speaks`` of all texts that occur more than once; one row of each group speaks for it."""
+    marks = docs.select("row", F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("mark"))
+    groups = marks.groupBy("mark").agg(F.count("*").alias("n"), F.min("row").alias("first")).where("n > 1")
+    return (
+        marks.join(groups, "mark")
+        .groupBy("row")
+        .agg(F.max(F.col("row") == F.col("first")).alias("speaks"))
+    )
