@@ -377,7 +377,7 @@ def linked_components(found: DataFrame, block: int = BLOCK, pivots: int = PIVOTS
 
 
 def similar_sets(docs: DataFrame) -> DataFrame:
-    """``doc_id, node, n_shingles, component_id`` of every document."""
+    """``doc_id, n_shingles, component_id`` of every document."""
     named = stored(shingle_sets(docs), "sets")
     size = text_size(docs)
     bits = bucket_bits(docs.sparkSession, size / SHINGLE_BYTES * (TOKEN_BYTES + 2))
@@ -390,12 +390,37 @@ def similar_sets(docs: DataFrame) -> DataFrame:
     by_node = placed.join(lowest, "root").select("node", "component_id")
     return named.join(by_node, "node", "left").select(
         "doc_id",
-        "node",
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` per component, that of the smallest id; rows equal in id and text count as one.
+
+    Rows with the empty set are all kept.
+    """
+    identity = F.struct("doc_id", F.xxhash64("text").alias("text_hash"))
+    chosen = (
+        similar_sets(docs.select(identity.alias("doc_id"), "text"))
+        .where("doc_id <=> component_id")
+        .select("doc_id.*")
+        .distinct()
+        .alias("c")
+    )
+    return (
+        docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct("*").alias("doc"))
+        .alias("d")
+        .join(
+            chosen.hint("shuffle_hash"),
+            F.expr("d.doc_id <=> c.doc_id AND d.text_hash = c.text_hash"),
+            "left_semi",
+        )
+        .dropDuplicates(["doc_id", "text_hash"])
+        .select("doc.*")
+    )
+
+
 def op3_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets are similar by 0.8 or more."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")

@@ -191,6 +191,12 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return docs.select(*kept).mapInArrow(run, schema)
 
 
+def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows whose language is clear, as they are."""
+    told = identify(docs.select(F.struct("*").alias("doc"), F.col(text).alias("text")), model)
+    return told.where((F.col("lang_pred") != UNKNOWN) & ~F.col("ambiguous")).select("doc.*")
+
+
 def op1_language(spark, sf_dir: str) -> DataFrame:
     """The language of every document, learned from the labels of four fifths of them."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -127,15 +127,8 @@ def source_targets(sizes: DataFrame, schedules: DataFrame, cap: float) -> DataFr
     )
 
 
-def mix_sources(docs: DataFrame, schedules: DataFrame | None = None, cap: float = 3) -> DataFrame:
-    """Per document ``doc_id, text_hash, source, size, source_size, target, taken, passes, position``.
-
-    ``taken`` counts the words the mix takes, repeats included, and adds up to each
-    source's rounded target; the last document of a source may be taken in part.
-    ``passes`` is how many times the mix meets the document, ``position`` (0..1) when
-    it does so first, null for a document that is not taken.  Rows come range-sorted
-    by position.
-    """
+def _counted(docs: DataFrame, schedules: DataFrame | None, cap: float) -> DataFrame:
+    """Every document with its place in its source and what the mix takes of it."""
     sized = stored(
         docs.select(
             "doc_id",
@@ -176,15 +169,32 @@ def mix_sources(docs: DataFrame, schedules: DataFrame | None = None, cap: float
     quota = F.floor(F.col("target") + 0.5)
     full = F.when(F.col("source_size") > 0, F.floor(quota / F.col("source_size"))).otherwise(0)
     part = F.least(F.col("size"), F.greatest(F.lit(0), quota - full * F.col("source_size") - F.col("before")))
-    counted = (
+    return (
         placed.withColumn("full", full)
         .withColumn("part", part)
         .withColumn("taken", (F.col("full") * F.col("size") + F.col("part")).cast("long"))
         .withColumn("passes", F.when(F.col("taken") > 0, F.col("full") + (F.col("part") > 0).cast("long")).otherwise(0))
     )
-    demand = F.col("before") / F.col("target") * F.col("weight")
+
+
+def _position(pass_number: Column) -> Column:
+    """When the curriculum meets a document in its source's given pass; null if it is not taken."""
+    words = F.col("before") + pass_number * F.col("source_size")
+    return F.when(F.col("taken") > 0, _when_met(F.col("pieces"), words / F.col("target") * F.col("weight")))
+
+
+def mix_sources(docs: DataFrame, schedules: DataFrame | None = None, cap: float = 3) -> DataFrame:
+    """Per document ``doc_id, text_hash, source, size, source_size, target, taken, passes, position``.
+
+    ``taken`` counts the words the mix takes, repeats included, and adds up to each
+    source's rounded target; the last document of a source may be taken in part.
+    ``passes`` is how many times the mix meets the document, ``position`` (0..1) when
+    it does so first, null for a document that is not taken.  Rows come range-sorted
+    by position.
+    """
     return (
-        counted.withColumn("position", F.when(F.col("taken") > 0, _when_met(F.col("pieces"), demand)))
+        _counted(docs, schedules, cap)
+        .withColumn("position", _position(F.lit(0)))
         .select(
             "doc_id", "text_hash", "source", "size", "source_size", "target", "taken",
             F.col("passes").cast("int").alias("passes"), "position",
@@ -193,6 +203,27 @@ def mix_sources(docs: DataFrame, schedules: DataFrame | None = None, cap: float
     )
 
 
+def training_order(docs: DataFrame, schedules: DataFrame | None = None, cap: float = 3) -> DataFrame:
+    """The mix itself: a row of ``docs`` for each time it is met, whole, range-sorted by position."""
+    plan = (
+        _counted(docs, schedules, cap)
+        .where("passes > 0")
+        .withColumn("position", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("passes") - 1), _position)))
+        .groupBy("doc_id", "text_hash")  # rows equal in id and text are met in turn
+        .agg(F.collect_list("position").alias("positions"))
+        .alias("p")
+    )
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct("*").alias("doc"))
+    return (
+        texts.dropDuplicates(["doc_id", "text_hash"])
+        .alias("d")
+        .join(plan.hint("shuffle_hash"), F.expr("d.doc_id <=> p.doc_id AND d.text_hash = p.text_hash"))
+        .select("doc", F.explode("positions").alias("position"))
+        .orderBy("position", "doc.doc_id")
+        .select("doc.*")
+    )
+
+
 ORACLE = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
