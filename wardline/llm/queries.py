@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from wardline.llm import bpe, jaccard, langid, mixing, substring
+from wardline.llm import bpe, jaccard, langid, mixing, substring, suffixes
 
 QUERIES = {
     "op1_language": langid.op1_language,
     "op3_ngram_jaccard": jaccard.op3_ngram_jaccard,
     "op5_source_mix": mixing.op5_source_mix,
+    "op7_suffix_dedup": suffixes.op7_suffix_dedup,
     "op8_bpe_round_trip": bpe.op8_bpe_round_trip,
     "op9_substring_dedup": substring.op9_substring_dedup,
 }
