@@ -38,7 +38,7 @@ PIECES = (
 PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 #: Pieces and token pairs a worker remembers before it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 
 def _written_bytes() -> dict[str, int]:
