@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from wardline.llm import bpe, jaccard, langid, mixing, substring, suffixes
+from wardline.llm import ann, bpe, jaccard, langid, mixing, substring, suffixes, topk
 
 QUERIES = {
     "op1_language": langid.op1_language,
+    "op2_exact_topk": topk.op2_exact_topk,
     "op3_ngram_jaccard": jaccard.op3_ngram_jaccard,
     "op5_source_mix": mixing.op5_source_mix,
     "op7_suffix_dedup": suffixes.op7_suffix_dedup,
     "op8_bpe_round_trip": bpe.op8_bpe_round_trip,
     "op9_substring_dedup": substring.op9_substring_dedup,
+    "op10_nearest": ann.op10_nearest,
 }
 
 ORACLE = {
+    "op2_exact_topk": topk.ORACLE,
     "op5_source_mix": mixing.ORACLE,
 }
