@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from wardline.llm import ann, bpe, jaccard, langid, mixing, substring, suffixes, topk
+from wardline.llm import ann, bpe, jaccard, langid, mixing, quality, substring, suffixes, topk
 
 QUERIES = {
     "op1_language": langid.op1_language,
     "op2_exact_topk": topk.op2_exact_topk,
     "op3_ngram_jaccard": jaccard.op3_ngram_jaccard,
+    "op4_quality": quality.op4_quality,
     "op5_source_mix": mixing.op5_source_mix,
     "op7_suffix_dedup": suffixes.op7_suffix_dedup,
     "op8_bpe_round_trip": bpe.op8_bpe_round_trip,
