@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wardline.llm import ann, bpe, jaccard, langid, mixing, quality, substring, suffixes, topk
+from wardline.llm import ann, bpe, jaccard, langid, mixing, pages, quality, substring, suffixes, topk
 
 QUERIES = {
     "op1_language": langid.op1_language,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_ngram_jaccard": jaccard.op3_ngram_jaccard,
     "op4_quality": quality.op4_quality,
     "op5_source_mix": mixing.op5_source_mix,
+    "op6_main_text": pages.op6_main_text,
     "op7_suffix_dedup": suffixes.op7_suffix_dedup,
     "op8_bpe_round_trip": bpe.op8_bpe_round_trip,
     "op9_substring_dedup": substring.op9_substring_dedup,
