@@ -17,9 +17,9 @@ def components(links: DataFrame) -> DataFrame:
     """``node, root`` for every node of ``links`` (``a``, ``b``): the smallest node it is connected to.
 
     Alternates two star operations until nothing changes: neighbours above a node
-    are hung on its smallest neighbour, then neighbours below are.  A node with
-    very many neighbours is pre-aggregated and joined on its key only, so that
-    adaptive execution can split it.  Each round is written to the shared folder.
+    are hung on its smallest neighbour, then neighbours below are.  The smallest
+    neighbours are written before links are joined with them, so that both sides are
+    dealt anew and Spark can split the links of a node with very many neighbours.
     """
     edges = stored(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(),
@@ -28,9 +28,10 @@ def components(links: DataFrame) -> DataFrame:
     before = _state(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        lowest = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "lowest")
         large = both.join(lowest, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = stored(large, "large")
+        least = stored(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = stored(small.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "links")
         state = _state(edges)

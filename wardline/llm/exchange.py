@@ -93,13 +93,13 @@ def table_of(schema: pa.Schema, **columns) -> pa.Table:
     return pa.table([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
 
 
-def _narrow(keys: np.ndarray, width: int) -> np.ndarray:
+def narrow(keys: np.ndarray, width: int) -> np.ndarray:
     """The low ``width`` bytes of 64-bit keys."""
     raw = np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, :width])
     return raw.view(f"V{width}").ravel()
 
 
-def _widen(raw: np.ndarray, width: int) -> np.ndarray:
+def widen(raw: np.ndarray, width: int) -> np.ndarray:
     out = np.zeros((len(raw) // width, 8), dtype=np.uint8)
     out[:, :width] = raw.reshape(-1, width)
     return out.view(np.uint64).ravel()
@@ -127,8 +127,8 @@ def offer(keys: np.ndarray, rows: np.ndarray, ats: np.ndarray, asked: np.ndarray
     answered[place[asking]] = False
     plain, top = distinct[answered], np.uint64(64 - bits)
     parts = [
-        packed(plain >> top, {"plain": _narrow(plain, width)}),
-        packed(keys[asking] >> top, {"keys": _narrow(keys[asking], width), "rows": rows[asking], "ats": ats[asking]}),
+        packed(plain >> top, {"plain": narrow(plain, width)}),
+        packed(keys[asking] >> top, {"keys": narrow(keys[asking], width), "rows": rows[asking], "ats": ats[asking]}),
         packed(
             mix(rows[known].view(np.uint64)) >> top, {"known_rows": rows[known], "known_ats": ats[known]}
         ),
@@ -140,7 +140,7 @@ def offer(keys: np.ndarray, rows: np.ndarray, ats: np.ndarray, asked: np.ndarray
 def answer(table: pa.Table, width: int = 8) -> tuple[np.ndarray, np.ndarray]:
     """In a bucket: owners (rows, places) of the keys that occur more than once in all."""
     have = lambda name, kind: unpacked(table[name].drop_null(), kind)
-    plain, keys = (_widen(have(c, np.uint8), width) for c in ("plain", "keys"))
+    plain, keys = (widen(have(c, np.uint8), width) for c in ("plain", "keys"))
     everything = np.sort(np.concatenate([plain, keys]))
     repeated = everything[1:][everything[1:] == everything[:-1]]
     found = np.isin(keys, repeated)
@@ -195,11 +195,14 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def copies_of(docs: DataFrame) -> DataFrame:
-    """``row, speaks`` of all texts that occur more than once; one row of each group speaks for it."""
+    """``row, speaks`` of all texts that occur more than once; one row of each group speaks for it.
+
+    The groups are written before rows are joined with them, so that Spark deals both
+    sides anew for the join and can split the rows of a very large group.
+    """
     marks = docs.select("row", F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("mark"))
-    groups = marks.groupBy("mark").agg(F.count("*").alias("n"), F.min("row").alias("first")).where("n > 1")
-    return (
-        marks.join(groups, "mark")
-        .groupBy("row")
-        .agg(F.max(F.col("row") == F.col("first")).alias("speaks"))
+    groups = stored(
+        marks.groupBy("mark").agg(F.count("*").alias("n"), F.min("row").alias("first")).where("n > 1"), "copy-groups"
     )
+    told = marks.join(groups, "mark").select("row", (F.col("row") == F.col("first")).alias("speaks"))
+    return stored(told.groupBy("row").agg(F.max("speaks").alias("speaks")), "copies")

@@ -32,11 +32,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.llm.components import components
-from wardline.llm.exchange import bucket_bits, packed, per_bucket, stored, text_size, unpacked
+from wardline.llm.exchange import bucket_bits, narrow, packed, per_bucket, stored, text_size, unpacked, widen
 from wardline.llm.text import Words, mix, slices
 
 #: Words in a shingle, and the least similarity of a link in percent.
@@ -122,11 +124,32 @@ def prefix_length(sizes: np.ndarray) -> np.ndarray:
     return sizes - (PERCENT * sizes + 99) // 100 + 1
 
 
-TOKENS = "bucket int, tokens binary, nodes binary, sizes binary, places binary"
-_COLUMNS = {"tokens": np.uint64, "nodes": np.int64, "sizes": np.int32, "places": np.int32}
-
 #: Bytes of a shingle's hash that travel beside its bucket, and the place of the first heavy one.
-TOKEN_BYTES, LAST = 6, 1 << 30
+TOKEN_BYTES, LAST = 5, 1 << 30
+
+#: What a slice of documents sends: to buckets of hashes its light shingles, to its own bucket
+#: its heavy ones and its sets.  A set is meant by its number in the slice.
+DEALT = "bucket int, slice long, light binary, owner binary, tokens binary, places binary, names binary, sizes binary"
+_DEALT = pa.schema(
+    [("bucket", pa.int32()), ("slice", pa.int64())]
+    + [(c, pa.binary()) for c in "light owner tokens places names sizes".split()]
+)
+
+#: What comes back to a slice: shared shingles with owner and place, beside its sets.
+SHARED = "bucket int, slice long, slices binary, owner binary, tokens binary, places binary, names binary, sizes binary"
+_SHARED = pa.schema(
+    [("bucket", pa.int32()), ("slice", pa.int64())]
+    + [(c, pa.binary()) for c in "slices owner tokens places names sizes".split()]
+)
+
+
+def _completed(part: pa.RecordBatch, schema: pa.Schema, slice_: int | None = None) -> pa.RecordBatch:
+    n = part.num_rows
+    own = {"slice": pa.array([slice_] * n, pa.int64())}
+    return pa.RecordBatch.from_arrays(
+        [own.get(f.name, part.column(f.name) if f.name in part.schema.names else pa.nulls(n, f.type)) for f in schema],
+        schema=schema,
+    )
 
 
 def _distinct(names: np.ndarray) -> np.ndarray:
@@ -142,87 +165,110 @@ def _shortened(tokens: np.ndarray, bits: int) -> np.ndarray:
     return (tokens & rest) | (tokens >> shift << shift)
 
 
-def _read(table: pa.Table) -> list[np.ndarray]:
-    return [unpacked(table[name], kind) for name, kind in _COLUMNS.items()]
+def _of(table: pa.Table, name: str, kind) -> np.ndarray:
+    return unpacked(table[name].drop_null(), kind)
+
+
+def _bucket_of_slice(slices_: np.ndarray, bits: int) -> np.ndarray:
+    return mix(slices_.view(np.uint64)) >> np.uint64(64 - bits)
 
 
 def shared_shingles(docs: DataFrame, heavy: np.ndarray, bits: int) -> DataFrame:
-    """Packed by node: the shingles of every set that another set has too, with their place in the global order."""
+    """Packed by slice: the shingles that more than one document has, with their place in the global order.
+
+    Documents must come from a table, whose partitions read the same every time.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(heavy)
     top = np.uint64(64 - bits)
 
-    def columns(tokens, nodes, sizes, places):
-        return dict(zip(_COLUMNS, (tokens, nodes, sizes.astype(np.int32), places.astype(np.int32)), strict=True))
-
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _shortened(shared.value, bits)
         places = np.argsort(known)
         known = known[places]
-        for batch in slices(batches):
+        for number, batch in enumerate(slices(batches)):
+            slice_ = TaskContext.get().partitionId() << 32 | number
             owner, tokens, sizes, names = _named_sets(batch.column("text"))
             keep = _distinct(names)[owner]
             owner, tokens = owner[keep], _shortened(tokens[keep], bits)
             at = np.searchsorted(known, tokens)
             last = known[np.minimum(at, len(known) - 1)] == tokens if len(known) else np.zeros(len(tokens), dtype=bool)
-            nodes, sizes, light = names[owner], sizes[owner], ~last
-            yield from packed(
-                tokens[light] >> top, columns(tokens[light], nodes[light], sizes[light], np.zeros(light.sum()))
-            )
-            yield from packed(
-                mix(nodes[last].view(np.uint64)) >> top,
-                columns(tokens[last], nodes[last], sizes[last], LAST + (places[at[last]] if len(known) else at[last])),
+            owner, light = owner.astype(np.uint16), ~last
+            for part in packed(
+                tokens[light] >> top, {"light": narrow(tokens[light], TOKEN_BYTES), "owner": owner[light]}
+            ):
+                yield _completed(part, _DEALT, slice_)
+            own = int(_bucket_of_slice(np.array([slice_]), bits)[0])
+            place = (LAST + places[at[last]]).astype(np.int32) if len(known) else np.zeros(0, dtype=np.int32)
+            values = {
+                "owner": owner[last], "tokens": tokens[last], "places": place,
+                "names": names, "sizes": sizes.astype(np.int32),
+            }
+            yield _completed(
+                pa.RecordBatch.from_pydict(
+                    {"bucket": pa.array([own], pa.int32()), **{c: pa.array([v.tobytes()], pa.binary()) for c, v in values.items()}}
+                ),
+                _DEALT,
+                slice_,
             )
 
     def count(table: pa.Table) -> pa.Table:
-        tokens, nodes, sizes, places = _read(table)
-        order = np.lexsort((nodes, tokens))
-        tokens, nodes, sizes, places = (x[order] for x in (tokens, nodes, sizes, places))
-        fresh = np.ones(len(tokens), dtype=bool)
-        fresh[1:] = (tokens[1:] != tokens[:-1]) | (nodes[1:] != nodes[:-1])
-        tokens, nodes, sizes, places = (x[fresh] for x in (tokens, nodes, sizes, places))
-        first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else np.zeros(0, int)
-        having = np.repeat(np.diff(np.append(first, len(tokens))), np.diff(np.append(first, len(tokens))))
-        places = np.where(places >= LAST, places, np.minimum(having, LAST - 1)).astype(np.int32)
+        light = table.filter(pc.is_valid(table["light"]))
+        lengths = pc.binary_length(light["light"]).to_numpy().astype(np.int64) // TOKEN_BYTES
+        tokens = widen(_of(light, "light", np.uint8), TOKEN_BYTES) | np.uint64(table["bucket"][0].as_py()) << top
+        owner = _of(light, "owner", np.uint16)
+        slices_ = np.repeat(light["slice"].to_numpy(), lengths)
+        order = np.argsort(tokens, kind="stable")
+        first = np.flatnonzero(np.diff(tokens[order], prepend=tokens[order[:1]] + np.uint64(1)))
+        having = np.diff(np.append(first, len(tokens)))
+        places = np.empty(len(tokens), dtype=np.int32)
+        places[order] = np.minimum(np.repeat(having, having), LAST - 1)
         kept = places > 1
-        tokens, nodes, sizes, places = (x[kept] for x in (tokens, nodes, sizes, places))
-        by_node = np.argsort(nodes, kind="stable")
+        tokens, owner, slices_, places = tokens[kept], owner[kept], slices_[kept], places[kept]
         parts = packed(
-            (mix(nodes.view(np.uint64)) >> top)[by_node],
-            columns(*(x[by_node] for x in (tokens, nodes, sizes, places))),
+            _bucket_of_slice(slices_, bits), {"slices": slices_, "owner": owner, "tokens": tokens, "places": places}
         )
-        return pa.Table.from_batches(list(parts), schema=_PACKED)
-
-    return per_bucket(docs.select("text").mapInArrow(deal, TOKENS), count, TOKENS)
-
+        sets = table.filter(pc.is_valid(table["names"]))
+        forwarded = [_completed(part, _SHARED) for part in parts]
+        for part in sets.to_batches():
+            held = pc.binary_length(part.column("owner")).to_pylist()
+            repeated = [np.full(n // 2, s, dtype=np.int64).tobytes() for n, s in zip(held, part.column("slice").to_pylist(), strict=True)]
+            columns = {c: part.column(c) for c in ("bucket", "slice", "owner", "tokens", "places", "names", "sizes")}
+            columns["slices"] = pa.array(repeated, pa.binary())
+            forwarded.append(pa.RecordBatch.from_arrays([columns[n] for n in _SHARED.names], schema=_SHARED))
+        return pa.Table.from_batches(forwarded, schema=_SHARED)
 
-_PACKED = pa.schema([("bucket", pa.int32()), *((name, pa.binary()) for name in _COLUMNS)])
+    return per_bucket(docs.select("text").mapInArrow(deal, DEALT), count, SHARED)
 
 
 def candidates(shared: DataFrame) -> DataFrame:
-    """``node, size, lead, tokens``: sets whose prefix reaches shingles that other sets have.
+    """``node, size, lead, tokens``: sets whose prefix reaches shingles that other documents have.
 
     ``tokens`` are all of these in the global order; the first ``lead`` lie in the prefix.
+    A set that documents of several slices have is listed for each of them.
     """
 
     def choose(table: pa.Table) -> pa.Table:
-        tokens, nodes, sizes, places = _read(table)
-        order = np.lexsort((tokens, places, nodes))
-        tokens, nodes, sizes = tokens[order], nodes[order], sizes[order].astype(np.int64)
-        fresh = np.ones(len(tokens), dtype=bool)
-        fresh[1:] = (tokens[1:] != tokens[:-1]) | (nodes[1:] != nodes[:-1])
-        tokens, nodes, sizes = tokens[fresh], nodes[fresh], sizes[fresh]
-        first = np.flatnonzero(np.concatenate([[True], nodes[1:] != nodes[:-1]])) if len(nodes) else np.zeros(0, int)
-        lengths = np.diff(np.append(first, len(nodes)))
-        lead = prefix_length(sizes[first]) - (sizes[first] - lengths)
-        kept = lead > 0
+        sets = table.filter(pc.is_valid(table["names"])).sort_by("slice")
+        numbers = sets["slice"].to_numpy()
+        counts = pc.binary_length(sets["names"]).to_numpy().astype(np.int64) // 8
+        base = np.concatenate([[0], np.cumsum(counts)])
+        names, sizes = _of(sets, "names", np.int64), _of(sets, "sizes", np.int32).astype(np.int64)
+        slices_, owner = _of(table, "slices", np.int64), _of(table, "owner", np.uint16)
+        tokens, places = _of(table, "tokens", np.uint64), _of(table, "places", np.int32)
+        document = base[np.searchsorted(numbers, slices_)] + owner
+        order = np.lexsort((tokens, places, document))
+        tokens, lengths = tokens[order], np.bincount(document, minlength=len(names))
+        lead = prefix_length(sizes) - (sizes - lengths)
+        kept = (lead > 0) & (sizes > 0)
         edges = np.concatenate([[0], np.cumsum(lengths[kept])]).astype(np.int32)
-        held = tokens[np.repeat(kept, lengths)].view(np.int64)
         return pa.table(
             {
-                "node": nodes[first][kept],
-                "size": sizes[first][kept],
+                "node": names[kept],
+                "size": sizes[kept],
                 "lead": np.minimum(lead[kept], lengths[kept]),
-                "tokens": pa.ListArray.from_arrays(pa.array(edges), pa.array(held)),
+                "tokens": pa.ListArray.from_arrays(
+                    pa.array(edges), pa.array(tokens[np.repeat(kept, lengths)].view(np.int64))
+                ),
             }
         )
 
@@ -344,10 +390,11 @@ def _links(dealt: DataFrame) -> DataFrame:
 
 def linked_components(found: DataFrame, block: int = BLOCK, pivots: int = PIVOTS) -> DataFrame:
     """``node, root``: connected components of the similar sets among ``found``."""
-    family = families(found)
-    sizes = family.groupBy("family").agg(F.count("*").alias("n"))
+    family = stored(families(found), "families")
+    sizes = stored(family.groupBy("family").agg(F.count("*").alias("n")), "family-sizes")
     members = stored(
         found.join(family.join(sizes, "family"), "node")
+        .dropDuplicates(["node"])
         .withColumn("blocks", F.ceil(F.col("n") / block))
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))),
         "members",

@@ -79,16 +79,15 @@ def anchors(docs: DataFrame, window: int, bits: int) -> DataFrame:
     return per_bucket(docs.select("row", "text").mapInArrow(probe, OFFER), meet, "row long, at int")
 
 
-def extended(docs: DataFrame, blocks: DataFrame, window: int, bits: int) -> DataFrame:
+def extended(docs: DataFrame, blocks: DataFrame, copies: DataFrame, window: int, bits: int) -> DataFrame:
     """``row, starts, ends``: word ranges covered by windows that occur elsewhere, around the given blocks."""
     block = (window + 1) // 2
     hits = blocks.groupBy("row").agg(F.collect_list("at").alias("blocks"))
-    roles = copies_of(docs).hint("shuffle_hash")
     near = (
         docs.select("row", "text")
         .dropDuplicates(["row"])
         .join(hits.hint("shuffle_hash"), "row")
-        .join(roles, "row", "left")
+        .join(copies.hint("shuffle_hash"), "row", "left")
         .where("coalesce(speaks, true)")
         .select("row", "text", "blocks", F.col("speaks").isNull().alias("asks"))
     )
@@ -117,14 +116,14 @@ def extended(docs: DataFrame, blocks: DataFrame, window: int, bits: int) -> Data
     return per_bucket(found, lambda table: runs_of(table, window), SPANS)
 
 
-def repeated_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def repeated_ranges(docs: DataFrame, copies: DataFrame, window: int = WINDOW) -> DataFrame:
     """``row, starts, ends``: ranges of words that lie in a repeated window, for rows of ``keyed`` documents.
 
-    Texts that occur more than once are not listed; they are repeated as a whole.
+    ``copies``, the texts that occur more than once, are not listed; they are repeated as a whole.
     """
     bits = bucket_bits(docs.sparkSession, text_size(docs) / WORD_BYTES * PROBE_BYTES)
     blocks = stored(anchors(docs, window, bits), "anchors")
-    return stored(extended(docs, blocks, window, bits), "repeats")
+    return stored(extended(docs, blocks, copies, window, bits), "repeats")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -134,9 +133,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     others = [c for c in docs.columns if c not in ("text", "n_words", "n_removed")]
     named = keyed(docs.select("doc_id", "text", F.struct(*others).alias("rest")))
-    spans = repeated_ranges(named, window)
-    copies = copies_of(named).select("row", F.lit(True).alias("copied"))
-    told = spans.join(copies, "row", "full").hint("shuffle_hash")
+    copies = copies_of(named)
+    spans = repeated_ranges(named, copies, window)
+    told = spans.join(copies.select("row", F.lit(True).alias("copied")), "row", "full").hint("shuffle_hash")
     schema = named.select("rest", "text").schema.add("n_words", "long").add("n_removed", "long")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -231,10 +231,10 @@ def _repeated(numbers: np.ndarray, data: np.ndarray, length: int) -> tuple[np.nd
     return numbers["row"][entry], at - farthest, at - nearest + length
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_spans(docs: DataFrame, copies: DataFrame, length: int = LENGTH) -> DataFrame:
     """``row, starts, ends``: maximal byte ranges covered by strings of ``length`` bytes that start elsewhere too.
 
-    For rows of ``keyed`` documents; texts that occur more than once are not listed.
+    For rows of ``keyed`` documents; ``copies``, the texts that occur more than once, are not listed.
     """
     spark, size = docs.sparkSession, text_size(docs)
     bits = bucket_bits(spark, size / 4)
@@ -244,7 +244,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         docs.select("row", "text")
         .dropDuplicates(["row"])
         .join(hits.hint("shuffle_hash"), "row")
-        .join(copies_of(docs).hint("shuffle_hash"), "row", "left")
+        .join(copies.hint("shuffle_hash"), "row", "left")
         .where("coalesce(speaks, true)")
         .select("row", "text", "places", F.col("speaks").isNull().alias("asks"))
     )
@@ -304,8 +304,9 @@ def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with its text replaced by ``kept`` (bytes), ``n_bytes``, ``n_removed`` and ``n_spans``."""
     others = [c for c in docs.columns if c not in ("text", "kept", "n_bytes", "n_removed", "n_spans")]
     named = keyed(docs.select("doc_id", "text", F.struct(*others).alias("rest")))
-    copies = copies_of(named).select("row", F.lit(True).alias("copied"))
-    told = repeated_spans(named, length).join(copies, "row", "full").hint("shuffle_hash")
+    copies = copies_of(named)
+    spans = repeated_spans(named, copies, length)
+    told = spans.join(copies.select("row", F.lit(True).alias("copied")), "row", "full").hint("shuffle_hash")
     schema = named.select("rest").schema.add("kept", "binary")
     for name in ("n_bytes", "n_removed", "n_spans"):
         schema = schema.add(name, "long")

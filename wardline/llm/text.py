@@ -13,8 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes of text worked on at once; a longer document is a slice of its own.
-SLICE_BYTES = 4 << 20
+#: Bytes and rows of text worked on at once; a longer document is a slice of its own.
+SLICE_BYTES, SLICE_ROWS = 2 << 20, 1 << 15
 
 #: ASCII white space: the complement of the contracts' ``[^\x20\x09-\x0D]``.
 WHITE = np.zeros(256, dtype=bool)
@@ -68,10 +68,8 @@ class PrefixHash:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that each holds at most ``limit`` bytes of text, or one row."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    """Batches cut so that each holds about ``limit`` bytes of text at most, or one row."""
+    for batch in (whole.slice(a, SLICE_ROWS) for whole in batches for a in range(0, whole.num_rows, SLICE_ROWS)):
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         cut = (np.cumsum(sizes, dtype=np.int64) - sizes) // limit
         starts = np.flatnonzero(np.diff(cut, prepend=-1))
