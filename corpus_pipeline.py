@@ -44,10 +44,10 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and a digest of what they decode to."""
-    path = bpe.byte_bpe_path()
-    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path)
-    return bpe.decode(encoded, path).select(
-        "doc_id", "lang", "source", "n_tokens", "ids", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256")
+    coded = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), bpe.byte_bpe_path())
+    return coded.select(
+        "doc_id", "lang", "source", "n_tokens", "ids",
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 

@@ -37,8 +37,8 @@ PIECES = (
 #: ... and which bytes stand for themselves in the vocabulary file.
 PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
-#: Pieces and token pairs a worker remembers before it starts afresh.
-REMEMBERED = 250_000
+#: Pieces and token pairs that a generation of a worker's memory holds.
+REMEMBERED = 80_000
 
 
 def _written_bytes() -> dict[str, int]:
@@ -48,16 +48,20 @@ def _written_bytes() -> dict[str, int]:
 
 
 class _Known(dict):
-    """A bounded memory of a function's results."""
+    """A bounded memory of a function's results: what a full generation did not use again is forgotten."""
 
     def __init__(self, function):
         super().__init__()
-        self.function = function
+        self.function, self.older = function, {}
 
     def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.function(key)
         if len(self) >= REMEMBERED:
+            self.older = dict(self)
             self.clear()
-        value = self[key] = self.function(key)
+        self[key] = value
         return value
 
 
@@ -164,46 +168,63 @@ def _definition(spark, path: str):
         return spark.sparkContext.broadcast(file.read())
 
 
-def _binary(parts: list[bytes]) -> pa.Array:
-    return pa.array(parts, type=pa.binary())
+def _ids(vocabulary: Vocabulary, column: pa.Array) -> list[bytes]:
+    return [vocabulary.encode(text or "") for text in column.to_pylist()]
 
 
-def encode(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
-    """``docs`` with ``ids`` (little-endian unsigned 32-bit integers) and ``n_tokens`` in place of its text."""
-    others = [c for c in docs.columns if c not in (column, "ids", "n_tokens")]
+def _texts(vocabulary: Vocabulary, ids: list[bytes]) -> pa.Array:
+    decoded = (vocabulary.decode(np.frombuffer(x, dtype="<u4")).tobytes() for x in ids)
+    return pa.array([data.decode("utf-8", "replace") for data in decoded], pa.string())
+
+
+def _counts(ids: list[bytes]) -> pa.Array:
+    return pa.array([len(x) // 4 for x in ids], pa.int64())
+
+
+def _with(docs: DataFrame, path: str, column: str, new: dict[str, str], work) -> DataFrame:
+    """``docs`` with new columns that ``work`` makes of one column; that column itself goes."""
+    others = [c for c in docs.columns if c not in (column, *new)]
     definition = _definition(docs.sparkSession, path)
-    schema = docs.select(*others).schema.add("ids", "binary").add("n_tokens", "long")
+    schema = docs.select(*others).schema
+    for name, kind in new.items():
+        schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(definition.value)
-        for batch in slices(batches, column):
-            ids = [vocabulary.encode(text or "") for text in batch.column(column).to_pylist()]
-            counts = pa.array([len(x) // 4 for x in ids], type=pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in others), _binary(ids), counts], names=[*others, "ids", "n_tokens"]
-            )
+        for batch in slices(batches, column, 1 << 20):
+            made = work(vocabulary, batch.column(column))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), *made], names=[*others, *new])
 
     return docs.select(*others, column).mapInArrow(run, schema)
 
 
+def encode(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
+    """``docs`` with ``ids`` (little-endian unsigned 32-bit integers) and ``n_tokens`` in place of its text."""
+
+    def work(vocabulary: Vocabulary, texts: pa.Array) -> list[pa.Array]:
+        ids = _ids(vocabulary, texts)
+        return [pa.array(ids, pa.binary()), _counts(ids)]
+
+    return _with(docs, path, column, {"ids": "binary", "n_tokens": "long"}, work)
+
+
 def decode(encoded: DataFrame, path: str, column: str = "text") -> DataFrame:
-    """``encoded`` with the text that its ``ids`` stand for."""
-    others = [c for c in encoded.columns if c != column]
-    definition = _definition(encoded.sparkSession, path)
-    schema = encoded.select(*others).schema.add(column, "string")
+    """``encoded`` with the text that its ``ids`` stand for in their place."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = _vocabulary(definition.value)
-        for batch in slices(batches, "ids"):
-            texts = []
-            for ids in pc.fill_null(batch.column("ids"), b"").to_pylist():
-                data = vocabulary.decode(np.frombuffer(ids, dtype="<u4")).tobytes()
-                texts.append(data.decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in others), pa.array(texts, type=pa.string())], names=[*others, column]
-            )
+    def work(vocabulary: Vocabulary, ids: pa.Array) -> list[pa.Array]:
+        return [_texts(vocabulary, pc.fill_null(ids, b"").to_pylist())]
+
+    return _with(encoded, path, "ids", {column: "string"}, work)
+
+
+def round_trip(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
+    """``docs`` with ``ids``, ``n_tokens`` and the text ``decoded`` from the ids, in one pass over the texts."""
+
+    def work(vocabulary: Vocabulary, texts: pa.Array) -> list[pa.Array]:
+        ids = _ids(vocabulary, texts)
+        return [pa.array(ids, pa.binary()), _counts(ids), _texts(vocabulary, ids)]
 
-    return encoded.mapInArrow(run, schema)
+    return _with(docs, path, column, {"ids": "binary", "n_tokens": "long", "decoded": "string"}, work)
 
 
 def byte_bpe_path() -> str:
@@ -216,9 +237,9 @@ def op8_bpe_round_trip(spark, sf_dir: str, path: str | None = None) -> DataFrame
     """Tokens of every document's whole text and the text decoded from them, as digests."""
     path = path or byte_bpe_path()
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return decode(encode(docs, path), path).select(
+    return round_trip(docs, path).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )

@@ -34,6 +34,9 @@ BUCKETS, ORDERS = 1 << 16, (1, 2, 3)
 #: Buckets of counts that travel as one row.
 CHUNK = 1 << 12
 
+#: Bytes of text worked on at once; n-grams take many times their size.
+SLICE = 1 << 19
+
 #: How sharply losses turn into a score, and the score under which a text is ambiguous.
 SHARPNESS, CLEAR = 2.0, 0.5
 
@@ -149,7 +152,7 @@ def train(labelled: DataFrame, text: str = "text", language: str = "lang") -> Mo
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE):
             names, codes = np.unique(np.array(batch.column("lang").to_pylist(), dtype=object), return_inverse=True)
             grams, starts, _ = _grams(batch.column("text").to_pylist())
             owner = np.repeat(codes, np.diff(starts))
@@ -181,7 +184,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text, 1 << 20):
+        for batch in slices(batches, text, SLICE):
             names, scores, ambiguous = shared.value.predict(batch.column(text).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(names, pa.string()), pa.array(scores), pa.array(ambiguous)],
