@@ -255,10 +255,10 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "node", "score"])
 
 
-def nearest(vectors: DataFrame, queries, k: int) -> DataFrame:
+def nearest(vectors: DataFrame, queries: str, k: int) -> DataFrame:
     """``query_id, rank, vec_id, score``: about the ``k`` largest inner products of the vectors chosen by ``queries``."""
     taking = stored(usable(vectors).where(F.exists("embedding", lambda x: x != 0)), "vectors")
-    asked, width = taking.agg(F.count_if(queries), F.max(F.size("embedding"))).first()
+    asked, width = taking.agg(F.count_if(F.expr(queries)), F.max(F.size("embedding"))).first()
     order = Window.partitionBy("embedding").orderBy("vec_id")
     # No more than k + 1 ids of equal vectors can appear in one result.
     equals = taking.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
@@ -303,4 +303,4 @@ def nearest(vectors: DataFrame, queries, k: int) -> DataFrame:
 def op10_nearest(spark, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors found for every twentieth vector, by inner product."""
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    return nearest(vectors, F.col("vec_id") % 20 == 0, 20)
+    return nearest(vectors, "vec_id % 20 = 0", 20)

@@ -443,15 +443,15 @@ def similar_sets(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` per component, that of the smallest id; rows equal in id and text count as one.
+    """One row of ``docs`` per component, that of the smallest id (null last); rows equal in id and text count as one.
 
     Rows with the empty set are all kept.
     """
-    identity = F.struct("doc_id", F.xxhash64("text").alias("text_hash"))
+    identity = F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", F.xxhash64("text").alias("text_hash"))
     chosen = (
         similar_sets(docs.select(identity.alias("doc_id"), "text"))
         .where("doc_id <=> component_id")
-        .select("doc_id.*")
+        .select("doc_id.doc_id", "doc_id.text_hash")
         .distinct()
         .alias("c")
     )

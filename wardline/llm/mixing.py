@@ -76,10 +76,13 @@ def _when_met(pieces: Column, demand: Column) -> Column:
             .when(
                 acc["left"] < p["area"],
                 p["t0"]
-                + 2 * acc["left"]
-                / (
-                    p["w0"]
-                    + F.sqrt(p["w0"] * p["w0"] + 2 * (p["w1"] - p["w0"]) / (p["t1"] - p["t0"]) * acc["left"])
+                + F.coalesce(
+                    F.try_divide(
+                        2 * acc["left"],
+                        p["w0"]
+                        + F.sqrt(p["w0"] * p["w0"] + 2 * (p["w1"] - p["w0"]) / (p["t1"] - p["t0"]) * acc["left"]),
+                    ),
+                    F.lit(0.0),
                 ),
             )
             .alias("t"),

@@ -137,7 +137,7 @@ class Page:
             at, name = tag.end(), (tag[2] or "").lower()
             if not name:
                 continue
-            if name not in INLINE:
+            if name not in INLINE and name not in RAW:
                 self._block += 1
             if tag[1]:
                 place = next((i for i in range(len(stack) - 1, 0, -1) if self.names[stack[i]] == name), 0)

@@ -21,6 +21,8 @@ empty table gives an empty result; other columns pass through.
 
 from __future__ import annotations
 
+import os.path
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -180,6 +182,13 @@ class Suffixes:
             run *= 2
         return order
 
+    def by_bytes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Order and common extensions of neighbours without hashes, for when these have collided."""
+        texts = [self.data[a : a + n].tobytes() for a, n in zip(self.at, self.right, strict=True)]
+        order = np.array(sorted(range(len(texts)), key=lambda i: (self.group[i], texts[i])), dtype=np.int64)
+        shared = [len(os.path.commonprefix([texts[a], texts[b]])) for a, b in zip(order, order[1:], strict=False)]
+        return order, np.array(shared, dtype=np.int64)
+
     def verified(self, a: np.ndarray, b: np.ndarray, back: np.ndarray, shared: np.ndarray) -> np.ndarray:
         """Whether the bytes from ``back`` before two suffixes to ``shared`` after are really equal."""
         lengths = back + shared
@@ -197,11 +206,10 @@ def _repeated(numbers: np.ndarray, data: np.ndarray, length: int) -> tuple[np.nd
     left, right = numbers["left"].astype(np.int64), numbers["right"].astype(np.int64)
     suffixes = Suffixes(data, starts + left, right, np.unique(numbers["gram"], return_inverse=True)[1])
     order = suffixes.sorted()
-    before, after = order[:-1], order[1:]
-    same = suffixes.group[before] == suffixes.group[after]
-    shared = np.where(same, suffixes.common(before, after), -1)
-    true = suffixes.verified(before, after, np.zeros(len(before), dtype=np.int64), np.maximum(shared, 0))
-    shared = np.where(true, shared, -1)
+    shared = suffixes.common(order[:-1], order[1:])
+    if not suffixes.verified(order[:-1], order[1:], np.zeros_like(shared), shared).all():
+        order, shared = suffixes.by_bytes()
+    shared = np.where(suffixes.group[order[:-1]] == suffixes.group[order[1:]], shared, -1)
     # How many bytes before the position a string may begin: ``length`` less what is right of it, up to what is left.
     least = length - right
     found = np.zeros((len(numbers), int(left.max(initial=-1)) + 1), dtype=bool)
@@ -221,7 +229,7 @@ def _repeated(numbers: np.ndarray, data: np.ndarray, length: int) -> tuple[np.nd
         if wrong.any():  # hashes collided: look at the bytes themselves
             found[mine, back] = False
             texts = [(alike[h], data[suffixes.at[i] - back : suffixes.at[i]].tobytes()) for h, i in zip(held, mine, strict=True)]
-            counts = {t: texts.count(t) for t in set(texts)}
+            counts = Counter(texts)
             found[mine, back] = [counts[t] > 1 for t in texts]
     found &= numbers["asks"].astype(bool)[:, None]
     edge = np.diff(np.pad(found.astype(np.int8), ((0, 0), (1, 1))), axis=1)

@@ -301,10 +301,10 @@ def _finished(k: int):
     return run
 
 
-def exact_top_k(vectors: DataFrame, queries, k: int, scale: int = 64, parts: int = PARTS) -> DataFrame:
+def exact_top_k(vectors: DataFrame, queries: str, k: int, scale: int = 64, parts: int = PARTS) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` highest scores of the vectors chosen by the condition ``queries``."""
     taking = stored(quantised(usable(vectors), scale), "vectors")
-    rows, asked, width = taking.agg(F.count("*"), F.count_if(queries), F.max(F.size("embedding"))).first()
+    rows, asked, width = taking.agg(F.count("*"), F.count_if(F.expr(queries)), F.max(F.size("embedding"))).first()
     width, parts = max(width or 0, parts), parts
     shards = max(1, -(-rows // SHARD))
     lists = stored(packed_lists(dealt(taking, SHARD, rows, 1), width, parts), "lists")
@@ -385,4 +385,4 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 def op2_exact_topk(spark, sf_dir: str) -> DataFrame:
     """The 20 highest integer inner products of every twentieth vector with all others."""
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    return exact_top_k(vectors, F.col("vec_id") % 20 == 0, 20, 64)
+    return exact_top_k(vectors, "vec_id % 20 = 0", 20, 64)
