@@ -64,6 +64,16 @@ def test_drill_down_reaches_the_rows_of_an_alert(det):
     assert sorted(r["timestamp"] for r in rows.collect()) == [120.0, 121.0, 122.0]
 
 
+def test_drill_down_is_not_misled_by_a_repeated_hour(spark):
+    """On 2024-11-03 New York has 01:30 twice, an hour apart."""
+    first, second = 1730611800, 1730615400
+    rows = spark.createDataFrame([stored(first, "ddos", []), stored(second, "normal", ["ddos"])], DET)
+    zone = "America/New_York"
+    alarms = monitoring.only_verdict(monitoring.alerts(rows, zone))
+    found = monitoring.drill_down(monitoring.raw_rows(rows, zone, ["timestamp"]), alarms).collect()
+    assert [r["timestamp"] for r in found] == [float(second)]
+
+
 def test_latest_raw_rows_have_a_total_order(det):
     rows = monitoring.latest_raw_rows(monitoring.raw_rows(det, row_key=["timestamp"]), ["timestamp"], 4).collect()
     assert [r["timestamp"] for r in rows] == [122.0, 121.0, 120.0, 119.99]

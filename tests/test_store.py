@@ -1,12 +1,13 @@
 from __future__ import annotations
 
+import re
 from datetime import datetime, timezone
 
 import pytest
 from conftest import record
 from pyspark.sql import functions as F
 
-from wardline.operators import prepare
+from wardline.operators import monitoring, prepare, scoring
 from wardline.operators.rules import evaluate, parse_rules
 from wardline.schema import RECORD_FIELDS, RECORD_SCHEMA, VALID, VERDICT_FIELDS, detections_schema
 from wardline.streaming.store import Store
@@ -71,8 +72,12 @@ def test_round_trip_keeps_arrays_booleans_and_stamps(store, three):
     assert {r["batch_id"] for r in rows.values()} == {3}
     assert all(abs(r["latency_seconds"] - 0.5) < 1e-6 for r in rows.values())
     assert len({r["processed_at"] for r in rows.values()}) == 1
-    trip = {r["label"]: (r["stored"], r["caught"], r["rule_hits"]) for r in store.round_trip("main").collect()}
-    assert trip == {"ddos": (1, 1, 1), "normal": (1, 1, 1)}
+    should = prepare.detections(three, F.lit(3), F.lit(NOW))
+    trip = {r["label"]: tuple(r)[1:] for r in store.round_trip("main", should).collect()}
+    assert trip == {"ddos": (1, 1, True, True), "normal": (1, 1, True, True)}
+    other = should.withColumn("matched_rule_ids", F.array(F.lit("flood"), F.lit("more")))
+    assert not any(r["same_values"] for r in store.round_trip("main", other).collect())
+    assert {r["read_back"] for r in store.round_trip("none", should).collect()} == {0}
 
 
 def test_rewriting_a_batch_replaces_it(spark, store, three):
@@ -107,6 +112,81 @@ def test_a_half_written_batch_is_not_read(spark, store, three, monkeypatch):
     assert len(contents(store)[0]) == 4
 
 
+@pytest.mark.parametrize("stage", ["detections", "traffic_counts"])
+def test_a_crash_inside_a_replay_shows_no_half_batch(store, three, monkeypatch, stage):
+    store.write_batch(three, 0)
+    store.write_batch(three, 1, now=NOW)
+    whole = contents(store)
+
+    def crash(*_):
+        raise RuntimeError("lost during the replay")
+
+    monkeypatch.setattr(f"wardline.streaming.store.{stage}", crash)
+    with pytest.raises(RuntimeError):
+        store.write_batch(three, 1)  # on another day than before
+    det, cnt = contents(store)
+    assert {r[1] for r in det} == {r[1] for r in cnt} == {0}
+    assert scoring.integrity(store.detections(), store.counts()).where("NOT passed").count() == 0
+    monkeypatch.undo()
+    store.write_batch(three, 1)
+    assert contents(store) == whole
+
+
+def test_two_runs_are_scored_apart_and_together(spark, store, three):
+    store.write_batch(three, 0, "a")
+    store.write_batch(three, 1, "a")
+    store.write_batch(judged(spark, {"label": "ddos", "count": 1}), 0, "b")
+    assert scoring.batch_window(store.counts()).first()["batches"] == 3
+    assert scoring.batch_window(store.counts(run_id="a")).first()["batches"] == 2
+    health = monitoring.batch_health(store.counts())
+    assert sorted((r["run_id"], r["batch_id"], r["messages"]) for r in health.collect()) == [("a", 0, 3), ("a", 1, 3), ("b", 0, 1)]
+    assert monitoring.malformed_running(health).count() == 3
+    recall = {r: scoring.overall_metrics(store.detections(run_id=r), store.counts(run_id=r)).first()["recall"] for r in "ab"}
+    assert recall == {"a": 1.0, "b": 0.0}
+
+
+def test_a_recent_window_opens_recent_days_only(store, three):
+    for day in (1, 2, 3):
+        store.write_batch(three, day, now=NOW.replace(day=day))
+    recent = store.detections(since=NOW.replace(day=3))
+    assert {r["batch_id"] for r in recent.collect()} == {3}
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*day#\d+ >= 2024-01-03", plan)
+
+
+def test_compaction_keeps_the_rows(spark, store, three):
+    for batch in range(4):
+        store.write_batch(three, batch, "a" if batch < 3 else "b", now=NOW.replace(day=1 + batch // 3))
+    before, day = contents(store), NOW.date()
+    store.compact(day)
+    assert contents(store) == before
+    folders = [f for f in store.detections().inputFiles() if "run_id=a" in f]
+    assert folders == [] and {r["batch_id"] for r in store.detections(run_id="a").collect()} == {0, 1, 2}
+    assert store.detections(since=NOW.replace(day=2)).count() == 2
+    store.compact(day)
+    assert contents(store) == before
+    store.write_batch(three, 9, "a", now=NOW.replace(day=2))
+    assert len(contents(store)[0]) == len(before[0]) + 2
+    store.reset()
+    assert contents(store) == ([], [])
+
+
+def test_an_interrupted_compaction_changes_nothing(store, three, monkeypatch):
+    store.write_batch(three, 0, now=NOW)
+    before = contents(store)
+
+    def crash(*_):
+        raise RuntimeError("lost before the mark")
+
+    monkeypatch.setattr("wardline.streaming.store.files.create", crash)
+    with pytest.raises(RuntimeError):
+        store.compact(NOW.date())
+    assert contents(store) == before
+    monkeypatch.undo()
+    store.compact(NOW.date())
+    assert contents(store) == before
+
+
 def test_delete_batch(store, three):
     for batch in (0, 1, -1):
         store.write_batch(three, batch)

@@ -14,7 +14,7 @@ from wardline.operators.shipped_rules import shipped_rules
 from wardline.schema import INCOMPLETE, RECORD_FIELDS, UNPARSEABLE, VERDICT_FIELDS
 from wardline.sources.messages import MESSAGE_SCHEMA, file_stream
 from wardline.streaming import job
-from wardline.streaming.progress import caught_up_without_data, progress_table
+from wardline.streaming.progress import ProgressLog, caught_up_without_data, progress_table
 from wardline.streaming.store import Store
 
 
@@ -142,6 +142,27 @@ def test_processing_time_trigger_and_watching(live, caplog):
     assert live.totals() == {"normal": 18, "ddos": 2}
 
 
+def test_every_batch_and_source_is_logged(spark, live):
+    """More batches than Spark remembers, from two sources."""
+    other = live.source.parent / "other"
+    for i in range(120):
+        deliver(live.source, f"f{i:03}", [good(i)])
+    deliver(other, "o", [good(500)])
+    log = ProgressLog(spark, str(live.source.parent / "progress"), at_once=50)
+    spark.streams.addListener(log)
+    try:
+        both = file_stream(spark, str(live.source), max_files=1).union(file_stream(spark, str(other), max_files=1))
+        run = both.writeStream.format("noop").trigger(availableNow=True)
+        query = run.option("checkpointLocation", str(live.source.parent / "c")).start()
+        query.awaitTermination()
+        table = log.table()
+    finally:
+        spark.streams.removeListener(log)
+    own = table.where(F.col("query_run") == str(query.runId))
+    assert own.select("batch_id").distinct().count() >= 120 and {r["source"] for r in own.select("source").collect()} == {0, 1}
+    assert own.agg(F.sum("records")).first()[0] == 121
+
+
 def test_zero_row_diagnosis(spark):
     rows = [(0, 5, 1.0, 10, None, "{}"), (1, 0, 0.0, 3, "{}", "{}"), (2, 0, 0.0, 3, None, None)]
     from wardline.streaming.progress import PROGRESS_SCHEMA

@@ -26,17 +26,19 @@ def running_totals(
     order_by: str,
     totals: dict[str, str],
     block_size: int = DEFAULT_BLOCK,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Add cumulative sums; ``totals`` maps an output name to an input column.
 
-    ``order_by`` is an integer column with one row per value.
+    ``order_by`` is an integer column with one row per value of each series; ``by`` names the series.
     """
     blocked = _in_blocks(df, order_by, block_size)
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        blocked.groupBy("_block")
+        blocked.groupBy(*by, "_block")
         .agg(*[F.sum(source).alias(f"_sum_{name}") for name, source in totals.items()])
         .select(
+            *by,
             "_block",
             *[
                 F.coalesce(F.sum(f"_sum_{name}").over(before), F.lit(0)).alias(f"_carry_{name}")
@@ -45,14 +47,14 @@ def running_totals(
         )
     )
     within = (
-        Window.partitionBy("_block")
+        Window.partitionBy(*by, "_block")
         .orderBy(order_by)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     inner = blocked.select(
         "*", *[F.sum(source).over(within).alias(f"_run_{name}") for name, source in totals.items()]
     )
-    return inner.join(carried, "_block").select(
+    return inner.join(carried, [*by, "_block"]).select(
         *df.columns,
         *[(F.col(f"_run_{name}") + F.col(f"_carry_{name}")).alias(name) for name in totals],
     )

@@ -28,7 +28,7 @@ from wardline.functions.expressions import (
 )
 from wardline.functions.quantiles import exact_quantiles
 from wardline.functions.running import one_row, previous_value, running_totals
-from wardline.operators.scoring import attribution
+from wardline.operators.scoring import attribution, batch_key
 from wardline.schema import DISPLAY_TIME_ZONE, INCOMPLETE, UNPARSEABLE
 
 
@@ -121,6 +121,7 @@ def raw_rows(
         *row_key,
         display_time(event_instant(), SECOND_FORMAT, zone).alias("event_time"),
         display_time(minute_of(event_instant()), MINUTE_FORMAT, zone).alias("window_start"),
+        minute_of(event_instant()).alias("window_start_ts"),
         event_instant().alias("event_ts"),
         F.col("label").alias("actual_label"),
         listed("matched_attack_types").alias("detected_as"),
@@ -133,14 +134,15 @@ def raw_rows(
 
 
 def latest_raw_rows(rows: DataFrame, row_key: Sequence[str], limit: int = 500) -> DataFrame:
-    """The newest rows; ``row_key`` makes the order total."""
-    return rows.orderBy(F.desc("event_ts"), "problem_rank", *row_key).limit(limit)
+    """The newest rows; what is shown and ``row_key`` make the order total, up to equal rows."""
+    shown = [c for c in rows.columns if c not in ("event_ts", "problem_rank", *row_key)]
+    return rows.orderBy(F.desc("event_ts"), "problem_rank", *row_key, *shown).limit(limit)
 
 
 def drill_down(rows: DataFrame, alert_rows: DataFrame) -> DataFrame:
     """Raw rows that fall into the minute of any of the given alerts."""
-    windows = alert_rows.select("window_start").distinct()
-    return rows.join(windows, "window_start", "left_semi")
+    windows = alert_rows.select("window_start_ts").distinct()
+    return rows.join(windows, "window_start_ts", "left_semi").select(*rows.columns)
 
 
 def recall_by_type(det: DataFrame) -> DataFrame:
@@ -235,7 +237,7 @@ def batch_health(counts: DataFrame) -> DataFrame:
     n = F.col("record_count")
     broken = F.col("label").isin(UNPARSEABLE, INCOMPLETE)
     return (
-        counts.groupBy("batch_id")
+        counts.groupBy(*batch_key(counts))
         .agg(
             total(F.when(~broken, n)).alias("valid"),
             total(F.when(F.col("label") == UNPARSEABLE, n)).alias("unparseable"),
@@ -250,11 +252,13 @@ def batch_health(counts: DataFrame) -> DataFrame:
 
 
 def malformed_running(health: DataFrame) -> DataFrame:
-    """Cumulative malformed totals in batch order."""
+    """Cumulative malformed totals in batch order, each run for itself."""
+    key = batch_key(health)
     return running_totals(
-        health.select("batch_id", "unparseable", "incomplete"),
+        health.select(*key, "unparseable", "incomplete"),
         "batch_id",
         {"unparseable_so_far": "unparseable", "incomplete_so_far": "incomplete"},
+        by=key[:-1],
     )
 
 

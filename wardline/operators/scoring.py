@@ -106,9 +106,14 @@ def latency_summary(
     )
 
 
+def batch_key(counts: DataFrame) -> list[str]:
+    """What tells batches apart: their id, and the run where several are stored."""
+    return [name for name in ("run_id", "batch_id") if name in counts.columns]
+
+
 def batch_window(counts: DataFrame) -> DataFrame:
     return counts.agg(
-        F.count_distinct("batch_id").alias("batches"),
+        F.count_distinct(F.struct(*batch_key(counts))).alias("batches"),
         F.min("batch_time").alias("first_seen"),
         F.max("batch_time").alias("last_seen"),
     )

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wardline.operators.decode import parse_messages
 from wardline.operators.rules import Rule, evaluate
 from wardline.schema import REQUIRED_FIELDS
-from wardline.sources.tables import is_complete
+from wardline.sources import files
 from wardline.streaming.store import Store
 
 LOG = logging.getLogger("wardline")
@@ -28,10 +28,8 @@ def run_id_of(spark: SparkSession, checkpoint: str) -> str:
     cannot overwrite the batches of the previous run.
     """
     path = f"{checkpoint.rstrip('/')}/wardline_run"
-    if not is_complete(spark, path):
-        fresh = spark.createDataFrame([(uuid.uuid4().hex,)], "value string")
-        fresh.coalesce(1).write.mode("overwrite").text(path)
-    return spark.read.text(path).first()["value"]
+    files.create(spark, path, uuid.uuid4().hex)
+    return files.read(spark, path)
 
 
 def start_detection(

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import json
 import logging
+from threading import Lock
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 LOG = logging.getLogger("wardline")
 
@@ -21,13 +23,68 @@ PROGRESS_SCHEMA = (
 STALL_SECONDS = 60
 
 
+LOG_SCHEMA = (
+    "query_run string, batch_id bigint, source int, description string, records bigint, batch_records bigint, "
+    "batch_ms bigint, start_offset string, end_offset string"
+)
+
+
+def text(offset: Any) -> str | None:
+    return None if offset is None else json.dumps(offset, sort_keys=True)
+
+
+class ProgressLog(StreamingQueryListener):
+    """Keeps every progress report as rows of a stored table, one per batch and source.
+
+    Spark itself remembers only the last reports of a query.  Rows are held back
+    until there are ``at_once`` of them, so that a short trigger does not write a
+    file per batch.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, at_once: int = 1000):
+        self.spark, self.folder, self.at_once = spark, folder, at_once
+        self._rows: list[tuple] = []
+        self._lock = Lock()
+
+    def onQueryStarted(self, event: Any) -> None:
+        pass
+
+    def onQueryProgress(self, event: Any) -> None:
+        report = json.loads(event.progress.json)
+        rows = [
+            (
+                report["runId"], report["batchId"], number, source.get("description"), source.get("numInputRows"),
+                report.get("numInputRows"), (report.get("durationMs") or {}).get("triggerExecution"),
+                text(source.get("startOffset")), text(source.get("endOffset")),
+            )
+            for number, source in enumerate(report.get("sources") or [{}])
+        ]
+        with self._lock:
+            self._rows += rows
+            full = len(self._rows) >= self.at_once
+        if full:
+            self.flush()
+
+    def onQueryTerminated(self, event: Any) -> None:
+        pass
+
+    def flush(self) -> None:
+        """Append what is held back to the table."""
+        with self._lock:
+            rows, self._rows = self._rows, []
+        self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.folder)
+
+    def table(self) -> DataFrame:
+        """All reports so far; waits for those that Spark has not delivered yet."""
+        self.spark._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        self.flush()
+        return self.spark.read.schema(LOG_SCHEMA).parquet(self.folder)
+
+
 def _row(report: Any) -> tuple:
     report = json.loads(report.json) if hasattr(report, "json") else dict(report)
     source = (report.get("sources") or [{}])[0]
 
-    def text(offset: Any) -> str | None:
-        return None if offset is None else json.dumps(offset, sort_keys=True)
-
     rate = report.get("inputRowsPerSecond")
     return (
         report.get("batchId"),
@@ -40,7 +97,7 @@ def _row(report: Any) -> tuple:
 
 
 def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """The reports Spark keeps of a query (a bounded list), one row each."""
+    """The last reports, as Spark keeps them in memory; ``ProgressLog`` keeps all."""
     return spark.createDataFrame([_row(p) for p in query.recentProgress], PROGRESS_SCHEMA)
 
 

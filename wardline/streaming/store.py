@@ -1,26 +1,28 @@
 """The two stored tables as Parquet folders, written from the executors.
 
-Layout: ``<root>/<table>/run_id=<run>/batch_id=<n>/part-*.parquet``.  A batch is
-one folder per table and is always overwritten as a whole, so running a batch
-again - after a crash between writing and committing - replaces its rows
-instead of adding them.  The counts folder is written last; its presence marks
-the batch as complete, and readers skip detections of incomplete batches.
+Layout: ``<root>/<table>/day=<d>/run_id=<run>/batch_id=<n>/part-*.parquet``.  A
+batch is one folder per table and is always replaced as a whole, so running a
+batch again - after a crash between writing and committing - replaces its rows
+instead of adding them.  The counts folder marks a batch as complete: it is the
+first to go and the last to come, and readers skip detections without it.
 
 Batch ids restart at zero with a new checkpoint, so a run id separates the
-lives of a stream.
+lives of a stream.  The day is that of processing; readers that look back a few
+minutes list the folders of a day or two.  ``compact`` turns a day that is over
+into a few large files; a mark created at once makes readers change over.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
-from wardline.functions.expressions import is_reserved, total
+from wardline.functions.expressions import total
 from wardline.operators.prepare import detections, sort_for_storage, traffic_counts
 from wardline.schema import (
     COUNTS_SCHEMA,
@@ -29,8 +31,15 @@ from wardline.schema import (
     UNPARSEABLE,
     detections_schema,
 )
+from wardline.sources import files
 
-PARTITION_FIELDS = [StructField("run_id", StringType()), StructField("batch_id", LongType())]
+PARTITION_FIELDS = [
+    StructField("day", DateType()), StructField("run_id", StringType()), StructField("batch_id", LongType())
+]
+#: The tables in the order in which a batch leaves them; it enters them in the other.
+MARKER_FIRST = ("traffic_counts", "detections")
+#: When a row of each table was processed.
+CLOCKS = {"traffic_counts": "batch_time", "detections": "processed_at"}
 
 
 @dataclass(frozen=True)
@@ -66,8 +75,11 @@ class Store:
     def _folder(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
-    def _batch_folder(self, table: str, run_id: str, batch_id: int) -> str:
-        return f"{self._folder(table)}/run_id={run_id}/batch_id={batch_id}"
+    def _batch_folder(self, table: str, day: date | str, run_id: str, batch_id: int) -> str:
+        return f"{self._folder(table)}/day={day}/run_id={run_id}/batch_id={batch_id}"
+
+    def _closed_folder(self, table: str) -> str:
+        return f"{self.root.rstrip('/')}/closed/{table}"
 
     def _stored_type(self, table: str) -> StructType:
         """Columns inside the files: everything that is not a partition."""
@@ -79,7 +91,7 @@ class Store:
             self.spark.createDataFrame([], layout)
             .write.mode(mode)
             .option("partitionOverwriteMode", "static")
-            .partitionBy("run_id", "batch_id")
+            .partitionBy("day", "run_id", "batch_id")
             .parquet(self._folder(table))
         )
 
@@ -92,30 +104,70 @@ class Store:
 
     def reset(self) -> None:
         """Drop every row of both tables and keep the tables."""
-        for table in self._tables():
+        for day in self._closed_days():
+            files.delete(self.spark, f"{self._closed_folder('done')}/day={day}")
+        for table in MARKER_FIRST:
             self._blank(table, "overwrite")
+        files.delete(self.spark, f"{self.root.rstrip('/')}/closed")
 
     def delete_batch(self, batch_id: int, run_id: str = "main") -> None:
-        """Drop one batch: the marker table first, so no half batch shows."""
-        for table in ("traffic_counts", "detections"):
-            empty = self.spark.createDataFrame([], self._stored_type(table))
-            empty.write.mode("overwrite").parquet(self._batch_folder(table, run_id, batch_id))
+        """Drop one batch of whatever day: the marker table first, so no half batch shows."""
+        for table in MARKER_FIRST:
+            for folder in files.matching(self.spark, self._batch_folder(table, "*", run_id, batch_id)):
+                files.delete(self.spark, folder)
+
+    def compact(self, day: date) -> None:
+        """Rewrite a day that is over as few files, and drop its batch folders.
+
+        Nothing of that day may be written any more.  Until the mark is there readers
+        use the batch folders, from then on the compacted files; both hold the same rows.
+        """
+        rows = {"detections": self.detections(), "traffic_counts": self.counts()}
+        if day not in self._closed_days():
+            for table, stored in rows.items():
+                own = stored.where(F.to_date(CLOCKS[table]) == F.lit(day))
+                merged = own.repartitionByRange("label", CLOCKS[table]).sortWithinPartitions("label", CLOCKS[table])
+                merged.write.mode("overwrite").parquet(f"{self._closed_folder(table)}/day={day}")
+            files.create(self.spark, f"{self._closed_folder('done')}/day={day}", "")
+        for table in MARKER_FIRST:
+            files.delete(self.spark, f"{self._folder(table)}/day={day}")
+
+    def _closed_days(self) -> list[date]:
+        marks = files.matching(self.spark, f"{self._closed_folder('done')}/day=*")
+        return sorted(date.fromisoformat(mark.rpartition("=")[2]) for mark in marks)
 
     # --- reading ---
 
-    def _read(self, table: str) -> DataFrame:
+    def _read(self, table: str, run_id: str | None, since: datetime | None) -> DataFrame:
+        """Rows of one table, of one run or all, from an instant on; days and runs before the files are opened."""
         layout = StructType(self._stored_type(table).fields + PARTITION_FIELDS)
+        columns = [*self._tables()[table].fieldNames(), "run_id"]
+        first = None if since is None else since.astimezone(timezone.utc).date()
+        closed = [d for d in self._closed_days() if first is None or d >= first]
         stored = self.spark.read.schema(layout).parquet(self._folder(table))
-        return stored.select(*self._tables()[table].fieldNames(), "run_id")
-
-    def counts(self) -> DataFrame:
-        return self._read("traffic_counts")
-
-    def detections(self, complete_only: bool = True) -> DataFrame:
-        stored = self._read("detections")
+        if closed:
+            stored = stored.where(~F.col("day").isin(closed))
+        if first is not None:
+            stored = stored.where(F.col("day") >= F.lit(first))
+        stored = stored.select(*columns)
+        if closed:
+            places = [f"{self._closed_folder(table)}/day={d}" for d in closed]
+            inside = StructType([*self._tables()[table].fields, StructField("run_id", StringType())])
+            stored = stored.unionByName(self.spark.read.schema(inside).parquet(*places))
+        if run_id is not None:
+            stored = stored.where(F.col("run_id") == run_id)
+        return stored if since is None else stored.where(F.col(CLOCKS[table]) >= F.lit(since))
+
+    def counts(self, run_id: str | None = None, since: datetime | None = None) -> DataFrame:
+        return self._read("traffic_counts", run_id, since)
+
+    def detections(
+        self, complete_only: bool = True, run_id: str | None = None, since: datetime | None = None
+    ) -> DataFrame:
+        stored = self._read("detections", run_id, since)
         if not complete_only:
             return stored
-        complete = self.counts().select("run_id", "batch_id").distinct()
+        complete = self.counts(run_id, since).select("run_id", "batch_id").distinct()
         whole = stored.join(complete, ["run_id", "batch_id"], "left_semi")
         return whole.select(*stored.columns)
 
@@ -138,13 +190,15 @@ class Store:
         """
         clock = now or datetime.now(timezone.utc)
         stamp, tag = F.lit(clock).cast("timestamp"), F.lit(batch_id)
+        day = clock.astimezone(timezone.utc).date()
+        self.delete_batch(batch_id, run_id)  # what an earlier attempt left, its marker first
 
         if cached:
             evaluated.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             rows = detections(evaluated, tag, stamp, self.record_schema).drop("batch_id")
             sort_for_storage(rows).write.mode("overwrite").parquet(
-                self._batch_folder("detections", run_id, batch_id)
+                self._batch_folder("detections", day, run_id, batch_id)
             )
             n = F.col("record_count")
             seen = Observation()
@@ -159,7 +213,7 @@ class Store:
                 )
             )
             tallies.write.mode("overwrite").parquet(
-                self._batch_folder("traffic_counts", run_id, batch_id)
+                self._batch_folder("traffic_counts", day, run_id, batch_id)
             )
             found = seen.get
         finally:
@@ -168,17 +222,27 @@ class Store:
         unparseable, incomplete = found["unparseable"], found["incomplete"]
         return BatchTotals(found["messages"] - unparseable - incomplete, unparseable, incomplete)
 
-    def round_trip(self, run_id: str) -> DataFrame:
-        """Per label, what reading a run's detections back yields."""
-        return (
-            self.detections()
-            .where(F.col("run_id") == run_id)
-            .where(~is_reserved())
-            .groupBy("label")
-            .agg(
-                F.count(F.lit(1)).alias("stored"),
-                F.count_if("is_detection").alias("caught"),
-                F.sum(F.size("matched_rule_ids")).cast("bigint").alias("rule_hits"),
-                F.count("max_severity").alias("with_severity"),
-            )
+    def round_trip(self, run_id: str, written: DataFrame) -> DataFrame:
+        """Per label, rows that should be in a run's detections against rows that are, value for value.
+
+        ``written`` has the stored columns; array order and every value must have come back.
+        """
+        names = [f for f in self.detections_type.fieldNames() if f not in ("batch_id", "processed_at", "latency_seconds")]
+        types = self.detections_type
+        back = self.detections(run_id=run_id)
+
+        def tallied(rows: DataFrame, side: str) -> DataFrame:
+            digest = F.xxhash64(*[F.col(f"`{n}`") for n in names])
+            return rows.select("label", digest.alias("digest"), F.lit(side).alias("side"))
+
+        both = tallied(written, "written").unionByName(tallied(back, "read"))
+        alike = all(back.schema[n].dataType == types[n].dataType for n in names)
+        value = F.col("digest").cast("decimal(38,0)")
+        return both.groupBy("label").agg(
+            F.count_if(F.col("side") == "written").alias("written"),
+            F.count_if(F.col("side") == "read").alias("read_back"),
+            F.coalesce(
+                F.sum(F.when(F.col("side") == "written", value).otherwise(-value)) == 0, F.lit(False)
+            ).alias("same_values"),
+            F.lit(alike).alias("same_types"),
         )
