@@ -4,7 +4,8 @@ import pytest
 
 from wardline.session import prepare_session, shared_dir
 from wardline.sources.messages import DEFAULT_MAX_RECORDS, file_stream, kafka_options, kafka_stream
-from wardline.sources.tables import read_table, spread, state_of
+from wardline.sources import files
+from wardline.sources.tables import state_of
 
 
 def test_topic_options():
@@ -32,12 +33,13 @@ def test_file_stream_bounds(spark, tmp_path):
         file_stream(spark, str(tmp_path), max_files=1, max_bytes="1m")
 
 
-def test_spread_only_widens(spark, data):
-    events = read_table(spark, data, "events")
-    wanted = spark.sparkContext.defaultParallelism
-    assert spread(events).rdd.getNumPartitions() == wanted
-    wide = events.repartition(wanted + 3)
-    assert spread(wide) is wide
+def test_small_files_are_created_once(spark, tmp_path):
+    place = f"{tmp_path}/a/b"
+    assert files.read(spark, place) is None and files.matching(spark, f"{tmp_path}/a/*") == []
+    assert files.create(spark, place, "first") and not files.create(spark, place, "second")
+    assert files.read(spark, place) == "first" and len(files.matching(spark, f"{tmp_path}/a/*")) == 1
+    files.delete(spark, place)
+    assert files.read(spark, place) is None
 
 
 def test_state_notices_a_rewrite(spark, tmp_path):

@@ -7,6 +7,7 @@ The callables only bind operators to the given tables and fix the presentation
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, datetime, timezone
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +25,7 @@ from wardline.operators import decode, monitoring, prepare, scoring
 from wardline.operators.rules import evaluate
 from wardline.operators.shipped_rules import shipped_rules
 from wardline.plans import rulesets
-from wardline.plans.staging import written_once
+from wardline.plans.staging import folder_once, written_once
 from wardline.schema import (
     COUNT_LABEL_COLUMN,
     COUNTS_SCHEMA,
@@ -38,8 +39,8 @@ from wardline.sources import adapters
 from wardline.sources.messages import file_stream
 from wardline.sources.tables import read_table
 from wardline.streaming.job import run_available, run_id_of
-from wardline.streaming.progress import caught_up_without_data, progress_table
-from wardline.streaming.report import export_report
+from wardline.streaming.progress import ProgressLog
+from wardline.streaming.report import export_report, report_parts
 from wardline.streaming.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,8 +109,8 @@ class Views:
 
     @property
     def now(self) -> Column:
-        """The newest minute of the data, in place of the wall clock."""
-        return self.events.agg(F.max("processed_at").alias("t")).scalar()
+        """The newest batch of the data, in place of the wall clock."""
+        return self.counts.agg(F.max("batch_time").alias("t")).scalar()
 
 
 def rounded(df: DataFrame, *names: str, places: int = 6) -> DataFrame:
@@ -217,9 +218,6 @@ def event_time_format(v: Views) -> DataFrame:
 
 # --- monitoring -------------------------------------------------------------
 
-MONTH_OF_MINUTES = 31 * 24 * 60
-
-
 def _alerts(v: Views) -> DataFrame:
     return monitoring.alerts(v.det)
 
@@ -232,20 +230,20 @@ def alert_raw(v: Views) -> DataFrame:
     rows = monitoring.latest_raw_rows(
         _raw(v), row_key=("timestamp", "actual_label", "service", "src_bytes", "dst_bytes")
     )
-    return texts(rows, "event_ts")
+    return texts(rows.drop("window_start_ts"), "event_ts")
 
 
 def alert_drilldown(v: Views) -> DataFrame:
     false_alarms = monitoring.only_verdict(_alerts(v))
-    return texts(monitoring.drill_down(_raw(v), false_alarms), "event_ts")
+    return texts(monitoring.drill_down(_raw(v), false_alarms).drop("window_start_ts"), "event_ts")
 
 
 def latency_over_time(v: Views) -> DataFrame:
-    return texts(monitoring.latency_over_time(v.det, MONTH_OF_MINUTES, v.now), "minute")
+    return texts(monitoring.latency_over_time(v.det, now=v.now), "minute")
 
 
 def throughput(v: Views) -> DataFrame:
-    return texts(monitoring.throughput(v.counts, MONTH_OF_MINUTES, v.now), "batch_time")
+    return texts(monitoring.throughput(v.counts, now=v.now), "batch_time")
 
 
 def idle_streaks(v: Views) -> DataFrame:
@@ -262,20 +260,49 @@ def batch_cost_fit(v: Views) -> DataFrame:
     return rounded(monitoring.batch_cost_fit(batches), "ms_per_record", "fixed_ms", places=4)
 
 
+# --- runs, store and stream -------------------------------------------------
+
+#: Rules of the second stored run: all but the last.
+FEWER_RULES = shipped_rules()[:-1]
+
+
+def _two_runs(v: Views) -> Store:
+    """A store of two runs over the same messages: in two batches, and in one with fewer rules."""
+
+    def fill(folder: str) -> None:
+        store = Store(v.spark, folder)
+        store.ensure_tables()
+        early, rows = F.minute("processed_at") < 30, ("event_id", "batch_id", "processed_at")
+        for batch, part in enumerate((early, ~early)):
+            judged = evaluate(v.parsed.where(part).drop(*rows), shipped_rules())
+            store.write_batch(judged, batch, "a", datetime(2024, 1, 30 + batch, 12, tzinfo=timezone.utc))
+        judged = evaluate(v.parsed.drop(*rows), FEWER_RULES)
+        store.write_batch(judged, 0, "b", datetime(2024, 2, 1, 12, tzinfo=timezone.utc))
+        store.compact(date(2024, 1, 30))
+
+    return Store(v.spark, folder_once(v.spark, v.directory, "events", "two-runs", fill))
+
+
+def runs_batch_window(v: Views) -> DataFrame:
+    return texts(scoring.batch_window(_two_runs(v).counts()), "first_seen", "last_seen")
+
+
+def runs_batch_health(v: Views) -> DataFrame:
+    return rounded(monitoring.batch_health(_two_runs(v).counts()), "malformed_pct")
+
+
+def runs_malformed_running(v: Views) -> DataFrame:
+    return monitoring.malformed_running(monitoring.batch_health(_two_runs(v).counts()))
+
+
 def run_compare(v: Views) -> DataFrame:
-    """Scored straight from typed records, against scored through messages."""
-    records = v.judged_records
-    direct = scoring.long_metrics(
-        prepare.worth_storing(records),
-        prepare.traffic_counts(records, F.col("batch_id"), F.col("processed_at")),
+    """Two stored runs, the second with a rule less."""
+    store = _two_runs(v)
+    left, right = (
+        scoring.long_metrics(store.detections(run_id=run), store.counts(run_id=run)) for run in ("a", "b")
     )
-    return rounded(
-        scoring.run_compare(direct, scoring.long_metrics(v.det, v.counts)),
-        "left_value", "right_value", "delta",
-    )
-
+    return rounded(scoring.run_compare(left, right), "left_value", "right_value", "delta")
 
-# --- store and stream -------------------------------------------------------
 
 def _one_batch(v: Views) -> tuple[Store, DataFrame]:
     store = Store(v.spark, shared_dir(v.spark, "store"))
@@ -284,9 +311,10 @@ def _one_batch(v: Views) -> tuple[Store, DataFrame]:
 
 
 def sink_roundtrip(v: Views) -> DataFrame:
+    """What was stored as one batch against the same rows prepared anew."""
     store, rows = _one_batch(v)
-    store.write_batch(rows, 0, cached=False)
-    return store.round_trip("main")
+    store.write_batch(rows, 0)
+    return store.round_trip("main", v.det)
 
 
 def _sizes(moment: str, store: Store) -> DataFrame:
@@ -295,18 +323,21 @@ def _sizes(moment: str, store: Store) -> DataFrame:
 
 
 def reset_tables(v: Views) -> DataFrame:
-    """Row counts after a reset; the batch before it was the whole data."""
+    """Row counts before and after a reset; the batch before it is the whole data."""
     store, rows = _one_batch(v)
-    store.write_batch(rows, 0, cached=False)
+    store.write_batch(rows, 0)
+    before = v.spark.createDataFrame(_sizes("before reset", store).toArrow())  # two rows
     store.reset()
-    return _sizes("after reset", store)
+    return before.unionByName(_sizes("after reset", store))
 
 
 def delete_batch(v: Views) -> DataFrame:
-    """The whole data stored as two batches, one of them deleted again."""
-    store, rows = _one_batch(v)
-    store.write_batch(rows, 0, cached=False)
-    store.write_batch(rows, 1, cached=False)
+    """The data stored as two batches, one of them deleted again."""
+    store = Store(v.spark, shared_dir(v.spark, "store"))
+    store.ensure_tables()
+    early, rows = F.minute("processed_at") < 30, ("event_id", "batch_id", "processed_at")
+    for batch, part in enumerate((early, ~early)):
+        store.write_batch(v.judged.where(part).drop(*rows), batch)
     store.delete_batch(1)
     return store.counts().groupBy("batch_id", "label").agg(
         F.sum("record_count").alias("record_count")
@@ -314,20 +345,27 @@ def delete_batch(v: Views) -> DataFrame:
 
 
 def report_export(v: Views) -> DataFrame:
+    """Every part of the exported report read back: a row per part, label and figure."""
     folder = shared_dir(v.spark, "report")
     export_report(v.det, v.counts, folder)
-    labels = v.spark.read.schema("label string, stored bigint, caught bigint").json(f"{folder}/by_label")
-    overall = v.spark.read.schema("tp bigint, fn bigint, fp bigint, tn bigint").json(f"{folder}/overall")
-    whole = overall.select(
-        F.lit("*").alias("label"),
-        (F.col("tp") + F.col("fn") + F.col("fp")).alias("stored"),
-        (F.col("tp") + F.col("fp")).alias("caught"),
-    )
-    return labels.unionByName(whole)
-
-
-#: Most files one micro-batch of a stream query takes.
-MAX_BATCH_FILES = 4096
+    out = None
+    for name, part in report_parts(v.det, v.counts).items():
+        back = v.spark.read.schema(part.schema).json(f"{folder}/{name}")
+        keys = [F.col(c) for c in ("check_name", "label") if c in part.columns]
+        figures = [c for c, kind in part.dtypes if kind in ("bigint", "double", "boolean")]
+        rows = back.select(
+            F.lit(name).alias("part"),
+            F.concat_ws("/", *keys).alias("item"),
+            F.explode(F.array(*[
+                F.struct(F.lit(c).alias("figure"), F.round(F.col(f"`{c}`").cast("double"), 6).alias("value")) for c in figures
+            ])).alias("cell"),
+        ).select("part", "item", "cell.*")
+        out = rows if out is None else out.unionByName(rows)
+    return out.where("value IS NOT NULL")
+
+
+#: Bounds of a micro-batch of the stream queries: files, and messages in a file.
+BATCH_FILES, FILE_MESSAGES = 4, 2500
 
 
 def _live(v: Views) -> tuple[str, Store, str]:
@@ -335,22 +373,20 @@ def _live(v: Views) -> tuple[str, Store, str]:
     return f"{root}/in", Store(v.spark, f"{root}/store"), f"{root}/checkpoint"
 
 
-def _deliver_and_drain(
-    v: Views, messages: DataFrame, source: str, store: Store, checkpoint: str
-) -> StreamingQuery:
-    """Leave messages as text files, one per split, and stream what is new.
-
-    Half of the files make a micro-batch, within a fixed bound; batches
-    with fewer files than cores are spread before they are decoded.
-    """
-    messages.select("value").write.mode("append").option("compression", "gzip").text(source)
-    files = messages.rdd.getNumPartitions()
-    per_batch = min(-(-files // 2), MAX_BATCH_FILES)
-    cores = v.spark.sparkContext.defaultParallelism
-    return run_available(
-        file_stream(v.spark, source, max_files=per_batch), shipped_rules(), store, checkpoint,
-        decode_partitions=cores if per_batch < cores else None,
-    )
+def _deliver(messages: DataFrame, source: str) -> None:
+    """Leave messages as text files of bounded length."""
+    writer = messages.select("value").write.mode("append").option("compression", "gzip")
+    writer.option("maxRecordsPerFile", FILE_MESSAGES).text(source)
+
+
+def _drain(v: Views, source: str, store: Store, checkpoint: str) -> StreamingQuery:
+    """Stream what is new in the source, in micro-batches of bounded size."""
+    return run_available(file_stream(v.spark, source, max_files=BATCH_FILES), shipped_rules(), store, checkpoint)
+
+
+def _deliver_and_drain(v: Views, messages: DataFrame, source: str, store: Store, checkpoint: str) -> StreamingQuery:
+    _deliver(messages, source)
+    return _drain(v, source, store, checkpoint)
 
 
 def stream_ingest(v: Views) -> DataFrame:
@@ -363,13 +399,13 @@ def stream_ingest(v: Views) -> DataFrame:
 def stream_detect(v: Views) -> DataFrame:
     source, store, checkpoint = _live(v)
     _deliver_and_drain(v, v.messages, source, store, checkpoint)
-    return store.round_trip(run_id_of(v.spark, checkpoint))
+    return store.round_trip(run_id_of(v.spark, checkpoint), v.det)
 
 
 def stream_resume(v: Views) -> DataFrame:
     """Two runs on one checkpoint; messages arrive before each of them."""
     source, store, checkpoint = _live(v)
-    early = F.hour("processed_at") < 12
+    early = F.minute("processed_at") < 30
     for part in (v.messages.where(early), v.messages.where(~early)):
         _deliver_and_drain(v, part, source, store, checkpoint)
     return store.counts().groupBy("label").agg(
@@ -378,11 +414,30 @@ def stream_resume(v: Views) -> DataFrame:
 
 
 def stream_progress(v: Views) -> DataFrame:
+    """Per run of a stream what its batches read; the second run finds nothing new."""
     source, store, checkpoint = _live(v)
-    query = _deliver_and_drain(v, v.messages, source, store, checkpoint)
-    progress = progress_table(v.spark, query)
-    waiting = caught_up_without_data(progress).select("batch_id", F.lit(True).alias("caught_up"))
-    return progress.join(waiting, "batch_id", "left").fillna(False, ["caught_up"])
+    _deliver(v.messages, source)
+    log = ProgressLog(v.spark, f"{checkpoint}-progress")
+    v.spark.streams.addListener(log)
+    try:
+        runs = [str(_drain(v, source, store, checkpoint).runId) for _ in range(2)]
+        reports = log.table()
+    finally:
+        v.spark.streams.removeListener(log)
+    ceiling = F.lit(BATCH_FILES * FILE_MESSAGES)
+    numbered = F.create_map(*[F.lit(x) for i, run in enumerate(runs) for x in (run, i + 1)])
+    started = v.spark.createDataFrame([(i + 1,) for i in range(len(runs))], "run int")
+    read = reports.groupBy(F.element_at(numbered, F.col("query_run")).alias("run")).agg(
+        F.sum("records").alias("records"),
+        F.count_if(F.col("batch_records") > ceiling).alias("over_ceiling"),
+        F.count_distinct("source").alias("sources"),
+    )
+    return started.join(read, "run", "left").select(
+        "run",
+        F.coalesce("records", F.lit(0)).alias("records"),
+        F.coalesce("over_ceiling", F.lit(0)).alias("over_ceiling"),
+        (F.coalesce("records", F.lit(0)) == 0).alias("caught_up"),
+    )
 
 
 QUERIES: dict[str, Callable[[Views], DataFrame]] = {
@@ -418,6 +473,9 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "baseline_accuracy": lambda v: rounded(scoring.baseline_accuracy(v.det, v.counts), "lift"),
     "class_mix": lambda v: scoring.class_mix(v.counts),
     "fp_by_rule": lambda v: scoring.false_positives_by_rule(v.det, v.counts),
+    "runs_batch_window": runs_batch_window,
+    "runs_batch_health": runs_batch_health,
+    "runs_malformed_running": runs_malformed_running,
     "run_compare": run_compare,
     "offline_score": lambda v: scoring.offline_score(v.judged_records),
     "offline_fp_rate": lambda v: scoring.offline_fp_rate(v.judged_records),

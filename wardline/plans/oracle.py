@@ -9,14 +9,22 @@ from __future__ import annotations
 
 from wardline.schema import INCOMPLETE, RECORD_FIELDS, UNPARSEABLE, VALID
 from wardline.sources.adapters import (
-    ATTACK_TYPES,
     CUT_EVERY,
+    FIRES,
+    LABEL,
     MISTYPED_EVERY,
+    ORIGIN_MICROS,
+    POSE,
+    SPEED,
     UNLABELLED_EVERY,
     record_expression,
 )
 
-_KINDS = ", ".join(f"'{name}'" for name in ATTACK_TYPES)
+
+def _duck(expression: str) -> str:
+    """A shared expression in DuckDB's words, where a cast to an integer would round."""
+    return expression.replace("CAST(event_id / 20", "CAST(event_id // 20")
+
 
 _EV = """
 ev AS (
@@ -44,14 +52,16 @@ evj AS (
 )"""
 
 _REC = _EV + f""",
-base AS (
-  SELECT event_id, batch_id, processed_at, value, k, epoch_us(ts) / 1e6 AS epoch_seconds,
-         ((event_id * 7919) % 1000) / 1e3 AS u, ((event_id * 104729) % 997) / 997e0 AS w,
-         CASE WHEN event_id % 20 = 19
-              THEN list_extract([{_KINDS}], CAST((event_id // 20) % 6 + 1 AS INT))
-              ELSE 'normal' END AS label
+timed AS (
+  SELECT *, CAST(floor((epoch_us(ts) - {ORIGIN_MICROS}) / {SPEED}) AS BIGINT) + {ORIGIN_MICROS} AS micros
   FROM ev
 ),
+base AS (
+  SELECT event_id, user_id, value, k, micros // 60000000 AS batch_id,
+         make_timestamp((micros // 60000000 + 1) * 60000000) AS processed_at, micros / 1e6 AS epoch_seconds,
+         {_duck(LABEL)} AS label, {_duck(POSE)} AS pose, {FIRES} AS fires
+  FROM timed
+),
 rec AS (
   SELECT event_id, batch_id, processed_at,
          {", ".join(f'{record_expression(name)} AS "{name}"' for name in RECORD_FIELDS)}
@@ -59,8 +69,8 @@ rec AS (
 )"""
 
 
-def _judged(name: str, source: str) -> str:
-    """The shipped rules over ``source``; a null comparison is no match."""
+def _judged(name: str, source: str, last: str = "true") -> str:
+    """The shipped rules over ``source``; a null comparison is no match.  ``last`` can switch the last rule off."""
     return f"""
 {name} AS (
   SELECT *, r1 OR r2 OR r3 OR r4 OR r5 OR r6 AS flagged,
@@ -82,7 +92,7 @@ def _judged(name: str, source: str) -> str:
       coalesce("count" <= 8 AND dst_host_count <= 15 AND dst_host_srv_count <= 15
                AND same_srv_rate >= 0.85e0, false) AS r4,
       coalesce(src_bytes >= 50000 AND dst_bytes <= 1000 AND logged_in = 1, false) AS r5,
-      coalesce(dst_bytes >= 65000 AND src_bytes <= 500, false) AS r6
+      coalesce(dst_bytes >= 65000 AND src_bytes <= 500, false) AND {last} AS r6
     FROM {source})
 )"""
 
@@ -265,19 +275,38 @@ def _det_query(body: str, *more: str) -> str:
 _DET_COLUMNS = ", ".join(f'"{name}"' for name in RECORD_FIELDS)
 
 _ROUND_TRIP = _det_query(
-    f"""SELECT label, {_n("count(*)", "stored")}, {_n("count(*) FILTER (WHERE flagged)", "caught")},
-        {_n("sum(r1::INT + r2::INT + r3::INT + r4::INT + r5::INT + r6::INT)", "rule_hits")},
-        {_n("count(max_severity)", "with_severity")} FROM det GROUP BY label"""
+    """SELECT label, count(*) AS written, count(*) AS read_back, true AS same_values, true AS same_types
+       FROM det GROUP BY label"""
 )
 
-_HEALTH = f"""
+_RUNS = _MSG + """,
+cnt AS (
+  SELECT 'a' AS run_id, CASE WHEN minute(processed_at) < 30 THEN 0 ELSE 1 END AS batch_id, count_label AS label,
+         CASE WHEN minute(processed_at) < 30 THEN TIMESTAMP '2024-01-30 12:00:00'
+              ELSE TIMESTAMP '2024-01-31 12:00:00' END AS batch_time, count(*) AS record_count
+  FROM msg GROUP BY ALL
+  UNION ALL
+  SELECT 'b', 0, count_label, TIMESTAMP '2024-02-01 12:00:00', count(*) FROM msg GROUP BY ALL
+)"""
+
+
+def _cells(part: str, source: str, figures: str, item: str = "''") -> str:
+    """One row per figure of a report part."""
+    return " UNION ALL ".join(
+        f"SELECT '{part}' AS part, {item} AS item, '{name}' AS figure, round(CAST(\"{name}\" AS DOUBLE), 6) AS value FROM {source}"
+        for name in figures.split()
+    )
+
+
+def _health(key: str = "batch_id") -> str:
+    return f"""
 health AS (
-  SELECT batch_id,
+  SELECT {key},
     {_n(f"coalesce(sum(record_count) FILTER (WHERE label NOT IN ('{UNPARSEABLE}', '{INCOMPLETE}')), 0)", "valid")},
     {_n(f"coalesce(sum(record_count) FILTER (WHERE label = '{UNPARSEABLE}'), 0)", "unparseable")},
     {_n(f"coalesce(sum(record_count) FILTER (WHERE label = '{INCOMPLETE}'), 0)", "incomplete")},
     {_n("sum(record_count)", "messages")}
-  FROM cnt GROUP BY batch_id
+  FROM cnt GROUP BY {key}
 )"""
 
 
@@ -288,6 +317,20 @@ def _hits(source: str, tests: dict[str, str]) -> str:
     )
 
 
+_CHECKS = " UNION ALL ".join([
+            _check("stored_matches_traffic", "coalesce(t.n, 0) = coalesce(d.n, 0)", "coalesce(t.n, 0)",
+                   "coalesce(d.n, 0)", "coalesce(t.label, d.label)")
+            + f""" FROM (SELECT label, sum(record_count) AS n FROM cnt WHERE {_REAL} AND label <> 'normal'
+                         GROUP BY label) t
+                   FULL OUTER JOIN (SELECT label, count(*) AS n FROM det WHERE label <> 'normal' GROUP BY label) d
+                   ON t.label = d.label""",
+            _check("false_positives_within_normal", "fp <= normal_total", "normal_total", "fp") + " FROM m",
+            _check("latency_not_negative", "max(latency_seconds) >= 0", "0", "max(latency_seconds)") + " FROM det",
+            _check("no_clock_skew", "min(latency_seconds) >= 0", "0", "min(latency_seconds)") + " FROM det",
+            _check("no_reserved_label_stored", "count(*) = 0", "0", "count(*)") + f" FROM det WHERE NOT ({_REAL})",
+])
+
+
 ORACLE: dict[str, str] = {
     "rule_ops": f"WITH {_EV} "
     + _hits("ev", {
@@ -394,21 +437,7 @@ ORACLE: dict[str, str] = {
         _confusion(),
     ),
     "label_metrics": _det_query(f"SELECT *, {_F1} FROM lab", _CLAIMS, _label_rows()),
-    "integrity": _det_query(
-        " UNION ALL ".join([
-            _check("stored_matches_traffic", "coalesce(t.n, 0) = coalesce(d.n, 0)", "coalesce(t.n, 0)",
-                   "coalesce(d.n, 0)", "coalesce(t.label, d.label)")
-            + f""" FROM (SELECT label, sum(record_count) AS n FROM cnt WHERE {_REAL} AND label <> 'normal'
-                         GROUP BY label) t
-                   FULL OUTER JOIN (SELECT label, count(*) AS n FROM det WHERE label <> 'normal' GROUP BY label) d
-                   ON t.label = d.label""",
-            _check("false_positives_within_normal", "fp <= normal_total", "normal_total", "fp") + " FROM m",
-            _check("latency_not_negative", "max(latency_seconds) >= 0", "0", "max(latency_seconds)") + " FROM det",
-            _check("no_clock_skew", "min(latency_seconds) >= 0", "0", "min(latency_seconds)") + " FROM det",
-            _check("no_reserved_label_stored", "count(*) = 0", "0", "count(*)") + f" FROM det WHERE NOT ({_REAL})",
-        ]),
-        _confusion(),
-    ),
+    "integrity": _det_query(_CHECKS, _confusion()),
     "table_counts": _det_query(
         """SELECT 'detections' AS table_name, count(*) AS row_count FROM det
         UNION ALL SELECT 'traffic_counts', count(*) FROM cnt"""
@@ -432,17 +461,25 @@ ORACLE: dict[str, str] = {
         FROM (SELECT unnest(string_split(rules_fired, ', ')) AS rule_id FROM det WHERE label = 'normal')
         GROUP BY rule_id"""
     ),
+    "runs_batch_window": f"""WITH {_RUNS} SELECT count(DISTINCT (run_id, batch_id)) AS batches,
+      {_text("min(batch_time)")} AS first_seen, {_text("max(batch_time)")} AS last_seen FROM cnt""",
+    "runs_batch_health": f"""WITH {_RUNS}, {_health("run_id, batch_id")} SELECT *,
+      round(100 * ((unparseable + incomplete) / messages::DOUBLE), 6) AS malformed_pct FROM health""",
+    "runs_malformed_running": f"""WITH {_RUNS}, {_health("run_id, batch_id")}
+      SELECT run_id, batch_id, unparseable, incomplete,
+      {_n("sum(unparseable) OVER (PARTITION BY run_id ORDER BY batch_id)", "unparseable_so_far")},
+      {_n("sum(incomplete) OVER (PARTITION BY run_id ORDER BY batch_id)", "incomplete_so_far")} FROM health""",
     "run_compare": _det_query(
         """SELECT coalesce(a.metric, b.metric) AS metric, coalesce(a.label, b.label) AS label,
         round(a.value, 6) AS left_value, round(b.value, 6) AS right_value,
         round(b.value - a.value, 6) AS delta
-        FROM long_direct a FULL OUTER JOIN long b ON a.metric = b.metric AND a.label = b.label""",
-        _CLAIMS, _confusion(), _label_rows(), _long(), _judged("recj", "rec"),
-        "det_direct AS (SELECT * FROM recj WHERE label <> 'normal' OR flagged)",
-        "cnt_direct AS (SELECT label, count(*) AS record_count FROM rec GROUP BY label)",
-        """claims_direct AS (SELECT label, unnest(string_split(detected_as, ', ')) AS attack_type
-           FROM det_direct WHERE detected_as <> '')""",
-        _confusion("_direct"), _label_rows("_direct"), _long("_direct"),
+        FROM long a FULL OUTER JOIN long_b b ON a.metric = b.metric AND a.label = b.label""",
+        _CLAIMS, _confusion(), _label_rows(), _long(), _judged("msgj_b", "msg", "false"),
+        "det_b AS (SELECT * FROM msgj_b WHERE status = 'valid' AND (label <> 'normal' OR flagged))",
+        "cnt_b AS (SELECT * FROM cnt)",
+        """claims_b AS (SELECT label, unnest(string_split(detected_as, ', ')) AS attack_type
+           FROM det_b WHERE detected_as <> '')""",
+        _confusion("_b"), _label_rows("_b"), _long("_b"),
     ),
     "offline_score": f"""WITH {_RECJ} SELECT *, caught / total::DOUBLE AS recall FROM (
       SELECT label, count(*) AS total, {_n("count(*) FILTER (WHERE flagged)", "caught")}
@@ -498,25 +535,25 @@ ORACLE: dict[str, str] = {
     "latency_over_time": _det_query(
         f"""SELECT {_text("date_trunc('minute', processed_at)")} AS "minute", {_quantile(0.5, 2, "p50_s")},
         {_quantile(0.95, 2, "p95_s")}, round(max(latency_seconds), 2) AS max_s FROM det
-        WHERE processed_at >= (SELECT max(processed_at) FROM ev) - INTERVAL 44640 MINUTE
+        WHERE processed_at >= (SELECT max(batch_time) FROM cnt) - INTERVAL 15 MINUTE
         GROUP BY date_trunc('minute', processed_at)"""
     ),
     "throughput": _counts_query(
         f"""SELECT {_text("batch_time")} AS batch_time, {_n("sum(record_count)", "records")} FROM cnt
         WHERE NOT starts_with(label, '__')
-          AND batch_time >= (SELECT max(processed_at) FROM ev) - INTERVAL 44640 MINUTE
+          AND batch_time >= (SELECT max(batch_time) FROM cnt) - INTERVAL 15 MINUTE
         GROUP BY batch_time"""
     ),
-    "event_time_format": f"""SELECT event_id, {_text(f"ts + {_ZONE}", "%Y-%m-%d %H:%M")} AS minute_text,
-      {_text(f"ts + {_ZONE}")} AS second_text, {_text(f"ts + {_ZONE}", "%H:%M:%S")} AS clock_text FROM events""",
+    "event_time_format": f"""WITH {_REC} SELECT event_id, {_text(f"{_SECOND} + {_ZONE}", "%Y-%m-%d %H:%M")} AS minute_text,
+      {_text(f"{_SECOND} + {_ZONE}")} AS second_text, {_text(f"{_SECOND} + {_ZONE}", "%H:%M:%S")} AS clock_text FROM rec""",
     "malformed_by_kind": _counts_query(
         f"""SELECT CASE label WHEN '{UNPARSEABLE}' THEN 'Unparseable (transmission)'
         WHEN '{INCOMPLETE}' THEN 'Incomplete (generation/schema)' ELSE label END AS failure_kind,
         {_n("sum(record_count)", "records")} FROM cnt WHERE starts_with(label, '__') GROUP BY label"""
     ),
-    "batch_health": f"""WITH {_CNT}, {_HEALTH} SELECT *,
+    "batch_health": f"""WITH {_CNT}, {_health()} SELECT *,
       round(100 * ((unparseable + incomplete) / messages::DOUBLE), 6) AS malformed_pct FROM health""",
-    "malformed_running": f"""WITH {_CNT}, {_HEALTH} SELECT batch_id, unparseable, incomplete,
+    "malformed_running": f"""WITH {_CNT}, {_health()} SELECT batch_id, unparseable, incomplete,
       {_n("sum(unparseable) OVER (ORDER BY batch_id)", "unparseable_so_far")},
       {_n("sum(incomplete) OVER (ORDER BY batch_id)", "incomplete_so_far")} FROM health""",
     "idle_streaks": f"""WITH {_EV},
@@ -533,17 +570,51 @@ ORACLE: dict[str, str] = {
       SELECT count(*) AS n, (max(epoch_us(processed_at)) - min(epoch_us(ts))) / 1e3 AS ms FROM ev GROUP BY batch_id)""",
     "sink_roundtrip": _ROUND_TRIP,
     "stream_detect": _ROUND_TRIP,
-    "reset_tables": """SELECT 'after reset' AS moment, t AS table_name, CAST(0 AS BIGINT) AS row_count
-      FROM (VALUES ('detections'), ('traffic_counts')) v(t)""",
+    "reset_tables": f"""WITH {_DET} SELECT 'before reset' AS moment, 'detections' AS table_name, count(*) AS row_count FROM det
+      UNION ALL SELECT 'before reset', 'traffic_counts', count(DISTINCT label) FROM cnt
+      UNION ALL SELECT 'after reset', t, CAST(0 AS BIGINT) FROM (VALUES ('detections'), ('traffic_counts')) v(t)""",
     "delete_batch": _counts_query(
         f"""SELECT CAST(0 AS BIGINT) AS batch_id, label, {_n("sum(record_count)", "record_count")}
-        FROM cnt GROUP BY label"""
+        FROM cnt WHERE minute(batch_time) < 30 GROUP BY label"""
     ),
     "report_export": _det_query(
-        f"""SELECT label, stored, caught FROM lab UNION ALL
-        SELECT '*', tp + fn + fp, tp + fp FROM m""",
-        _CLAIMS, _confusion(), _label_rows(),
-    ),
+        "SELECT * FROM ("
+        + " UNION ALL ".join([
+            _cells("window", "(SELECT count(DISTINCT batch_id) AS batches FROM cnt)", "batches"),
+            _cells(
+                "overall",
+                f"(SELECT *, {_F1} FROM (SELECT tp, fn, fp, normal_total - fp AS tn, normal_total, "
+                f"total_records - normal_total AS attack_total, total_records, {_RATES} FROM m))",
+                "tp fn fp tn normal_total attack_total total_records precision recall false_positive_rate accuracy f1",
+            ),
+            _cells(
+                "by_label", f"(SELECT *, {_F1} FROM lab)",
+                "support stored caught predicted correct missed recall precision f1", "label",
+            ),
+            _cells(
+                "latency",
+                f"""(SELECT *, under_target / nullif(n, 0)::DOUBLE AS under_target_pct FROM (
+                SELECT count(*) AS n, avg(latency_seconds) AS mean, {_quantile(0.5, 9, "p50")},
+                {_quantile(0.95, 9, "p95")}, {_quantile(0.99, 9, "p99")}, max(latency_seconds) AS "max",
+                min(latency_seconds) AS "min",
+                {_n("count(*) FILTER (WHERE latency_seconds < 2)", "under_target")} FROM det))""",
+                "n mean p50 p95 p99 max min under_target under_target_pct",
+            ),
+            _cells("malformed", f"(SELECT label, sum(record_count) AS total FROM cnt WHERE NOT ({_REAL}) GROUP BY label)", "total", "label"),
+            _cells(
+                "malformed_rate",
+                f"""(SELECT *, malformed_total / nullif(messages, 0)::DOUBLE AS malformed_rate FROM (
+                SELECT coalesce(sum(record_count) FILTER (WHERE NOT ({_REAL})), 0) AS malformed_total,
+                sum(record_count) AS messages FROM cnt))""",
+                "malformed_total messages malformed_rate",
+            ),
+            _cells("integrity", "checks", "passed expected actual", "concat_ws('/', check_name, label)"),
+        ])
+        + ") WHERE value IS NOT NULL",
+        _CLAIMS, _confusion(), _label_rows(), f"checks AS ({_CHECKS})",
+    ),
+    "stream_progress": """SELECT 1 AS run, count(*) AS records, CAST(0 AS BIGINT) AS over_ceiling,
+      false AS caught_up FROM events UNION ALL SELECT 2, CAST(0 AS BIGINT), CAST(0 AS BIGINT), true""",
     "stream_ingest": _counts_query(
         f"SELECT label, {_n('sum(record_count)', 'record_count')} FROM cnt GROUP BY label"
     ),

@@ -42,3 +42,15 @@ def written_once(
         build().write.parquet(folder)
         _FOLDERS[key] = folder
     return spark.read.schema(schema).parquet(folder)
+
+
+def folder_once(
+    spark: SparkSession, directory: str, source: str, name: str, build: Callable[[str], None]
+) -> str:
+    """A folder that ``build`` fills from a table of ``directory``; filled once like ``written_once``."""
+    key = (spark.sparkContext.applicationId, directory, source, state_of(spark, directory, source), name)
+    if key not in _FOLDERS:
+        folder = shared_dir(spark, name)
+        build(folder)
+        _FOLDERS[key] = folder
+    return _FOLDERS[key]

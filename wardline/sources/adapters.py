@@ -21,8 +21,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from wardline.operators.shipped_rules import shipped_rules
 from wardline.schema import NORMAL_LABEL, RECORD_FIELDS, RECORD_SCHEMA
-from wardline.sources.tables import spread
 
 # --- fixed values: classes and categories of connection records -------------
 ATTACK_TYPES = (
@@ -34,107 +34,64 @@ SERVICES = (
 )
 # --- end of fixed values ----------------------------------------------------
 
-#: How an event becomes a record: per field an SQL expression for every class
-#: ("*") and for the classes that differ.  ``u`` and ``w`` are two unrelated
-#: fractions of the event id in [0, 1), ``value`` and ``k`` come with the
-#: event.  The byte thresholds of the rules cut through the skewed ``value``,
-#: so some attacks are missed and some normal traffic is flagged.
-RECORD_EXPRESSIONS: dict[str, dict[str, str]] = {
-    "duration": {"*": "value * 3.5", "ddos": "0", "port_scan": "u", "brute_force": "6 * u"},
-    "protocol_type": {
-        "*": "CASE WHEN u < 0.82 THEN 'tcp' WHEN u < 0.97 THEN 'udp' ELSE 'icmp' END",
-        "ddos": "CASE WHEN u < 0.6 THEN 'tcp' WHEN u < 0.7 THEN 'udp' ELSE 'icmp' END",
-    },
-    "service": {
-        "*": f"split_part('{','.join(SERVICES)}', ',', CAST(k % {len(SERVICES)} AS INT) + 1)",
-        "brute_force": "split_part('ssh,telnet,ftp', ',', CAST(k % 3 AS INT) + 1)",
-        "malware_c2": "split_part('http,https,private,other', ',', CAST(k % 4 AS INT) + 1)",
-        "data_exfiltration": "split_part('ftp_data,http,https', ',', CAST(k % 3 AS INT) + 1)",
-        "malicious_download": "split_part('http,ftp,ftp_data', ',', CAST(k % 3 AS INT) + 1)",
-    },
-    "flag": {
-        "*": "CASE WHEN w < 0.85 THEN 'SF' "
-             "ELSE split_part('S0,REJ,RSTO,RSTR,S1,SH,OTH', ',', CAST(k % 7 AS INT) + 1) END",
-        "ddos": "CASE WHEN w < 0.7 THEN 'S0' WHEN w < 0.9 THEN 'REJ' ELSE 'RSTO' END",
-        "port_scan": "CASE WHEN w < 0.6 THEN 'S0' ELSE 'REJ' END",
-        "malware_c2": "'SF'", "data_exfiltration": "'SF'", "malicious_download": "'SF'",
-    },
-    "src_bytes": {
-        "*": "k * k * 5.2", "ddos": "50 * u", "port_scan": "20 * u", "brute_force": "10 + 290 * u",
-        "malware_c2": "40 + 160 * u", "data_exfiltration": "value * 8000",
-        "malicious_download": "500 * u",
-    },
-    "dst_bytes": {
-        "*": "value * value * 1.5", "ddos": "0", "port_scan": "0", "brute_force": "100 * u",
-        "malware_c2": "40 + 160 * w", "data_exfiltration": "500 * u",
-        "malicious_download": "value * 8000",
-    },
-    "land": {"*": "CASE WHEN w > 0.998 THEN 1 ELSE 0 END"},
-    "wrong_fragment": {"*": "CASE WHEN u > 0.98 THEN 2 WHEN u > 0.95 THEN 1 ELSE 0 END"},
-    "urgent": {"*": "CASE WHEN w < 0.005 THEN 1 ELSE 0 END"},
-    "hot": {"*": "CASE WHEN k > 80 THEN 1 ELSE 0 END", "brute_force": "3 * u"},
-    "num_failed_logins": {"*": "CASE WHEN k < 3 THEN 1 ELSE 0 END", "brute_force": "2 + 6 * u"},
-    "logged_in": {
-        "*": "CASE WHEN w < 0.65 THEN 1 ELSE 0 END",
-        "brute_force": "CASE WHEN w < 0.15 THEN 1 ELSE 0 END", "data_exfiltration": "1",
-    },
-    "num_compromised": {"*": "0", "data_exfiltration": "2 * w"},
-    "root_shell": {"*": "0"},
-    "su_attempted": {"*": "0"},
-    "num_root": {"*": "0"},
-    "num_file_creations": {
-        "*": "CASE WHEN k > 90 THEN 1 ELSE 0 END", "data_exfiltration": "2 * u",
-        "malicious_download": "4 * u",
-    },
-    "num_shells": {"*": "0"},
-    "num_access_files": {"*": "CASE WHEN k > 95 THEN 1 ELSE 0 END", "malicious_download": "2 * w"},
-    "num_outbound_cmds": {"*": "0", "data_exfiltration": "CASE WHEN w > 0.7 THEN 1 ELSE 0 END"},
-    "is_host_login": {"*": "0"},
-    "is_guest_login": {"*": "CASE WHEN w > 0.98 THEN 1 ELSE 0 END"},
-    "count": {
-        "*": "1 + 39 * u", "ddos": "200 + 311 * u", "port_scan": "50 + 150 * u",
-        "brute_force": "20 + 100 * u", "malware_c2": "1 + 4 * u", "data_exfiltration": "1 + 14 * u",
-        "malicious_download": "1 + 19 * u",
-    },
-    "srv_count": {
-        "*": "1 + 39 * w", "ddos": "200 + 311 * w", "port_scan": "1 + 9 * w",
-        "brute_force": "20 + 100 * w", "malware_c2": "1 + 4 * w", "data_exfiltration": "1 + 14 * w",
-        "malicious_download": "1 + 19 * w",
-    },
-    "serror_rate": {"*": "0.05 * u", "ddos": "0.85 + 0.15 * u"},
-    "srv_serror_rate": {"*": "0.05 * w", "ddos": "0.85 + 0.15 * w"},
-    "rerror_rate": {"*": "0.05 * w", "port_scan": "0.5 + 0.4 * u"},
-    "srv_rerror_rate": {"*": "0.05 * u", "port_scan": "0.5 + 0.4 * w"},
-    "same_srv_rate": {
-        "*": "0.7 + 0.003 * k", "ddos": "0.9 + 0.1 * u", "port_scan": "0.1 * w",
-        "brute_force": "0.85 + 0.15 * w", "malware_c2": "0.9 + 0.1 * w",
-    },
-    "diff_srv_rate": {"*": "0.1 * u", "port_scan": "0.6 + 0.4 * u"},
-    "srv_diff_host_rate": {"*": "0.15 * w", "port_scan": "0.5 + 0.5 * w"},
-    "dst_host_count": {"*": "1 + 254 * u", "ddos": "200 + 55 * u", "malware_c2": "1 + 9 * u"},
-    "dst_host_srv_count": {"*": "1 + 254 * w", "ddos": "200 + 55 * w", "malware_c2": "1 + 9 * w"},
-    "dst_host_same_srv_rate": {"*": "0.7 + 0.3 * w", "port_scan": "0.1 * u"},
-    "dst_host_diff_srv_rate": {"*": "0.1 * w", "port_scan": "0.5 + 0.5 * u"},
-    "dst_host_same_src_port_rate": {
-        "*": "0.3 * u", "brute_force": "0.5 + 0.5 * u", "malware_c2": "0.7 + 0.3 * u",
-    },
-    "dst_host_srv_diff_host_rate": {"*": "0.1 * w"},
-    "dst_host_serror_rate": {"*": "0.05 * w", "ddos": "0.85 + 0.15 * w"},
-    "dst_host_srv_serror_rate": {"*": "0.05 * u", "ddos": "0.85 + 0.15 * u"},
-    "dst_host_rerror_rate": {"*": "0.05 * u"},
-    "dst_host_srv_rerror_rate": {"*": "0.05 * w"},
-    "timestamp": {"*": "epoch_seconds"},
-    "label": {"*": "label"},
+#: Flags of connections (fixed values).
+FLAGS = ("SF", "S0", "S1", "REJ", "RSTO", "RSTR", "SH", "OTH")
+
+#: How an event becomes a record.  Fields no rule is about follow from the
+#: event's own columns; the others do too, unless the event poses as a class.
+TEXT_FIELDS = {
+    "protocol_type": ("k", ("tcp", "udp", "icmp")),
+    "service": ("k + user_id", SERVICES),
+    "flag": ("user_id", FLAGS),
 }
+SIZES = {"duration": "value / 7", "src_bytes": "value * 60", "dst_bytes": "value * 45 + k"}
+COUNTERS = ("count", "srv_count", "dst_host_count", "dst_host_srv_count")
+
+
+def _plain(position: int, name: str) -> str:
+    """A field of an event that poses as nothing: rates under a quarter, flags of zero or one."""
+    if name in TEXT_FIELDS:
+        source, words = TEXT_FIELDS[name]
+        return f"split_part('{','.join(words)}', ',', CAST(({source}) % {len(words)} AS INT) + 1)"
+    if name in SIZES:
+        return SIZES[name]
+    if name in COUNTERS:
+        return f"20 + (user_id + {position} * k) % 80"
+    if isinstance(RECORD_SCHEMA[name].dataType, DoubleType):
+        return f"((k + {position} * user_id) % 100) / 400e0"
+    return f"(k + {position}) % 2"
+
+
+def _posed(op: str, bound: float | str) -> tuple[str, str]:
+    """Values on the side of a rule's bound that fires, and on the other; ``k`` moves them about."""
+    bound = f"{float(bound)!r}e0"
+    over, under = f"{bound} + abs({bound}) * k / 200e0", f"{bound} - abs({bound}) * k / 200e0"
+    beyond, below = f"{bound} + abs({bound}) * (k + 1) / 100e0 + 1", f"{bound} - abs({bound}) * (k + 1) / 200e0 - 1"
+    return {
+        ">=": (over, f"{bound} / 4e0"), "<=": (under, beyond), ">": (beyond, under), "<": (below, over),
+        "==": (f"{bound}", below), "!=": (beyond, f"{bound}"),
+    }[op]
 
 
 def record_expression(field: str) -> str:
-    """SQL text of one record field, typed as the record schema says."""
-    cases = dict(RECORD_EXPRESSIONS[field])
-    text = cases.pop("*")
-    if cases:
-        arms = " ".join(f"WHEN '{label}' THEN {expr}" for label, expr in cases.items())
-        text = f"CASE label {arms} ELSE {text} END"
+    """SQL text of one record field, typed as the record schema says.
+
+    A rule's own conditions say what an event looks like that poses as its
+    class: ``fires`` puts a field on the rule's side of the bound.
+    """
+    if field == "label":
+        return "label"
+    if field == "timestamp":
+        return "epoch_seconds + CASE WHEN event_id % 101 = 7 THEN 75 WHEN event_id % 103 = 9 THEN -600 ELSE 0 END"
+    text = _plain(RECORD_FIELDS.index(field), field)
+    arms = ""
+    for rule in shipped_rules():
+        for condition in rule.conditions:
+            if condition.field == field:
+                yes, no = _posed(condition.op, condition.value)
+                arms += f" WHEN pose = '{rule.attack_type}' THEN CASE WHEN fires THEN {yes} ELSE {no} END"
+    if arms:
+        text = f"CASE{arms} ELSE {text} END"
     kind = RECORD_SCHEMA[field].dataType
     if isinstance(kind, IntegerType):
         return f"CAST(floor({text}) AS INT)"
@@ -143,6 +100,25 @@ def record_expression(field: str) -> str:
     return text
 
 
+#: SQL texts shared by both sides.  One event in twenty is an attack; one in
+#: eighty claims a class made of underscores, one in 307 a reserved one.
+KIND = f"split_part('{','.join(ATTACK_TYPES)}', ',', CAST(event_id / 20 AS INT) % {len(ATTACK_TYPES)} + 1)"
+LABEL = (
+    f"CASE WHEN event_id % 20 = 19 THEN {KIND} WHEN event_id % 307 = 11 THEN '__odd__' "
+    f"WHEN event_id % 80 = 42 THEN '__half' ELSE '{NORMAL_LABEL}' END"
+)
+#: Some attacks pose as the next kind, some other events as an attack.
+NEXT_KIND = f"split_part('{','.join(ATTACK_TYPES)}', ',', CAST(event_id / 20 + 1 AS INT) % {len(ATTACK_TYPES)} + 1)"
+POSE = (
+    f"CASE WHEN event_id % 20 = 19 AND user_id % 13 = 0 THEN {NEXT_KIND} "
+    f"WHEN event_id % 20 = 19 OR event_id % 61 = 0 THEN {KIND} ELSE 'none' END"
+)
+FIRES = "k < 92"
+
+#: Records replay the events this many times faster, from this instant on.
+SPEED, ORIGIN_MICROS = 720, 1_704_067_200_000_000
+
+
 # --- events -----------------------------------------------------------------
 
 EVENT_SCHEMA = StructType([
@@ -181,19 +157,21 @@ def event_view(events: DataFrame) -> DataFrame:
 def record_view(events: DataFrame, fields: Sequence[str] = RECORD_FIELDS) -> DataFrame:
     """Events as connection records: one in twenty an attack, six kinds in turn.
 
-    The record goes through ``inline`` so that a filter on its fields does not
-    repeat their expressions; name the ``fields`` needed, as nothing prunes them.
+    A micro-batch is a minute of the replay: its id is the epoch minute, and it
+    is processed the moment the minute ends.  The record goes through ``inline``
+    so that a filter on its fields does not repeat their expressions; name the
+    ``fields`` needed, as nothing prunes them.
     """
-    kinds = F.array(*[F.lit(name) for name in ATTACK_TYPES])
-    turn = F.floor(F.col("event_id") / 20) % len(ATTACK_TYPES)
+    micros = F.floor((F.unix_micros("ts") - ORIGIN_MICROS) / SPEED) + ORIGIN_MICROS
+    minute = F.floor(micros / F.lit(60_000_000))
     base = event_view(events).select(
-        "event_id", "batch_id", "processed_at", "value", "k",
-        (F.unix_micros("ts") / F.lit(1e6)).alias("epoch_seconds"),
-        (F.pmod(F.col("event_id") * 7919, F.lit(1000)) / F.lit(1000.0)).alias("u"),
-        (F.pmod(F.col("event_id") * 104729, F.lit(997)) / F.lit(997.0)).alias("w"),
-        F.when(F.col("event_id") % 20 == 19, F.element_at(kinds, (turn + 1).cast("int")))
-        .otherwise(NORMAL_LABEL)
-        .alias("label"),
+        "event_id", "user_id", "value", "k",
+        minute.alias("batch_id"),
+        F.timestamp_micros((minute + 1) * 60_000_000).alias("processed_at"),
+        (micros / F.lit(1e6)).alias("epoch_seconds"),
+        F.expr(LABEL).alias("label"),
+        F.expr(POSE).alias("pose"),
+        F.expr(FIRES).alias("fires"),
     )
     record = ", ".join(f"{record_expression(name)} AS `{name}`" for name in fields)
     return base.selectExpr("event_id", "batch_id", "processed_at", f"inline(array(struct({record})))")
@@ -212,7 +190,7 @@ MESSAGE_TABLE = StructType([
 
 def message_view(events: DataFrame) -> DataFrame:
     """Records as JSON text in a ``value`` column, with transport faults."""
-    records = record_view(spread(events))
+    records = record_view(events)
     event_id = F.col("event_id")
     fields = ", ".join(f"`{name}`" for name in RECORD_FIELDS if name != "label")
     label = f"CASE WHEN event_id % {UNLABELLED_EVERY} <> 0 THEN label END AS label"

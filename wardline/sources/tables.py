@@ -26,13 +26,3 @@ def is_complete(spark: SparkSession, folder: str) -> bool:
     """Whether a finished write left its mark in the folder."""
     path, files = _file_system(spark, f"{folder}/_SUCCESS")
     return files.exists(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give expensive row work as many partitions as there are cores.
-
-    A small or single-split input (one topic partition, one row group) would
-    otherwise decode on one core.  Inputs with enough splits are left alone.
-    """
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
