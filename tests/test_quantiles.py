@@ -69,3 +69,28 @@ def test_rows_are_counted_before_they_are_shuffled(spark):
     lowest = [line for line in text.splitlines() if "HashAggregate" in line][-1]
     assert "partial_count" in lowest and "_value" in lowest
     assert "Cartesian" not in text and "BroadcastNestedLoop" not in text
+
+
+def test_one_coarse_bucket_without_automatic_broadcasts(spark):
+    """All values share the coarse bucket; no join shuffles on that one key."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = spark.range(20_000).selectExpr("pmod(id * 7919, 20011) / 400.0D AS x")
+        result = exact_quantiles(frame, "x", PROBABILITIES)
+        values = [r["x"] for r in frame.collect()]
+        assert list(result.first()) == expected(values)
+        assert "SortMergeJoin" not in plan_text(result) and plan_text(result).count("BroadcastHashJoin") >= 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_junk_clocks_share_the_outermost_buckets(spark):
+    values = [1.7e9 + i * 64.0 for i in range(3000)] + [-1e18, 1e18, 4e15] + [i / 7 for i in range(3001)]
+    assert one(spark, values) == expected(values)
+
+
+def test_groups_are_zoomed_once(spark):
+    frame = spark.range(1000).selectExpr("id % 5 AS g", "id / 3.0D AS x")
+    grouped = plan_text(exact_quantiles(frame, "x", PROBABILITIES, by=["g"]))
+    assert grouped.count("Window ") <= 4 and grouped.count("Exchange hashpartitioning") <= 10

@@ -29,13 +29,18 @@ from pyspark.sql import functions as F
 #: resolution of epoch seconds in a double, some 4,000 distinct values.
 DEFAULT_WIDTHS = (64.0, 2.0**-10)
 
+#: Coarse buckets on either side of zero (a year of seconds); whatever lies further out shares the outermost.
+OUTERMOST = 2**19
+
 _NAN_BUCKET = 2**63 - 1
 
 
-def _bucket(width: float) -> Column:
+def _bucket(width: float, outermost: int | None = None) -> Column:
     """Bucket number of a value, in value order; NaN comes last."""
-    number = F.floor(F.col("_value") / F.lit(width))
-    return F.when(F.isnan("_value"), F.lit(_NAN_BUCKET)).otherwise(number)
+    value = F.col("_value")
+    if outermost:
+        value = F.greatest(F.lit(-outermost * width), F.least(F.lit(outermost * width), value))
+    return F.when(F.isnan("_value"), F.lit(_NAN_BUCKET)).otherwise(F.floor(value / F.lit(width)))
 
 
 def exact_quantiles(
@@ -50,6 +55,9 @@ def exact_quantiles(
     ``quantiles`` maps output column names to probabilities; the group keys are
     kept.  Null values are ignored and NaN sorts last, as in ``percentile``.
     ``widths`` are the bucket widths, coarse to fine, and only affect speed.
+    Groups start with the finest width; what is ungrouped has no more than
+    ``2 * OUTERMOST`` coarse buckets, and the buckets that hold the wanted ranks
+    are at most two per quantile, which is few enough to broadcast.
     """
     # one struct key: equal also where parts of it are null
     keys = ["_key"] if by else []
@@ -84,18 +92,17 @@ def exact_quantiles(
         )
 
     inside, candidates = list(keys), tally
-    for level, width in enumerate(widths):
+    for level, width in enumerate(widths[-1:] if by else widths):
         name, known = f"_bucket{level}", level > 0
         # The join below would add this filter to its own side only, and the
         # two uses of the counts could then no longer share one shuffle.
-        candidates = candidates.withColumn(name, _bucket(width)).where(F.col(name).isNotNull())
+        candidates = candidates.withColumn(name, _bucket(width, None if known or by else OUTERMOST)).where(F.col(name).isNotNull())
         carried = [F.first(c).alias(c) for c in ("_size", "_base") if known]
         pieces = candidates.groupBy(*inside, name).agg(F.sum("_n").alias("_n"), *carried)
         chosen = placed(pieces, inside, name, known).where(wanted)
         inside = [*inside, name]
-        candidates = candidates.select(*inside, "_value", "_n").join(
-            chosen.select(*inside, "_size", F.col("_start").alias("_base")), inside
-        )
+        chosen = chosen.select(*inside, "_size", F.col("_start").alias("_base"))
+        candidates = candidates.select(*inside, "_value", "_n").join(chosen if by else F.broadcast(chosen), inside)
     ranked = placed(candidates, inside, "_value", known=True)
 
     picks = []
