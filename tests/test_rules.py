@@ -90,10 +90,13 @@ def test_shipped_rules_are_valid():
     assert len(rules) == 6 and sum(len(r.conditions) for r in rules) == 17
 
 
-def test_rule_files(tmp_path):
+def test_rule_files(spark, tmp_path):
     path = tmp_path / "rules.json"
     path.write_text(json.dumps(SHIPPED_RULES))
     assert load_rules(str(path)) == shipped_rules()
+    assert load_rules(f"file://{path}") == shipped_rules()
+    with pytest.raises(RuleLoadError, match="cannot read"):
+        load_rules(f"file://{tmp_path}/absent.json")
     with pytest.raises(RuleLoadError):
         load_rules(str(tmp_path / "absent.json"))
     path.write_text("[{")

@@ -163,6 +163,23 @@ def test_every_batch_and_source_is_logged(spark, live):
     assert own.agg(F.sum("records")).first()[0] == 121
 
 
+def test_batch_log_has_totals_and_idle_notices(caplog):
+    from wardline.streaming.job import BatchLog
+    from wardline.streaming.store import BatchTotals
+
+    log = BatchLog()
+    with caplog.at_level("INFO", logger="wardline"):
+        log.note(0, BatchTotals(8, 1, 1))
+        for batch in range(1, 62):
+            log.note(batch, BatchTotals(0, 0, 0))
+        log.note(62, BatchTotals(3, 0, 1))
+        log.note(63, BatchTotals(0, 0, 0))
+    lines = [r.message for r in caplog.records]
+    assert "(20.00%); so far 1 unparseable, 1 incomplete" in lines[0]
+    assert [line.split(",")[1].split()[0] for line in lines[1:4]] == ["1", "30", "60"]
+    assert "(25.00%); so far 1 unparseable, 2 incomplete" in lines[4] and " 1 idle" in lines[5] and len(lines) == 6
+
+
 def test_zero_row_diagnosis(spark):
     rows = [(0, 5, 1.0, 10, None, "{}"), (1, 0, 0.0, 3, "{}", "{}"), (2, 0, 0.0, 3, None, None)]
     from wardline.streaming.progress import PROGRESS_SCHEMA

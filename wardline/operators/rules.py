@@ -18,11 +18,12 @@ from functools import reduce
 from operator import and_, or_
 from typing import Any, NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, NumericType, StringType, StructType
 
 from wardline.schema import FORBIDDEN_FIELDS, RECORD_SCHEMA, SEVERITIES, VERDICT_FIELDS
+from wardline.sources import files
 
 #: Bits used of each mask column; the sign bit stays clear.
 MASK_BITS = 63
@@ -200,10 +201,19 @@ def load_rules(
     schema: StructType = RECORD_SCHEMA,
     forbidden: frozenset | set = FORBIDDEN_FIELDS,
 ) -> list[Rule]:
-    """Read and validate a JSON rule file on the driver (configuration, not data)."""
+    """Read and validate a JSON rule file on the driver (configuration, not data).
+
+    A path with a scheme is read from that storage through the active session.
+    """
     try:
-        with open(path, encoding="utf-8") as handle:
-            raw = json.load(handle)
+        if "://" in path:
+            text = files.read(SparkSession.getActiveSession(), path)
+            if text is None:
+                raise FileNotFoundError(path)
+        else:
+            with open(path, encoding="utf-8") as handle:
+                text = handle.read()
+        raw = json.loads(text)
     except OSError as error:
         raise RuleLoadError(f"cannot read rule file {path}: {error}") from error
     except ValueError as error:

@@ -13,13 +13,16 @@ from wardline.operators.decode import parse_messages
 from wardline.operators.rules import Rule, evaluate
 from wardline.schema import REQUIRED_FIELDS
 from wardline.sources import files
-from wardline.streaming.store import Store
+from wardline.streaming.store import BatchTotals, Store
 
 LOG = logging.getLogger("wardline")
 
 #: Default cadence of micro-batches (a fixed value).
 DEFAULT_TRIGGER = "1 second"
 
+#: An idle stream is reported on its first idle batch and every so many after it (a fixed value).
+IDLE_NOTICE_EVERY = 30
+
 
 def run_id_of(spark: SparkSession, checkpoint: str) -> str:
     """The run id kept inside a checkpoint: same checkpoint, same run.
@@ -32,6 +35,31 @@ def run_id_of(spark: SparkSession, checkpoint: str) -> str:
     return files.read(spark, path)
 
 
+class BatchLog:
+    """One line per batch with its share of broken messages and the totals so far; idle streaks now and then."""
+
+    def __init__(self, idle_every: int = IDLE_NOTICE_EVERY):
+        self.idle_every = idle_every
+        self.unparseable = self.incomplete = self.idle = 0
+
+    def note(self, batch_id: int, totals: BatchTotals) -> None:
+        if not totals.messages:
+            self.idle += 1
+            if self.idle == 1 or self.idle % self.idle_every == 0:
+                LOG.info("batch %d: no messages, %d idle batches in a row", batch_id, self.idle)
+            return
+        self.idle = 0
+        broken = totals.unparseable + totals.incomplete
+        self.unparseable += totals.unparseable
+        self.incomplete += totals.incomplete
+        LOG.log(
+            logging.WARNING if broken else logging.INFO,
+            "batch %d: %d messages, %d unparseable, %d incomplete (%.2f%%); so far %d unparseable, %d incomplete",
+            batch_id, totals.messages, totals.unparseable, totals.incomplete, 100 * broken / totals.messages,
+            self.unparseable, self.incomplete,
+        )
+
+
 def start_detection(
     messages: DataFrame,
     rules: Sequence[Rule],
@@ -61,14 +89,10 @@ def start_detection(
     # Rules are part of the stream's own plan: compiled once, not per batch.
     judged = evaluate(parse_messages(messages, store.record_schema, required), rules)
 
+    log = BatchLog()
+
     def process(batch: DataFrame, batch_id: int) -> None:
-        totals = store.write_batch(batch, batch_id, run_id)
-        broken = totals.unparseable + totals.incomplete
-        LOG.log(
-            logging.WARNING if broken else logging.INFO,
-            "batch %d: %d messages, %d unparseable, %d incomplete",
-            batch_id, totals.messages, totals.unparseable, totals.incomplete,
-        )
+        log.note(batch_id, store.write_batch(batch, batch_id, run_id))
 
     writer = judged.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     if trigger is None:
