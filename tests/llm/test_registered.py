@@ -3,16 +3,12 @@
 from __future__ import annotations
 
 import re
-import sys
-from pathlib import Path
 
 import compare
 import edge
 import numpy as np
 import pytest
 
-sys.path.append(str(Path(__file__).parent))
-
 import __spark_entry__ as contract
 import corpus_pipeline
 from wardline.llm import bpe, langid, mixing
@@ -80,3 +76,13 @@ def test_rejected_documents_go(spark):
     kept = langid.keep_identified(edge.documents(spark), model)
     assert kept.columns == edge.documents(spark).columns
     assert {r.doc_id for r in kept.collect()} & {0, 1, 2, 19} == set()
+
+
+@pytest.mark.parametrize("count", [None, 0])
+def test_stages_take_odd_rows_and_none(spark, count):
+    rows = edge.documents(spark, [] if count == 0 else None).select("doc_id", "text", "lang", "source", "n_chars")
+    docs = stored(rows, "odd")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, "unused"), f"odd-{name}")
+        assert docs.columns == rows.columns or name == "tokens"
+        assert (docs.count() == 0) == (count == 0)
