@@ -9,7 +9,7 @@ hidden, so that unmarked pages are told by the rest.  The choice over a page is
 made for the whole tree at once: an element can only be kept in a kept parent,
 and the choice with the highest total is taken.
 
-The trees are fitted on a sample of ``SAMPLE_PAGES`` pages and at most
+The trees are fitted on a sample of about ``SAMPLE_PAGES`` pages and at most
 ``SAMPLE_NODES`` elements, chosen by hash; every page is extracted whole.
 
 Defined results: null and empty pages, and pages without an article, give an
@@ -307,7 +307,14 @@ def _taught(page: Page) -> np.ndarray | None:
 
 def train(pages: DataFrame, column: str = "html") -> Trees:
     """Fit the trees on a bounded, hash-chosen sample of pages and their elements."""
-    sample = pages.select(F.col(column).alias("html")).where("html IS NOT NULL").orderBy(F.xxhash64("html")).limit(SAMPLE_PAGES)
+    # One page in so many, by hash; of equal pages one.
+    share = max(1, pages.count() // SAMPLE_PAGES)
+    sample = (
+        pages.select(F.col(column).alias("html"))
+        .where("html IS NOT NULL")
+        .where(F.pmod(F.xxhash64("html"), F.lit(share)) == 0)
+        .dropDuplicates()
+    )
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "html"):
