@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.llm.exchange import (
+    BUCKET_BYTES,
     OFFER,
     SPANS,
     answer,
@@ -53,6 +54,14 @@ LENGTH, GRAM = 400, 32
 #: Bytes of a gram's hash that travel when shared grams are sought.
 PROBE_BYTES = 6
 
+#: Bytes of text worked on at once, bytes of text per bucket of suffixes, bytes compared at once.
+SLICE, BUCKET, COMPARED = 1 << 20, 4 << 20, 1 << 20
+
+#: A string that begins this few bytes before its position or fewer reaches far to the right
+#: of it, and is met under the hash of all that.  So positions that lie close together, as
+#: in a repeated word, do not all meet under one gram.
+REACHES = (16, 64, 160)
+
 
 def picked(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
     """Picked positions with their gram hashes, document, and the first and last string that picks each."""
@@ -80,7 +89,7 @@ def shared_grams(docs: DataFrame, length: int, bits: int) -> DataFrame:
     """``row, at``: picked positions whose gram is picked anywhere else too."""
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE):
             data, offsets = text_bytes(batch.column("text"))
             at, hashes, document, _, _ = picked(data, offsets, length)
             rows = batch.column("row").to_numpy()[document]
@@ -94,6 +103,18 @@ def shared_grams(docs: DataFrame, length: int, bits: int) -> DataFrame:
     return per_bucket(docs.select("row", "text").mapInArrow(probe, OFFER), meet, "row long, at int")
 
 
+def _by_reach(data, at, grams, document, first, last, length: int) -> list[tuple[np.ndarray, ...]]:
+    """Positions once for each reach that strings around them have, with the hash they meet under."""
+    hashes, out = PrefixHash(BYTE_VALUES[data]), []
+    for low, high in zip((0, *REACHES), (*REACHES, length), strict=True):
+        start, end = np.maximum(first, at - high + 1), np.minimum(last, at - low)
+        has = start <= end
+        sure = max(GRAM, length - high + 1)
+        met = mix(hashes.of(at[has], sure) ^ np.uint64(high)) if has.any() else grams[:0]
+        out.append((at[has], met, document[has], start[has], end[has]))
+    return out
+
+
 #: Surroundings of picked positions, by gram; and stretches already known, by row.
 CONTEXTS = "bucket int, numbers binary, data binary, rows binary, starts binary, ends binary"
 _CONTEXTS = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in "numbers data rows starts ends".split())])
@@ -192,6 +213,11 @@ class Suffixes:
     def verified(self, a: np.ndarray, b: np.ndarray, back: np.ndarray, shared: np.ndarray) -> np.ndarray:
         """Whether the bytes from ``back`` before two suffixes to ``shared`` after are really equal."""
         lengths = back + shared
+        part = np.cumsum(lengths) // COMPARED
+        if len(part) and part[-1] > part[0]:
+            cuts = np.flatnonzero(np.diff(part)) + 1
+            pieces = zip(*(np.split(v, cuts) for v in (a, b, back, shared)), strict=True)
+            return np.concatenate([self.verified(*piece) for piece in pieces])
         after = np.cumsum(lengths)
         step = np.arange(after[-1] if len(after) else 0) - np.repeat(after - lengths, lengths)
         x, y = (self.data[np.repeat(self.at[i] - back, lengths) + step] for i in (a, b))
@@ -245,7 +271,7 @@ def repeated_spans(docs: DataFrame, copies: DataFrame, length: int = LENGTH) ->
     For rows of ``keyed`` documents; ``copies``, the texts that occur more than once, are not listed.
     """
     spark, size = docs.sparkSession, text_size(docs)
-    bits = bucket_bits(spark, size / 4)
+    bits = bucket_bits(spark, size / BUCKET * BUCKET_BYTES)
     shared = stored(shared_grams(docs, length, bits), "grams")
     hits = shared.groupBy("row").agg(F.collect_list("at").alias("places"))
     near = (
@@ -258,13 +284,14 @@ def repeated_spans(docs: DataFrame, copies: DataFrame, length: int = LENGTH) ->
     )
 
     def surround(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE):
             data, offsets = text_bytes(batch.column("text"))
             at, grams, document, first, last = picked(data, offsets, length)
             lists = batch.column("places")
             wanted = np.repeat(offsets[:-1], np.diff(lists.offsets.to_numpy())) + lists.flatten().to_numpy()
             kept = np.isin(at, wanted)
-            at, grams, document, first, last = (x[kept] for x in (at, grams, document, first, last))
+            parts = _by_reach(data, *(x[kept] for x in (at, grams, document, first, last)), length)
+            at, grams, document, first, last = (np.concatenate(x) for x in zip(*parts, strict=True))
             texts = [data[a : b + length].tobytes() for a, b in zip(first, last, strict=True)]
             seen: dict[tuple, list[int]] = {}
             for i, key in enumerate(zip((at - first).tolist(), texts, strict=True)):
