@@ -38,7 +38,7 @@ PIECES = (
 PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 #: Pieces and token pairs that a generation of a worker's memory holds.
-REMEMBERED = 80_000
+REMEMBERED = 160_000
 
 
 def _written_bytes() -> dict[str, int]:
