@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wardline.llm import bpe, jaccard, langid, mixing, pages, quality, substring, suffixes
+from wardline.llm import bpe, exchange, jaccard, langid, mixing, pages, quality, substring, suffixes
 
 CLASHING = ["row", "bucket", "score", "tokens", "kept", "node", "starts", "size"]
 
@@ -53,6 +53,27 @@ def test_byte_removal_equals_loops(docs, length):
     assert bag(got.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept").collect()) == bag(expected)
 
 
+def test_documents_that_share_a_passage_do_not_meet_in_one_group(spark, monkeypatch):
+    """Each goes on from it in its own way, the first bytes of which others have too."""
+    monkeypatch.setattr(suffixes, "CROWD", 20, raising=False)
+    rng = random.Random(11)
+    letters = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    passage = letters(470, "abcdefgh ")
+    texts = [letters(200, "xyz") + passage + letters(200, "xyz") for _ in range(300)] + [letters(900, "abc") for _ in range(20)]
+    texts += texts[:2]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    expected = [(i, gone, edge.sha(kept)) for i, (_, gone, _, kept) in enumerate(edge.without_bytes(texts, 400))]
+    found = suffixes.remove_repeated_bytes(table, 400).select("doc_id", "n_removed", F.sha2("kept", 256))
+    assert bag(found.collect()) == bag(expected)
+    frames: list = []
+    monkeypatch.setattr(suffixes, "per_bucket", lambda df, f, schema: frames.append(df) or exchange.per_bucket(df, f, schema))
+    named = suffixes.keyed(table)
+    suffixes.repeated_spans(named, suffixes.copies_of(named), 400)
+    met = next(df for df in frames if "numbers" in df.columns)
+    grams = [np.frombuffer(r.numbers, dtype=suffixes._NUMBERS)["gram"] for r in met.where("numbers IS NOT NULL").collect()]
+    assert np.unique(np.concatenate(grams), return_counts=True)[1].max() <= 20 + 2 * 16
+
+
 @pytest.mark.parametrize("bits", [1, 3, 64])
 def test_suffix_sort_survives_colliding_hashes(monkeypatch, bits):
     """With hashes of few bits almost everything collides; then bytes decide."""

@@ -11,7 +11,10 @@ the right, hashes of what stands before them tell it to the left, and bytes are
 compared before anything is removed on the strength of hashes.
 
 Only grams that occur twice anywhere have their surroundings sent, and equal
-surroundings of one slice of documents are sent once and answered at home.  Texts
+surroundings of one slice of documents are sent once and answered at home.  Where
+very many different surroundings would meet, as at the ends of a passage that many
+documents go on from in their own way, each string is asked for by its hash, and
+those found twice meet by themselves, one of a kind from a slice.  Texts
 that occur several times are removed whole and take part through one of them.
 
 Defined results: a null text has no bytes; texts shorter than ``length`` lose
@@ -41,6 +44,8 @@ from wardline.llm.exchange import (
     offer,
     packed,
     per_bucket,
+    regrouped,
+    runs_of,
     spans_table,
     stored,
     text_size,
@@ -62,6 +67,10 @@ SLICE, BUCKET, COMPARED = 1 << 20, 4 << 20, 1 << 20
 #: in a repeated word, do not all meet under one gram.
 REACHES = (16, 64, 160)
 
+#: A hash that more than ``CROWD`` different surroundings would meet under is crowded; slices
+#: that have ``FEW`` of them or fewer are not counted, so up to that many of each come on top.
+CROWD, FEW = 4096, 2
+
 
 def picked(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
     """Picked positions with their gram hashes, document, and the first and last string that picks each."""
@@ -115,6 +124,36 @@ def _by_reach(data, at, grams, document, first, last, length: int) -> list[tuple
     return out
 
 
+def _by_string(data, document, first, last, length: int) -> tuple[np.ndarray, ...]:
+    """Each string of positions by itself: its start, the hash of all its bytes, and its document."""
+    counts = last - first + 1
+    starts = np.arange(counts.sum()) + np.repeat(first - (np.cumsum(counts) - counts), counts)
+    return starts, mix(PrefixHash(BYTE_VALUES[data]).of(starts, length)), np.repeat(document, counts)
+
+
+def crowded_hashes(docs: DataFrame, length: int) -> np.ndarray:
+    """Sorted hashes that more than ``CROWD`` different surroundings would meet under."""
+
+    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, limit=SLICE):
+            data, offsets = text_bytes(batch.column("text"))
+            at, grams, document, first, last = picked(data, offsets, length)
+            place, counts = np.unique(grams, return_inverse=True, return_counts=True)[1:]
+            kept = counts[place] > FEW
+            parts = _by_reach(data, *(x[kept] for x in (at, grams, document, first, last)), length)
+            at, met, _, first, last = (np.concatenate(x) for x in zip(*parts, strict=True))
+            whole = mix(PrefixHash(BYTE_VALUES[data]).of(first, last + length - first) + mix((at - first).astype(np.uint64)))
+            found, counts = np.unique(met[np.unique(whole, return_index=True)[1]], return_counts=True)
+            much = counts > FEW
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found[much].view(np.int64)), pa.array(counts[much], pa.int64())], names=["met", "n"]
+            )
+
+    counts = docs.select("text").mapInArrow(report, "met long, n long").groupBy("met").agg(F.sum("n").alias("n"))
+    rows = counts.where(F.col("n") > CROWD).select("met").collect()
+    return np.sort(np.array([r[0] for r in rows], dtype=np.int64).view(np.uint64))
+
+
 #: Surroundings of picked positions, by gram; and stretches already known, by row.
 CONTEXTS = "bucket int, numbers binary, data binary, rows binary, starts binary, ends binary"
 _CONTEXTS = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in "numbers data rows starts ends".split())])
@@ -265,13 +304,49 @@ def _repeated(numbers: np.ndarray, data: np.ndarray, length: int) -> tuple[np.nd
     return numbers["row"][entry], at - farthest, at - nearest + length
 
 
-def repeated_spans(docs: DataFrame, copies: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``row, starts, ends``: maximal byte ranges covered by strings of ``length`` bytes that start elsewhere too.
+def _merged(rows: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Stretches by row, those that touch as one."""
+    order = np.lexsort((starts, rows))
+    rows, starts, ends = rows[order], starts[order].astype(np.int64), ends[order].astype(np.int64)
+    number = np.cumsum(np.diff(rows, prepend=rows[:1] - 1) != 0) if len(rows) else rows
+    reach = np.maximum.accumulate(ends + (number << 32)) - (number << 32)
+    fresh = np.ones(len(rows), dtype=bool)
+    fresh[1:] = (rows[1:] != rows[:-1]) | (starts[1:] > reach[:-1])
+    first = np.flatnonzero(fresh)
+    last = np.append(first[1:], len(rows)) - 1 if len(rows) else first
+    return rows[first], starts[first], reach[last]
 
-    For rows of ``keyed`` documents; ``copies``, the texts that occur more than once, are not listed.
-    """
-    spark, size = docs.sparkSession, text_size(docs)
-    bits = bucket_bits(spark, size / BUCKET * BUCKET_BYTES)
+
+def _shared_positions(batch: pa.RecordBatch, length: int) -> tuple:
+    """Of a slice with ``places``: bytes, offsets, and the shared positions by reach."""
+    data, offsets = text_bytes(batch.column("text"))
+    at, grams, document, first, last = picked(data, offsets, length)
+    lists = batch.column("places")
+    wanted = np.repeat(offsets[:-1], np.diff(lists.offsets.to_numpy())) + lists.flatten().to_numpy()
+    kept = np.isin(at, wanted)
+    parts = _by_reach(data, *(x[kept] for x in (at, grams, document, first, last)), length)
+    return data, offsets, *(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def repeated_strings(near: DataFrame, crowded: np.ndarray, length: int, bits: int) -> DataFrame:
+    """``row, starts, ends``: starts of strings that would meet under crowded hashes and whose own hash occurs twice."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, limit=SLICE):
+            data, offsets, _, met, document, first, last = _shared_positions(batch, length)
+            many = np.isin(met, crowded)
+            starts, strings, document = _by_string(data, document[many], first[many], last[many], length)
+            rows, places = batch.column("row").to_numpy()[document], (starts - offsets[document]).astype(np.int32)
+            yield from offer(strings, rows, places, np.ones(len(starts), dtype=bool), bits)
+
+    found = per_bucket(
+        near.mapInArrow(ask, OFFER), lambda table: regrouped(*answer(table), bits), "bucket int, rows binary, ats binary"
+    )
+    return stored(per_bucket(found, lambda table: runs_of(table, 1), SPANS), "strings")
+
+
+def surroundings(docs: DataFrame, copies: DataFrame, length: int, bits: int) -> DataFrame:
+    """What meets, as ``CONTEXTS``: surroundings of shared positions, one of a kind from a slice."""
     shared = stored(shared_grams(docs, length, bits), "grams")
     hits = shared.groupBy("row").agg(F.collect_list("at").alias("places"))
     near = (
@@ -282,16 +357,30 @@ def repeated_spans(docs: DataFrame, copies: DataFrame, length: int = LENGTH) ->
         .where("coalesce(speaks, true)")
         .select("row", "text", "places", F.col("speaks").isNull().alias("asks"))
     )
+    none = F.array().cast("array<int>")
+    crowded = crowded_hashes(docs, length)
+    if len(crowded):
+        strings = repeated_strings(near, crowded, length, bits)
+        near = near.join(strings.hint("shuffle_hash"), "row", "left")
+        near = near.withColumns({c: F.coalesce(c, none) for c in ("starts", "ends")})
+    else:
+        near = near.withColumns({"starts": none, "ends": none})
 
     def surround(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=SLICE):
-            data, offsets = text_bytes(batch.column("text"))
-            at, grams, document, first, last = picked(data, offsets, length)
-            lists = batch.column("places")
-            wanted = np.repeat(offsets[:-1], np.diff(lists.offsets.to_numpy())) + lists.flatten().to_numpy()
-            kept = np.isin(at, wanted)
-            parts = _by_reach(data, *(x[kept] for x in (at, grams, document, first, last)), length)
-            at, grams, document, first, last = (np.concatenate(x) for x in zip(*parts, strict=True))
+            data, offsets, at, grams, document, first, last = _shared_positions(batch, length)
+            many = np.isin(grams, crowded)
+            if many.any():
+                starts, strings, owner = _by_string(data, document[many], first[many], last[many], length)
+                edges = np.zeros(len(data) + 1, dtype=np.int64)
+                for name, step in (("starts", 1), ("ends", -1)):
+                    lists = batch.column(name)
+                    base = np.repeat(offsets[:-1], np.diff(lists.offsets.to_numpy()))
+                    np.add.at(edges, base + lists.flatten().to_numpy(), step)
+                twice = (np.cumsum(edges) > 0)[starts]
+                starts, strings, owner = starts[twice], strings[twice], owner[twice]
+                pairs = ((at, starts), (grams, strings), (document, owner), (first, starts), (last, starts))
+                at, grams, document, first, last = (np.concatenate([x[~many], y]) for x, y in pairs)
             texts = [data[a : b + length].tobytes() for a, b in zip(first, last, strict=True)]
             seen: dict[tuple, list[int]] = {}
             for i, key in enumerate(zip((at - first).tolist(), texts, strict=True)):
@@ -303,35 +392,39 @@ def repeated_spans(docs: DataFrame, copies: DataFrame, length: int = LENGTH) ->
             known = np.array([i for group in seen.values() if len(group) > 1 for i in group], dtype=np.int64)
             own = known[numbers["asks"][known] > 0]
             yield from _stretches(
-                numbers["row"][own], (first - offsets[document])[own], (last + length - offsets[document])[own], bits
+                *_merged(
+                    numbers["row"][own], (first - offsets[document])[own], (last + length - offsets[document])[own]
+                ),
+                bits,
             )
             numbers["asks"][known] = 0
             sent = np.array([group[0] for group in seen.values()], dtype=np.int64)
             yield from _contexts(numbers[sent], [texts[i] for i in sent], bits)
 
+    return near.mapInArrow(surround, CONTEXTS)
+
+
+def repeated_spans(docs: DataFrame, copies: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``row, starts, ends``: maximal byte ranges covered by strings of ``length`` bytes that start elsewhere too.
+
+    For rows of ``keyed`` documents; ``copies``, the texts that occur more than once, are not listed.
+    """
+    bits = bucket_bits(docs.sparkSession, text_size(docs) / BUCKET * BUCKET_BYTES)
+
     def meet(table: pa.Table) -> pa.Table:
         have = lambda name, kind: unpacked(table[name].drop_null(), kind)
         rows, starts, ends = _repeated(have("numbers", _NUMBERS), have("data", np.uint8), length)
         rows = np.concatenate([rows, have("rows", np.int64)])
         starts = np.concatenate([starts, have("starts", np.int32)])
         ends = np.concatenate([ends, have("ends", np.int32)])
-        order = np.lexsort((starts, rows))
-        parts = list(_stretches(rows[order], starts[order], ends[order], bits))
+        parts = list(_stretches(*_merged(rows, starts, ends), bits))
         return pa.Table.from_batches(parts, schema=_CONTEXTS)
 
     def joined(table: pa.Table) -> pa.Table:
-        rows, starts, ends = unpacked(table["rows"], np.int64), unpacked(table["starts"], np.int32), unpacked(table["ends"], np.int32)
-        order = np.lexsort((starts, rows))
-        rows, starts, ends = rows[order], starts[order].astype(np.int64), ends[order].astype(np.int64)
-        number = np.cumsum(np.diff(rows, prepend=rows[:1] - 1) != 0) if len(rows) else rows
-        reach = np.maximum.accumulate(ends + (number << 32)) - (number << 32)
-        fresh = np.ones(len(rows), dtype=bool)
-        fresh[1:] = (rows[1:] != rows[:-1]) | (starts[1:] > reach[:-1])
-        first = np.flatnonzero(fresh)
-        last = np.append(first[1:], len(rows)) - 1 if len(rows) else first
-        return spans_table(rows[first], starts[first], reach[last])
-
-    found = per_bucket(near.mapInArrow(surround, CONTEXTS), meet, CONTEXTS)
+        have = (unpacked(table["rows"], np.int64), unpacked(table["starts"], np.int32), unpacked(table["ends"], np.int32))
+        return spans_table(*_merged(*have))
+
+    found = per_bucket(surroundings(docs, copies, length, bits), meet, CONTEXTS)
     return stored(per_bucket(found, joined, SPANS), "repeats")
 
 
