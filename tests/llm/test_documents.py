@@ -274,3 +274,26 @@ def test_a_child_is_kept_in_kept_parents_only():
     for _ in range(50):
         kept = pages.choose(page, rng.normal(size=len(page.parent)))
         assert all(kept[page.parent[i]] for i in range(1, len(kept)) if kept[i])
+
+
+@pytest.fixture(scope="module")
+def page_trees(spark):
+    return pages.train(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+
+
+def main_text(model, source: str) -> str:
+    page = pages.Page(source)
+    return page.text(pages.choose(page, pages.scores(model, pages.features(page), np.array(page.by_words))))
+
+
+PARAGRAPHS = [f"<p>This is paragraph {i}, with many words in it. It goes on, sentence by sentence, {'and on, and on. ' * 20}</p>" for i in range(8)]
+
+
+@pytest.mark.parametrize("name", ["related-work", "social-history", "privacy", "tags", "respond", "no-sidebar"])
+def test_words_of_attributes_do_not_drop_article_text(page_trees, name):
+    lost = f"<section class='{name}'>{''.join(PARAGRAPHS[4:])}</section>"
+    around = "<html><body><nav><a href=/>Home</a></nav><div class='ad'>Buy this.</div><article><h1>Head</h1>{}{}</article><footer>Foot</footer>"
+    text = main_text(page_trees, around.format("".join(PARAGRAPHS[:4]), lost))
+    assert all(f"paragraph {i}" in text for i in range(8)) and "Home" not in text and "Buy" not in text
+    header = "<div class='article-header'><h1>A headline of the usual length, with a comma.</h1></div>"
+    assert "headline" in main_text(page_trees, around.format(header, "".join(PARAGRAPHS)))

@@ -37,7 +37,7 @@ SAMPLE_PAGES, SAMPLE_NODES = 1500, 60_000
 #: Trees, their depth, shrinkage, penalty, and bins per feature.
 TREES, DEPTH, RATE, PENALTY, BINS = 40, 4, 0.2, 1.0, 32
 
-#: Share of a page's text that attribute words alone cannot set aside; score of what is marked as aside.
+#: Share of a page's text that attribute words alone cannot set aside; highest score of what is marked as aside beyond doubt.
 WRAPPER, SET_ASIDE = 0.6, -3.0
 
 # Elements by what HTML makes of them ...
@@ -59,6 +59,13 @@ ASIDE_WORDS = set(
     "popup privacy promo promoted recommended related respond search share sharing sidebar signup social sponsor "
     "sponsored subscribe tags toolbar topbar widget complementary contentinfo alert".split()
 )
+#: Words of these that an article's own parts are named by too: a prior only.  And words that turn the next one around.
+DOUBTFUL = set(
+    "alert banner consent disclaimer form header login notice notices privacy recommended related replies reply respond "
+    "search share sharing social tags widget".split()
+)
+CERTAIN_WORDS = ASIDE_WORDS - DOUBTFUL
+TURNING = set("no non without has with".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>?", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -84,14 +91,18 @@ class Page:
         self.own, self.links, self.marks = [0], [0], [0]
         self.runs: list[tuple[int, int, str]] = []
         self._block = 0
+        #: Whether only doubtful words set an element aside, whether it is inside an article's tag, whether it is aside
+        #: beyond doubt; and whether its own words are.
+        self.by_words, self.in_main, self.barred, self.certain = [False], [False], [False], [False]
         self._read(source)
         self._settle()
 
     def _open(self, name: str, attributes: str, stack: list[int]) -> int:
         above, node = stack[-1], len(self.parent)
-        words = {
-            w.lower() for m in _ATTRIBUTE.finditer(attributes) for w in _WORD.findall(m[2] or m[3] or m[4] or "")
-        } if attributes else ()
+        words = set()
+        for m in _ATTRIBUTE.finditer(attributes):
+            found = [w.lower() for w in _WORD.findall(m[2] or m[3] or m[4] or "")]
+            words.update(w for before, w in zip(["", *found], found, strict=False) if before not in TURNING)
         kind = (name in MAIN) - (name in ASIDE) * 2
         if words and not kind:
             kind = -1 if not ASIDE_WORDS.isdisjoint(words) else (1 if not MAIN_WORDS.isdisjoint(words) else 0)
@@ -100,6 +111,7 @@ class Page:
         self.depth.append(len(stack))
         self.names.append(name)
         self.kind.append(kind)
+        self.certain.append(not CERTAIN_WORDS.isdisjoint(words))
         self.inside.append(0)
         self.sibling.append(self.children[above])
         self.children[above] += 1
@@ -176,6 +188,10 @@ class Page:
                 self.kind[node] = 0  # an article's own heading
             kind = self.kind[node]
             self.inside[node] = -1 if kind < 0 or above < 0 else max(above, kind)
+            up = self.parent[node]
+            self.barred.append(kind == -2 or (kind == -1 and self.certain[node]) or self.barred[up])
+            self.by_words.append(self.inside[node] < 0 and not self.barred[node])
+            self.in_main.append(self.names[node] in MAIN or self.in_main[up])
 
     def text(self, kept: np.ndarray) -> str:
         """The kept elements' text: white space as one space, blocks as lines."""
@@ -273,10 +289,10 @@ class Trees:
 def choose(page: Page, margin: np.ndarray) -> np.ndarray:
     """The best choice over the tree in which every kept element has a kept parent.
 
-    What a page itself marks as standing aside is not scored above ``SET_ASIDE``.
+    What tags or certain words mark as standing aside is not scored above ``SET_ASIDE``.
     """
     n = len(page.parent)
-    margin = np.where(np.array(page.inside) < 0, np.minimum(margin, SET_ASIDE), margin)
+    margin = np.where(np.array(page.barred), np.minimum(margin, SET_ASIDE), margin)
     gain = margin * np.log1p(page.own)
     drop = np.concatenate([[0.0], np.cumsum(gain)])
     keep = gain.copy()
@@ -290,8 +306,18 @@ def choose(page: Page, margin: np.ndarray) -> np.ndarray:
     return kept
 
 
-def _taught(page: Page) -> np.ndarray | None:
-    """Labels of a page that marks its article: inside it and not aside, or around it."""
+def scores(model: Trees, x: np.ndarray, by_words: np.ndarray) -> np.ndarray:
+    """Log odds of elements; where only doubtful words set aside they are a prior, and the trees judge by the rest."""
+    seen = x.copy()
+    seen[np.ix_(by_words, MARKED)] = 0
+    return model.margin(seen, prior(x))
+
+
+def _taught(page: Page) -> tuple[np.ndarray, np.ndarray] | None:
+    """Labels of a page that marks its article: inside it and not aside, or around it; and which of them are sure.
+
+    What doubtful words set aside within an article may be part of it or not, and teaches nothing.
+    """
     inside = np.array(page.inside) > 0
     marked = [i for i, name in enumerate(page.names) if name in MAIN and page.inside[i] > 0]
     if not marked:
@@ -302,7 +328,7 @@ def _taught(page: Page) -> np.ndarray | None:
         up = page.parent[marked[0]]
         while up >= 0:
             inside[up], up = True, page.parent[up]
-    return inside
+    return inside, ~(np.array(page.by_words) & np.array(page.in_main))
 
 
 def train(pages: DataFrame, column: str = "html") -> Trees:
@@ -320,10 +346,11 @@ def train(pages: DataFrame, column: str = "html") -> Trees:
         for batch in slices(batches, "html"):
             for source in batch.column("html").to_pylist():
                 page = Page(source)
-                labels = _taught(page)
-                if labels is None:
+                taught = _taught(page)
+                if taught is None:
                     continue
-                x = features(page)
+                labels, sure = taught
+                x, labels = features(page)[sure], labels[sure]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r.tobytes() for r in x], pa.binary()), pa.array(labels)], names=["x", "y"]
                 )
@@ -349,7 +376,8 @@ def extract(pages: DataFrame, model: Trees, column: str = "html") -> DataFrame:
             read = [Page(source or "") for source in batch.column(column).to_pylist()]
             tables = [features(page) for page in read]
             x = np.concatenate(tables)
-            margins = np.split(shared.value.margin(x, prior(x)), np.cumsum([len(t) for t in tables])[:-1])
+            by_words = np.concatenate([page.by_words for page in read])
+            margins = np.split(scores(shared.value, x, by_words), np.cumsum([len(t) for t in tables])[:-1])
             texts = [page.text(choose(page, margin)) for page, margin in zip(read, margins, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in others), pa.array(texts, pa.string())], names=[*others, "text"]
