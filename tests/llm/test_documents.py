@@ -297,3 +297,21 @@ def test_words_of_attributes_do_not_drop_article_text(page_trees, name):
     assert all(f"paragraph {i}" in text for i in range(8)) and "Home" not in text and "Buy" not in text
     header = "<div class='article-header'><h1>A headline of the usual length, with a comma.</h1></div>"
     assert "headline" in main_text(page_trees, around.format(header, "".join(PARAGRAPHS)))
+
+
+def all_text(source: str) -> str:
+    page = pages.Page(source)
+    return page.text(np.ones(len(page.parent), dtype=bool))
+
+
+@pytest.mark.parametrize("name", ["svg", "math", "object", "canvas", "noscript", "iframe", "template", "textarea"])
+def test_an_unclosed_element_does_not_swallow_the_page(name):
+    text = all_text(f"<body><{name}><article><h1>Head</h1>{''.join(PARAGRAPHS)}</article>")
+    assert all(f"paragraph {i}" in text for i in range(8))
+
+
+def test_formulas_and_objects_are_text():
+    formula = "<p>Before, <math><mi>x</mi><mo>=</mo><mn>42</mn><mspace/></math> after. <object data=a>Instead of it.</object> End.</p>"
+    text = all_text(f"<article><h1>Head</h1>{''.join(PARAGRAPHS)}{formula}</article>")
+    assert "Before, x=42 after. Instead of it. End." in text
+    assert "no()" not in all_text(f"<article>{''.join(PARAGRAPHS)}<script>no()")

@@ -42,8 +42,13 @@ WRAPPER, SET_ASIDE = 0.6, -3.0
 
 # Elements by what HTML makes of them ...
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template svg iframe object canvas math title textarea".split())
-INLINE = set("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+RAW = set("script style noscript template svg iframe canvas title textarea".split())
+TO_THE_END = set("script style".split())  # without an end tag these run to the end of the page
+INLINE = set("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr object".split())
+INLINE |= set(
+    "math mrow mi mo mn ms mtext mspace msub msup msubsup mfrac msqrt mroot mover munder munderover mmultiscripts mprescripts "
+    "mtable mtr mtd mstyle mpadded mphantom menclose merror maction semantics annotation annotation-xml".split()
+)
 CLOSES = {
     "li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "dt": {"dt", "dd"},
     "dd": {"dt", "dd"}, "option": {"option"}, "body": {"head"},
@@ -137,7 +142,7 @@ class Page:
             self.end[stack.pop()] = len(self.parent)
 
     def _read(self, source: str) -> None:
-        stack, at = [0], 0
+        stack, at, unclosed = [0], 0, set()
         size = len(source)
         while at < size:
             tag = _TAG.search(source, at)
@@ -157,9 +162,14 @@ class Page:
                     self._close(stack, place)
                 continue
             if name in RAW:
-                if not tag[3].endswith("/"):
+                if not tag[3].endswith("/") and name not in unclosed:
                     over = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(source, at)
-                    at = over.end() if over else size
+                    if over:
+                        at = over.end()
+                    elif name in TO_THE_END:
+                        at = size
+                    else:
+                        unclosed.add(name)  # what it holds is read as part of the page
                 continue
             if name == "br":
                 self._text(" ", stack)
