@@ -315,3 +315,10 @@ def test_formulas_and_objects_are_text():
     text = all_text(f"<article><h1>Head</h1>{''.join(PARAGRAPHS)}{formula}</article>")
     assert "Before, x=42 after. Instead of it. End." in text
     assert "no()" not in all_text(f"<article>{''.join(PARAGRAPHS)}<script>no()")
+
+
+def test_copies_do_not_thin_out_the_taught_pages(spark):
+    different = [f"<nav><a>{i}</a></nav><article><h1>{i}</h1>{''.join(PARAGRAPHS)}</article>" for i in range(3)]
+    table = spark.range(60_000).select("id", F.element_at(F.array(*map(F.lit, different)), (F.col("id") % 3 + 1).cast("int")).alias("html"))
+    assert len(pages.train(table).features) == pages.TREES
+    assert not pages.train(table.limit(0)).features

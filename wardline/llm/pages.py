@@ -343,8 +343,8 @@ def _taught(page: Page) -> tuple[np.ndarray, np.ndarray] | None:
 
 def train(pages: DataFrame, column: str = "html") -> Trees:
     """Fit the trees on a bounded, hash-chosen sample of pages and their elements."""
-    # One page in so many, by hash; of equal pages one.
-    share = max(1, pages.count() // SAMPLE_PAGES)
+    # One different page in so many, by hash: copies do not thin out the sample.
+    share = max(1, (pages.agg(F.approx_count_distinct(F.xxhash64(column))).first()[0] or 0) // SAMPLE_PAGES)
     sample = (
         pages.select(F.col(column).alias("html"))
         .where("html IS NOT NULL")
