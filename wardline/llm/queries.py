@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wardline.llm import ann, bpe, jaccard, langid, mixing, pages, quality, qualityrules, substring, suffixes, topk
+from wardline.llm import ann, bpe, jaccard, langid, mixing, pages, quality, qualityrules, resample, substring, suffixes, topk
 
 QUERIES = {
     "op1_language": langid.op1_language,
@@ -15,11 +15,13 @@ QUERIES = {
     "op8_bpe_round_trip": bpe.op8_bpe_round_trip,
     "op9_substring_dedup": substring.op9_substring_dedup,
     "op10_nearest": ann.op10_nearest,
+    "op11_resample": resample.op11_resample,
     "op13_quality_rules": qualityrules.op13_quality_rules,
 }
 
 ORACLE = {
     "op2_exact_topk": topk.ORACLE,
     "op5_source_mix": mixing.ORACLE,
+    "op11_resample": resample.ORACLE,
     "op13_quality_rules": qualityrules.oracle(),
 }
