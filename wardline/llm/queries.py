@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wardline.llm import ann, bpe, jaccard, langid, mixing, pages, quality, qualityrules, resample, substring, suffixes, topk
+from wardline.llm import ann, bpe, jaccard, langid, mixing, pages, quality, qualityrules, resample, substring, suffixes, topk, vectorcodes
 
 QUERIES = {
     "op1_language": langid.op1_language,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_substring_dedup": substring.op9_substring_dedup,
     "op10_nearest": ann.op10_nearest,
     "op11_resample": resample.op11_resample,
+    "op12_vector_codes": vectorcodes.op12_vector_codes,
     "op13_quality_rules": qualityrules.op13_quality_rules,
 }
 
@@ -23,5 +24,6 @@ ORACLE = {
     "op2_exact_topk": topk.ORACLE,
     "op5_source_mix": mixing.ORACLE,
     "op11_resample": resample.ORACLE,
+    "op12_vector_codes": vectorcodes.oracle(),
     "op13_quality_rules": qualityrules.oracle(),
 }
