@@ -1,15 +1,18 @@
 from __future__ import annotations
 
-import re
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from conftest import record
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from wardline.operators import monitoring, prepare, scoring
 from wardline.operators.rules import evaluate, parse_rules
-from wardline.schema import RECORD_FIELDS, RECORD_SCHEMA, VALID, VERDICT_FIELDS, detections_schema
+from wardline.schema import INCOMPLETE, RECORD_FIELDS, RECORD_SCHEMA, VALID, VERDICT_FIELDS, detections_schema
+from wardline.streaming import store as store_module
+from wardline.streaming.commits import CommitLog, State
+from wardline.streaming.job import BatchLog
 from wardline.streaming.store import Store
 
 RULES = parse_rules([
@@ -106,7 +109,6 @@ def test_a_half_written_batch_is_not_read(spark, store, three, monkeypatch):
     with pytest.raises(RuntimeError):
         store.write_batch(three, 1)
     assert contents(store) == before
-    assert store.detections(complete_only=False).count() == 4
     monkeypatch.undo()
     store.write_batch(three, 1)
     assert len(contents(store)[0]) == 4
@@ -124,8 +126,7 @@ def test_a_crash_inside_a_replay_shows_no_half_batch(store, three, monkeypatch,
     monkeypatch.setattr(f"wardline.streaming.store.{stage}", crash)
     with pytest.raises(RuntimeError):
         store.write_batch(three, 1)  # on another day than before
-    det, cnt = contents(store)
-    assert {r[1] for r in det} == {r[1] for r in cnt} == {0}
+    assert contents(store) == whole  # what the batch held before, until the replay is committed
     assert scoring.integrity(store.detections(), store.counts()).where("NOT passed").count() == 0
     monkeypatch.undo()
     store.write_batch(three, 1)
@@ -150,41 +151,220 @@ def test_a_recent_window_opens_recent_days_only(store, three):
         store.write_batch(three, day, now=NOW.replace(day=day))
     recent = store.detections(since=NOW.replace(day=3))
     assert {r["batch_id"] for r in recent.collect()} == {3}
-    plan = recent._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[[^]]*day#\d+ >= 2024-01-03", plan)
+    assert len({f.rpartition("/")[0] for f in recent.inputFiles()}) == 1 and "/2024-01-03/" in recent.inputFiles()[0]
 
 
-def test_compaction_keeps_the_rows(spark, store, three):
-    for batch in range(4):
-        store.write_batch(three, batch, "a" if batch < 3 else "b", now=NOW.replace(day=1 + batch // 3))
-    before, day = contents(store), NOW.date()
-    store.compact(day)
-    assert contents(store) == before
-    folders = [f for f in store.detections().inputFiles() if "run_id=a" in f]
-    assert folders == [] and {r["batch_id"] for r in store.detections(run_id="a").collect()} == {0, 1, 2}
+def filled(spark, root, zone="UTC"):
+    """Three batches of one UTC day and one of the next, in two runs."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", zone)
+    store = Store(own, str(root))
+    store.ensure_tables()
+    rows = judged(own, {"label": "ddos", "count": 300}, {"count": 1}, {"count": 150})
+    for batch, hour in enumerate((1, 12, 20)):
+        store.write_batch(rows, batch, "a", now=NOW.replace(hour=hour))
+    store.write_batch(rows, 0, "b", now=NOW.replace(day=2, hour=3))
+    return store, rows
+
+
+def files_of(frame):
+    return {f.rpartition("/")[2] for f in frame.inputFiles()}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Ho_Chi_Minh", "America/Los_Angeles"])
+def test_compaction_keeps_the_rows(spark, tmp_path, zone):
+    store, rows = filled(spark, tmp_path, zone)
+    before, batches = contents(store), sorted(map(tuple, store.batches().collect()))
+    for _ in range(2):
+        store.compact(NOW.date())
+        assert contents(store) == before and sorted(map(tuple, store.batches().collect())) == batches
+    assert [k for k in store.log.read().batches] == [("b", 0)] and len(store.log.read().merges) == 1
     assert store.detections(since=NOW.replace(day=2)).count() == 2
-    store.compact(day)
-    assert contents(store) == before
-    store.write_batch(three, 9, "a", now=NOW.replace(day=2))
-    assert len(contents(store)[0]) == len(before[0]) + 2
+    assert store.detections(run_id="a").count() == 6
+    store.write_batch(rows, 9, "a", now=NOW.replace(hour=23))
+    store.compact(NOW.date())  # again, with a batch more
+    assert len(contents(store)[0]) == len(before[0]) + 2 and list(store.log.read().batches) == [("b", 0)]
     store.reset()
-    assert contents(store) == ([], [])
+    assert contents(store) == ([], []) and store.batches().count() == 0
 
 
-def test_an_interrupted_compaction_changes_nothing(store, three, monkeypatch):
-    store.write_batch(three, 0, now=NOW)
+def test_deleting_and_replaying_batches_of_a_compacted_day(spark, tmp_path):
+    store, rows = filled(spark, tmp_path)
+    store.compact(NOW.date())
     before = contents(store)
+    store.write_batch(rows, 1, "a")  # a replay, days later
+    assert contents(store) == before
+    store.write_batch(judged(store.spark, {"count": 1}), 1, "a", now=NOW)
+    assert contents(store)[0] == [r for r in before[0] if r[:2] != ("a", 1)]
+    assert [r for r in contents(store)[1] if r[:2] == ("a", 1)] == [("a", 1, "normal", 1)]
+    store.delete_batch(2, "a")
+    store.delete_batch(0, "b")  # of an open day
+    assert {r[:2] for r in contents(store)[1]} == {("a", 0), ("a", 1)}
+    assert {r.batch_id for r in store.batches().collect()} == {0, 1}
+    now = contents(store)
+    store.compact(NOW.date())
+    assert contents(store) == now and not store.log.read().batches
+    assert all(not m["gone"] for m in store.log.read().merges.values())
+
+
+@pytest.mark.parametrize("crash_at", range(6))
+def test_a_compaction_lost_at_any_step_changes_nothing(spark, tmp_path, monkeypatch, crash_at):
+    store, _ = filled(spark, tmp_path)
+    before, seen = contents(store), []
+
+    def counted(name, real):
+        def step(*args, **kwargs):
+            assert contents(store) == before  # a reader between any two steps
+            if len(seen) == crash_at:
+                raise RuntimeError("lost")
+            seen.append(name)
+            return real(*args, **kwargs)
+        return step
+
+    with monkeypatch.context() as patched:
+        patched.setattr("wardline.streaming.store._ranges", counted("write", store_module._ranges))
+        patched.setattr("wardline.streaming.store._piece", counted("count", store_module._piece))
+        patched.setattr("wardline.streaming.commits.files.create", counted("commit", store_module.files.create))
+        with pytest.raises(RuntimeError):
+            store.compact(NOW.date())
+    assert contents(store) == before and len(store.log.read().batches) == 4
+    store.compact(NOW.date())
+    assert contents(store) == before and len(store.log.read().batches) == 1
 
-    def crash(*_):
-        raise RuntimeError("lost before the mark")
 
-    monkeypatch.setattr("wardline.streaming.store.files.create", crash)
-    with pytest.raises(RuntimeError):
+def test_readers_keep_to_their_commit(spark, tmp_path):
+    store, rows = filled(spark, tmp_path)
+    pinned, before = store.snapshot(), contents(store)
+    store.compact(NOW.date())
+    store.delete_batch(0, "a")
+    store.write_batch(rows, 0, "b", now=NOW)
+    rows_of = lambda s: sorted(tuple(r) for r in s.detections().select("run_id", "batch_id", "label", "count").collect())
+    assert rows_of(pinned) == before[0] and len(rows_of(store.snapshot())) == len(before[0]) - 2
+    assert store.vacuum() == 0  # everything is younger than a day
+    assert store.vacuum(timedelta(0)) > 0
+    assert len(contents(store)[0]) == len(before[0]) - 2
+    with pytest.raises(Exception, match="(?i)not.*exist"):
+        rows_of(pinned)
+
+
+@pytest.mark.parametrize("meanwhile", ["replay", "delete", "new", "compact"])
+def test_what_happens_during_a_compaction_holds(spark, tmp_path, monkeypatch, meanwhile):
+    store, rows = filled(spark, tmp_path)
+    other, real = Store(store.spark, store.root), CommitLog.commit
+    quiet = judged(store.spark, {"count": 1})
+    acts = {
+        "replay": lambda: other.write_batch(quiet, 1, "a", now=NOW),
+        "delete": lambda: other.delete_batch(1, "a"),
+        "new": lambda: other.write_batch(rows, 7, "a", now=NOW),
+        "compact": lambda: other.compact(NOW.date()),
+    }
+
+    def late(log, change):
+        if log is store.log:
+            monkeypatch.setattr(CommitLog, "commit", real)
+            acts[meanwhile]()
+        return real(log, change)
+
+    monkeypatch.setattr(CommitLog, "commit", late)
+    if meanwhile == "compact":
+        store.compact(NOW.date())  # nothing of what it read is there any more: its own merge holds no row
+        assert len(contents(store)[0]) == 8
+    else:
         store.compact(NOW.date())
-    assert contents(store) == before
-    monkeypatch.undo()
+    expected = {"replay": 6, "delete": 6, "new": 10, "compact": 8}[meanwhile]
+    assert len(contents(store)[0]) == expected
     store.compact(NOW.date())
-    assert contents(store) == before
+    assert len(contents(store)[0]) == expected
+
+
+def test_two_writers_never_share_a_number(spark, tmp_path):
+    one, two = (CommitLog(spark, str(tmp_path)) for _ in range(2))
+    for turn in range(120):
+        (one, two)[turn % 2].commit(lambda s, t=turn: {"put": [{"run": "a", "batch": t, "pieces": {}}]})
+    fresh = CommitLog(spark, str(tmp_path)).read()
+    assert fresh.version == 119 and len(fresh.batches) == 120 and State.from_json(fresh.to_json()) == fresh
+    one.shorten()
+    assert CommitLog(spark, str(tmp_path)).read() == fresh == two.read()
+    assert one.commit(lambda s: None) == fresh
+
+
+def test_labels_and_times_choose_files(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    store.ensure_tables()
+    for batch in range(6):
+        at = NOW + timedelta(minutes=batch)
+        rows = judged(spark, {"label": "ddos", "count": 300}, {"label": "scan", "count": 1}, {"count": 150})
+        store.write_batch(rows.withColumn("timestamp", F.lit(at.timestamp())), batch, now=at)
+    third = NOW.timestamp() + 120
+    recent = store.detections(spans=[(third - 5, third + 5)])
+    assert recent.count() == 3 and len({f.rpartition("/")[0] for f in recent.inputFiles()}) == 1
+    assert store.detections(labels=["absent", "zebra"]).inputFiles() == []
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store.compact(NOW.date())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    everything, one = files_of(store.detections()), files_of(store.detections(labels=["ddos"]))
+    assert store.detections(labels=["ddos"]).count() == 6 and 0 < len(one) < len(everything)
+    both = store.detections(labels=["ddos"], spans=[(third, third)])
+    assert both.count() == 1 and len(files_of(both)) <= len(one)
+
+
+def test_drill_down_opens_the_alerts_files_only(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path))
+    store.ensure_tables()
+    for batch in range(5):
+        at = NOW + timedelta(minutes=batch)
+        rows = judged(spark, {"label": "ddos", "count": 300}, {"count": 150 if batch == 3 else 1})
+        store.write_batch(rows.withColumn("timestamp", F.lit(at.timestamp())), batch, now=at)
+    false_alarms = monitoring.only_verdict(monitoring.alerts(store.detections()))
+    near = store.snapshot().around(false_alarms)
+    want = monitoring.drill_down(monitoring.raw_rows(store.detections()), false_alarms)
+    assert sorted(map(tuple, monitoring.raw_rows(near).collect())) == sorted(map(tuple, want.collect())) and near.count() == 2
+    assert len({f.rpartition("/")[0] for f in near.inputFiles() if "/detections/" in f}) <= 5
+    opened = near._jdf.queryExecution().optimizedPlan().toString()
+    assert "timestamp" in opened
+    plan = store.snapshot().detections(spans=[(NOW.timestamp() + 180, NOW.timestamp() + 180)])
+    assert len({f.rpartition("/")[0] for f in plan.inputFiles()}) == 1
+    monkeypatch.setattr("wardline.streaming.store.RANGES", 0)
+    assert sorted(map(tuple, monitoring.raw_rows(store.snapshot().around(false_alarms)).collect())) == sorted(map(tuple, want.collect()))
+    assert store.snapshot().around(false_alarms.limit(0)).count() == 0
+
+
+def test_columns_may_be_added_and_nothing_else(spark, tmp_path, three):
+    store = Store(spark, str(tmp_path))
+    store.ensure_tables()
+    store.write_batch(three, 0)
+    wider = StructType([*RECORD_SCHEMA.fields, StructField("sensor", StringType())])
+    grown = Store(spark, str(tmp_path), wider)
+    grown.ensure_tables()
+    grown.write_batch(three.withColumn("sensor", F.lit("s1")), 1)
+    for reader in (store, grown):
+        assert sorted((r.batch_id, r.sensor) for r in reader.detections().collect()) == [(0, None)] * 2 + [(1, "s1")] * 2
+    grown.compact(datetime.now(timezone.utc).date())
+    assert grown.detections().where("sensor = 's1'").count() == 2
+    with pytest.raises(ValueError, match="sensor is stored and would be lost"):
+        store.ensure_tables()
+    other = StructType([StructField(f.name, StringType() if f.name == "count" else f.dataType) for f in wider.fields])
+    with pytest.raises(ValueError, match="count is stored as int, not string"):
+        Store(spark, str(tmp_path), other).ensure_tables()
+    strict = StructType([*wider.fields, StructField("must", StringType(), False)])
+    with pytest.raises(ValueError, match="nullable"):
+        Store(spark, str(tmp_path), strict).ensure_tables()
+
+
+def test_a_batch_log_goes_on_where_the_run_stopped(spark, tmp_path, three, caplog):
+    store = Store(spark, str(tmp_path))
+    store.ensure_tables()
+    assert vars(BatchLog.resumed(store, "a")) == {"idle_every": 30, "unparseable": 0, "incomplete": 0, "idle": 0}
+    broken = three.withColumn("_status", F.lit(INCOMPLETE)).withColumn("_count_label", F.lit(INCOMPLETE))
+    first = BatchLog.resumed(store, "a")
+    for batch, rows in enumerate([broken, three, broken, three.where("false"), three.where("false")]):
+        first.note(batch, store.write_batch(rows, batch, "a"))
+    store.compact(datetime.now(timezone.utc).date())
+    second = BatchLog.resumed(store, "a")
+    assert vars(second) == vars(first) and (second.incomplete, second.idle) == (6, 2)
+    assert vars(BatchLog.resumed(store, "b"))["incomplete"] == 0
 
 
 def test_delete_batch(store, three):
@@ -230,7 +410,7 @@ def test_cache_is_released(spark, store, three):
 def test_stored_files_are_clustered_by_label(spark, store):
     rows = [{"label": name, "count": 200} for name in ("a", "b", "c")] * 40
     store.write_batch(judged(spark, *rows), 0)
-    files = store.detections(complete_only=False).select("label", F.input_file_name().alias("f"))
+    files = store.detections().select("label", F.input_file_name().alias("f"))
     spans = files.groupBy("f").agg(F.count_distinct("label").alias("n")).collect()
     assert sum(r["n"] for r in spans) == 3
 

@@ -112,3 +112,9 @@ def detections_schema(record: StructType = RECORD_SCHEMA) -> StructType:
 COUNTS_SCHEMA = _struct(
     "batch_id bigint, batch_time timestamp, label string, record_count bigint"
 )
+
+#: One row per batch: what it read and how long storing it took.
+BATCHES_SCHEMA = _struct(
+    "batch_id bigint, batch_time timestamp, messages bigint, valid bigint, unparseable bigint, "
+    "incomplete bigint, batch_ms bigint"
+)

@@ -16,6 +16,13 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in system.globStatus(path) or []]
 
 
+def dated(spark: SparkSession, pattern: str) -> list[tuple[str, float]]:
+    """Matching files and folders with the time of their last change, epoch seconds."""
+    path, system = _place(spark, pattern)
+    found = system.globStatus(path) or []
+    return [(status.getPath().toString(), status.getModificationTime() / 1000) for status in found]
+
+
 def delete(spark: SparkSession, location: str) -> None:
     path, system = _place(spark, location)
     system.delete(path, True)

@@ -7,12 +7,15 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from wardline.functions.expressions import total
 from wardline.operators.decode import parse_messages
 from wardline.operators.rules import Rule, evaluate
 from wardline.schema import REQUIRED_FIELDS
 from wardline.sources import files
+from wardline.streaming.progress import ProgressLog
 from wardline.streaming.store import BatchTotals, Store
 
 LOG = logging.getLogger("wardline")
@@ -36,12 +39,24 @@ def run_id_of(spark: SparkSession, checkpoint: str) -> str:
 
 
 class BatchLog:
-    """One line per batch with its share of broken messages and the totals so far; idle streaks now and then."""
+    """One line per batch with its share of broken messages and the run's totals so far; idle streaks now and then."""
 
     def __init__(self, idle_every: int = IDLE_NOTICE_EVERY):
         self.idle_every = idle_every
         self.unparseable = self.incomplete = self.idle = 0
 
+    @classmethod
+    def resumed(cls, store: Store, run_id: str, idle_every: int = IDLE_NOTICE_EVERY) -> BatchLog:
+        """A log that goes on where the run's stored batches end: its totals and its streak of idle batches."""
+        log, busy = cls(idle_every), F.col("messages") > 0
+        log.unparseable, log.incomplete, first, last, last_busy = store.batches(run_id).agg(
+            total(F.col("unparseable")), total(F.col("incomplete")),
+            F.min("batch_id"), F.max("batch_id"), F.max(F.when(busy, F.col("batch_id"))),
+        ).first()
+        if last is not None:
+            log.idle = last - (first - 1 if last_busy is None else last_busy)
+        return log
+
     def note(self, batch_id: int, totals: BatchTotals) -> None:
         if not totals.messages:
             self.idle += 1
@@ -60,6 +75,10 @@ class BatchLog:
         )
 
 
+def progress_folder(store: Store) -> str:
+    return f"{store.base}/progress"
+
+
 def start_detection(
     messages: DataFrame,
     rules: Sequence[Rule],
@@ -76,7 +95,9 @@ def start_detection(
     sources that deliver fewer splits than the cluster has cores.
 
     Malformed messages travel along as rows of nulls - no rule can fire on
-    them - and are counted with everything else in one aggregation.
+    them - and are counted with everything else in one aggregation.  Each batch
+    leaves a row in ``store.batches``; Spark's own reports are kept below the
+    store's root (``progress_folder``), the last ones when the query ends.
     """
     spark = store.spark
     run_id = run_id_of(spark, checkpoint)
@@ -89,7 +110,8 @@ def start_detection(
     # Rules are part of the stream's own plan: compiled once, not per batch.
     judged = evaluate(parse_messages(messages, store.record_schema, required), rules)
 
-    log = BatchLog()
+    log = BatchLog.resumed(store, run_id)
+    ProgressLog.attached(spark, progress_folder(store))
 
     def process(batch: DataFrame, batch_id: int) -> None:
         log.note(batch_id, store.write_batch(batch, batch_id, run_id))

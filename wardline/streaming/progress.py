@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import json
 import logging
+import time
 from threading import Lock
-from typing import Any
+from typing import Any, ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,15 +38,27 @@ class ProgressLog(StreamingQueryListener):
     """Keeps every progress report as rows of a stored table, one per batch and source.
 
     Spark itself remembers only the last reports of a query.  Rows are held back
-    until there are ``at_once`` of them, so that a short trigger does not write a
-    file per batch.
+    until there are ``at_once`` of them, the oldest has waited ``seconds``, or the
+    query ends, so that a short trigger does not write a file per batch.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, at_once: int = 1000):
-        self.spark, self.folder, self.at_once = spark, folder, at_once
+    _attached: ClassVar[dict[tuple[str, str], ProgressLog]] = {}
+
+    def __init__(self, spark: SparkSession, folder: str, at_once: int = 1000, seconds: float = 30.0):
+        self.spark, self.folder, self.at_once, self.seconds = spark, folder, at_once, seconds
         self._rows: list[tuple] = []
+        self._since = time.monotonic()
         self._lock = Lock()
 
+    @classmethod
+    def attached(cls, spark: SparkSession, folder: str) -> ProgressLog:
+        """The log of a folder, listening; one for all queries that report there."""
+        key = (spark.sparkContext.applicationId, folder)
+        if key not in cls._attached:
+            cls._attached[key] = cls(spark, folder)
+            spark.streams.addListener(cls._attached[key])
+        return cls._attached[key]
+
     def onQueryStarted(self, event: Any) -> None:
         pass
 
@@ -60,13 +73,16 @@ class ProgressLog(StreamingQueryListener):
             for number, source in enumerate(report.get("sources") or [{}])
         ]
         with self._lock:
+            if not self._rows:
+                self._since = time.monotonic()
             self._rows += rows
-            full = len(self._rows) >= self.at_once
-        if full:
+            due = len(self._rows) >= self.at_once or time.monotonic() - self._since >= self.seconds
+        if due:
             self.flush()
 
     def onQueryTerminated(self, event: Any) -> None:
-        pass
+        if self._rows:
+            self.flush()
 
     def flush(self) -> None:
         """Append what is held back to the table."""

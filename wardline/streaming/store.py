@@ -1,30 +1,37 @@
-"""The two stored tables as Parquet folders, written from the executors.
-
-Layout: ``<root>/<table>/day=<d>/run_id=<run>/batch_id=<n>/part-*.parquet``.  A
-batch is one folder per table and is always replaced as a whole, so running a
-batch again - after a crash between writing and committing - replaces its rows
-instead of adding them.  The counts folder marks a batch as complete: it is the
-first to go and the last to come, and readers skip detections without it.
-
-Batch ids restart at zero with a new checkpoint, so a run id separates the
-lives of a stream.  The day is that of processing; readers that look back a few
-minutes list the folders of a day or two.  ``compact`` turns a day that is over
-into a few large files; a mark created at once makes readers change over.
+"""The stored tables as Parquet folders, written from the executors, listed by a commit log.
+
+``detections`` holds attacks and flagged rows, ``traffic_counts`` one row per batch and
+label, ``batches`` one row per batch with its totals and how long it took.  A
+micro-batch writes folders of its own and then one commit that makes all of them
+visible together; running it again - after a crash before or after that - replaces its
+rows.  Nothing else ever changes or removes a file that a reader may be using: deleting,
+replaying and compacting are commits too, and ``vacuum`` clears what no commit of the
+last hours names.
+
+The log keeps the range of labels, event times and processing times of every piece, so
+readers choose files before Spark opens one.  Batch ids restart at zero with a new
+checkpoint; a run id separates the lives of a stream.
 """
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
+from functools import cached_property, reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from wardline.functions.expressions import total
 from wardline.operators.prepare import detections, sort_for_storage, traffic_counts
 from wardline.schema import (
+    BATCHES_SCHEMA,
     COUNTS_SCHEMA,
     INCOMPLETE,
     RECORD_SCHEMA,
@@ -32,14 +39,14 @@ from wardline.schema import (
     detections_schema,
 )
 from wardline.sources import files
+from wardline.streaming.commits import CommitConflict, CommitLog, State, both
 
-PARTITION_FIELDS = [
-    StructField("day", DateType()), StructField("run_id", StringType()), StructField("batch_id", LongType())
-]
-#: The tables in the order in which a batch leaves them; it enters them in the other.
-MARKER_FIRST = ("traffic_counts", "detections")
-#: When a row of each table was processed.
-CLOCKS = {"traffic_counts": "batch_time", "detections": "processed_at"}
+#: When a row of each table was processed, and the event it tells of (epoch seconds, if any).
+CLOCKS = {"detections": "processed_at", "traffic_counts": "batch_time", "batches": "batch_time"}
+EVENT_TIME, LABEL = "timestamp", "label"
+
+#: Time ranges that are passed to the files one by one; more are passed as the one that spans them.
+RANGES = 200
 
 
 @dataclass(frozen=True)
@@ -55,9 +62,131 @@ class BatchTotals:
         return self.valid + self.unparseable + self.incomplete
 
 
+def _seconds(column: str) -> Column:
+    return F.unix_micros(column) / F.lit(1e6)
+
+
+def _ranges(table: str, columns: Iterable[str]) -> list[Column]:
+    """Aggregates that say what a piece of a table holds."""
+    clock = _seconds(CLOCKS[table])
+    out = [F.count(F.lit(1)).alias("rows"), F.min(clock).alias("clock_low"), F.max(clock).alias("clock_high")]
+    for name, column in (("event", EVENT_TIME), ("label", LABEL)):
+        if column in columns:
+            out += [F.min(column).alias(f"{name}_low"), F.max(column).alias(f"{name}_high")]
+    return out
+
+
+def _piece(path: str, found: dict) -> dict:
+    sides = {n: [found.get(f"{n}_low"), found.get(f"{n}_high")] for n in ("clock", "event", "label") if f"{n}_low" in found}
+    return {"path": path, "rows": found["rows"], **sides}
+
+
+def _meets(piece: dict, name: str, spans: Sequence[tuple] | None) -> bool:
+    """Whether a piece may hold a value inside one of the spans; one without a range may."""
+    low, high = piece.get(name, (None, None))
+    return spans is None or low is None or any(a <= high and b >= low for a, b in spans)
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """The tables of a store at one commit."""
+
+    store: Store
+    state: State
+
+    def _listed(self, table: str, run_id: str | None) -> list[tuple[dict, str | None]]:
+        """Pieces of a table with the merge they belong to."""
+        found = [
+            (b["pieces"][table], None) for (run, _), b in self.state.batches.items()
+            if table in b["pieces"] and run_id in (None, run)
+        ]
+        for name, merge in self.state.merges.items():
+            if run_id is None or run_id in merge["holds"]:
+                found += [(piece, name) for piece in merge["pieces"].get(table, ())]
+        return found
+
+    def _read(
+        self, table: str, run_id: str | None, since: datetime | None,
+        labels: Sequence[str] | None = None, spans: Sequence[tuple[float, float]] | None = None,
+    ) -> DataFrame:
+        spark, layout = self.store.spark, self.store.layout(table, self.state)
+        recent = None if since is None else [(since.timestamp(), float("inf"))]
+        wanted = [
+            (piece, name) for piece, name in self._listed(table, run_id)
+            if _meets(piece, "clock", recent) and _meets(piece, "event", spans)
+            and _meets(piece, "label", None if labels is None else [(x, x) for x in labels])
+        ]
+        marked = {name for _, name in wanted if name and self.state.merges[name]["gone"]}
+        frames = []
+        for group in (None, *sorted(marked)):
+            paths = [f"{self.store.base}/{p['path']}" for p, n in wanted if (n if n in marked else None) == group]
+            if paths:
+                rows = spark.read.schema(layout).parquet(*paths)
+                frames.append(rows if group is None else rows.where(~_among(self.state.merges[group]["gone"])))
+        if not frames:
+            return spark.createDataFrame([], layout)
+        rows = reduce(DataFrame.unionByName, frames)
+        if run_id is not None:
+            rows = rows.where(F.col("run_id") == run_id)
+        if since is not None:
+            rows = rows.where(F.col(CLOCKS[table]) >= F.lit(since))
+        if labels is not None:
+            rows = rows.where(F.col(LABEL).isin(list(labels)))
+        if spans is not None:
+            inside = [F.col(EVENT_TIME).between(F.lit(float(a)), F.lit(float(b))) for a, b in spans]
+            rows = rows.where(reduce(Column.__or__, inside, F.lit(False)))
+        return rows
+
+    def detections(
+        self, run_id: str | None = None, since: datetime | None = None,
+        labels: Sequence[str] | None = None, spans: Sequence[tuple[float, float]] | None = None,
+    ) -> DataFrame:
+        """Stored rows of one run or all, from an instant of processing on, of some labels,
+        with event times (epoch seconds) in one of some spans; each chooses files first."""
+        return self._read("detections", run_id, since, labels, spans)
+
+    def counts(self, run_id: str | None = None, since: datetime | None = None, labels: Sequence[str] | None = None) -> DataFrame:
+        return self._read("traffic_counts", run_id, since, labels)
+
+    def batches(self, run_id: str | None = None) -> DataFrame:
+        """One row per batch; those not merged yet are in the log itself."""
+        rows = [
+            (b["batch"], datetime.fromisoformat(b["at"]), *b["totals"], b["ms"], run)
+            for (run, _), b in self.state.batches.items() if run_id in (None, run)
+        ]
+        layout = self.store.layout("batches", self.state)
+        return self.store.spark.createDataFrame(rows, layout).unionByName(self._read("batches", run_id, None))
+
+    def around(self, alert_rows: DataFrame, run_id: str | None = None) -> DataFrame:
+        """Stored rows of the minutes that some alerts (``window_start_ts``) fall into.
+
+        The minutes come to the driver if they are few, else the span of all of them;
+        either way they choose files and row groups.
+        """
+        minutes = alert_rows.select(F.unix_seconds("window_start_ts").alias("at")).distinct()
+        found = sorted(r["at"] for r in minutes.limit(RANGES + 1).collect())
+        if len(found) > RANGES:
+            found = list(minutes.agg(F.min("at"), F.max("at")).first())
+            spans = [(found[0], found[1] + 60)]
+        else:
+            spans = [(at, at + 60) for at in found]
+        rows = self.detections(run_id, spans=spans)
+        minute = F.floor(F.floor(EVENT_TIME) / 60) * 60
+        return rows.withColumn("_minute", minute).join(minutes, F.col("_minute") == F.col("at"), "left_semi").drop("_minute")
+
+
+def _among(batches: Sequence[Sequence]) -> Column:
+    """Rows of any of some batches."""
+    runs: dict[str, list[int]] = {}
+    for run, batch in batches:
+        runs.setdefault(run, []).append(batch)
+    tests = [(F.col("run_id") == run) & F.col("batch_id").isin(own) for run, own in runs.items()]
+    return reduce(Column.__or__, tests)
+
+
 @dataclass(frozen=True)
 class Store:
-    """A pair of detections/counts tables under one root folder."""
+    """The tables under one root folder."""
 
     spark: SparkSession
     root: str
@@ -65,111 +194,121 @@ class Store:
 
     # --- schemas and places ---
 
+    @property
+    def base(self) -> str:
+        return self.root.rstrip("/")
+
     @property
     def detections_type(self) -> StructType:
         return detections_schema(self.record_schema)
 
-    def _tables(self) -> dict[str, StructType]:
-        return {"detections": self.detections_type, "traffic_counts": COUNTS_SCHEMA}
-
-    def _folder(self, table: str) -> str:
-        return f"{self.root.rstrip('/')}/{table}"
-
-    def _batch_folder(self, table: str, day: date | str, run_id: str, batch_id: int) -> str:
-        return f"{self._folder(table)}/day={day}/run_id={run_id}/batch_id={batch_id}"
+    def tables(self) -> dict[str, StructType]:
+        return {"detections": self.detections_type, "traffic_counts": COUNTS_SCHEMA, "batches": BATCHES_SCHEMA}
 
-    def _closed_folder(self, table: str) -> str:
-        return f"{self.root.rstrip('/')}/closed/{table}"
+    def layout(self, table: str, state: State) -> StructType:
+        """Columns of a table's files: as stored, or as they will be."""
+        kept = state.schemas.get(table)
+        fields = (StructType.fromJson(kept) if kept else self.tables()[table]).fields
+        return StructType([*fields, StructField("run_id", StringType())])
 
-    def _stored_type(self, table: str) -> StructType:
-        """Columns inside the files: everything that is not a partition."""
-        return StructType([f for f in self._tables()[table].fields if f.name != "batch_id"])
-
-    def _blank(self, table: str, mode: str) -> None:
-        layout = StructType(self._stored_type(table).fields + PARTITION_FIELDS)
-        (
-            self.spark.createDataFrame([], layout)
-            .write.mode(mode)
-            .option("partitionOverwriteMode", "static")
-            .partitionBy("day", "run_id", "batch_id")
-            .parquet(self._folder(table))
-        )
+    @cached_property
+    def log(self) -> CommitLog:
+        return CommitLog(self.spark, self.base)
 
     # --- life cycle ---
 
     def ensure_tables(self) -> None:
-        """Create both tables if absent; existing rows stay."""
-        for table in self._tables():
-            self._blank(table, "append")
+        """Create the tables if absent, add new nullable columns; refuse any other change of columns."""
+        def change(state: State) -> dict:
+            fresh = {}
+            for table, wanted in self.tables().items():
+                kept = state.schemas.get(table)
+                if kept is None or grown(StructType.fromJson(kept), wanted, table):
+                    fresh[table] = json.loads(wanted.json())
+            return {"schemas": fresh}
+
+        self.log.commit(change)
 
     def reset(self) -> None:
-        """Drop every row of both tables and keep the tables."""
-        for day in self._closed_days():
-            files.delete(self.spark, f"{self._closed_folder('done')}/day={day}")
-        for table in MARKER_FIRST:
-            self._blank(table, "overwrite")
-        files.delete(self.spark, f"{self.root.rstrip('/')}/closed")
+        """Drop every row of the tables, and their files, and keep the tables."""
+        self.log.commit(lambda state: {"reset": True, "schemas": {t: json.loads(s.json()) for t, s in self.tables().items()}})
+        for table in self.tables():
+            files.delete(self.spark, f"{self.base}/{table}")
 
     def delete_batch(self, batch_id: int, run_id: str = "main") -> None:
-        """Drop one batch of whatever day: the marker table first, so no half batch shows."""
-        for table in MARKER_FIRST:
-            for folder in files.matching(self.spark, self._batch_folder(table, "*", run_id, batch_id)):
-                files.delete(self.spark, folder)
+        """Drop one batch, whatever day it is of and whether that is compacted or not."""
+        self.log.commit(lambda state: state.without(run_id, batch_id))
 
     def compact(self, day: date) -> None:
-        """Rewrite a day that is over as few files, and drop its batch folders.
+        """Bring what a day's batches have stored so far into few files, ordered by label and time.
 
-        Nothing of that day may be written any more.  Until the mark is there readers
-        use the batch folders, from then on the compacted files; both hold the same rows.
+        May run at any time, also while the day goes on: batches that come, go or are
+        replayed meanwhile keep what they did.  Rows are counted before and after.
+        """
+        snapshot = self.snapshot()
+        own = {k: b for k, b in snapshot.state.batches.items() if b["day"] == str(day)}
+        old = {n: m for n, m in snapshot.state.merges.items() if m["day"] == str(day)}
+        if not own and (len(old) < 2 and not any(m["gone"] for m in old.values())):
+            return
+        part = Snapshot(self, State(snapshot.state.version, snapshot.state.schemas, own, old))
+        name, pieces = uuid.uuid4().hex, {}
+        sources = {"detections": part.detections(), "traffic_counts": part.counts(), "batches": part.batches()}
+        for table, rows in sources.items():
+            order = [c for c in (LABEL, EVENT_TIME if EVENT_TIME in rows.columns else CLOCKS[table]) if c in rows.columns]
+            folder = f"{table}/{day}/{name}"
+            merged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+            merged.write.parquet(f"{self.base}/{folder}")
+            written = self.spark.read.schema(rows.schema).parquet(f"{self.base}/{folder}")
+            found = written.groupBy(F.input_file_name().alias("file")).agg(*_ranges(table, rows.columns)).collect()
+            pieces[table] = [_piece(f"{folder}/{r['file'].rpartition('/')[2]}", r.asDict()) for r in found]
+            before, after = rows.count(), sum(p["rows"] for p in pieces[table])
+            if before != after:
+                raise RuntimeError(f"{table} of {day}: {before} rows before, {after} after; nothing was changed")
+        holds: dict[str, list[int]] = {}
+        for run, low, high in [(r, b, b) for r, b in own] + [(r, *span) for m in old.values() for r, span in m["holds"].items()]:
+            holds[run] = [min(low, *holds.get(run, [low])), max(high, *holds.get(run, [high]))]
+
+        def change(state: State) -> dict:
+            if any(n not in state.merges for n in old):
+                raise CommitConflict(f"another compaction of {day} came first")
+            same = [k for k, b in own.items() if state.batches.get(k) == b]
+            gone = [list(k) for k in own if k not in same]  # deleted or replayed since
+            gone += [g for n, m in old.items() for g in state.merges[n]["gone"] if g not in m["gone"]]
+            # A batch that was replayed before is in own and may be in what was gone from old: it is merged once.
+            entry = {"id": name, "day": str(day), "holds": holds, "gone": gone, "pieces": pieces}
+            return {"merge": [entry], "unmerge": list(old), "drop": [list(k) for k in same]}
+
+        self.log.commit(change)
+
+    def vacuum(self, keep: timedelta = timedelta(days=1)) -> int:
+        """Delete folders that no commit names and that are older than ``keep``; how many there were.
+
+        Readers pinned to an older commit, and writers that have not committed yet, must be younger.
         """
-        rows = {"detections": self.detections(), "traffic_counts": self.counts()}
-        if day not in self._closed_days():
-            for table, stored in rows.items():
-                own = stored.where(F.to_date(CLOCKS[table]) == F.lit(day))
-                merged = own.repartitionByRange("label", CLOCKS[table]).sortWithinPartitions("label", CLOCKS[table])
-                merged.write.mode("overwrite").parquet(f"{self._closed_folder(table)}/day={day}")
-            files.create(self.spark, f"{self._closed_folder('done')}/day={day}", "")
-        for table in MARKER_FIRST:
-            files.delete(self.spark, f"{self._folder(table)}/day={day}")
-
-    def _closed_days(self) -> list[date]:
-        marks = files.matching(self.spark, f"{self._closed_folder('done')}/day=*")
-        return sorted(date.fromisoformat(mark.rpartition("=")[2]) for mark in marks)
+        state, limit, count = self.log.read(), time.time() - keep.total_seconds(), 0
+        used = state.folders()
+        for table in self.tables():
+            for path, changed in files.dated(self.spark, f"{self.base}/{table}/*/*"):
+                if "/".join(path.split("/")[-3:]) not in used and changed <= limit:
+                    files.delete(self.spark, path)
+                    count += 1
+        self.log.shorten()
+        return count
 
     # --- reading ---
 
-    def _read(self, table: str, run_id: str | None, since: datetime | None) -> DataFrame:
-        """Rows of one table, of one run or all, from an instant on; days and runs before the files are opened."""
-        layout = StructType(self._stored_type(table).fields + PARTITION_FIELDS)
-        columns = [*self._tables()[table].fieldNames(), "run_id"]
-        first = None if since is None else since.astimezone(timezone.utc).date()
-        closed = [d for d in self._closed_days() if first is None or d >= first]
-        stored = self.spark.read.schema(layout).parquet(self._folder(table))
-        if closed:
-            stored = stored.where(~F.col("day").isin(closed))
-        if first is not None:
-            stored = stored.where(F.col("day") >= F.lit(first))
-        stored = stored.select(*columns)
-        if closed:
-            places = [f"{self._closed_folder(table)}/day={d}" for d in closed]
-            inside = StructType([*self._tables()[table].fields, StructField("run_id", StringType())])
-            stored = stored.unionByName(self.spark.read.schema(inside).parquet(*places))
-        if run_id is not None:
-            stored = stored.where(F.col("run_id") == run_id)
-        return stored if since is None else stored.where(F.col(CLOCKS[table]) >= F.lit(since))
+    def snapshot(self) -> Snapshot:
+        """The newest commit; all that is read from it belongs together."""
+        return Snapshot(self, self.log.read())
 
-    def counts(self, run_id: str | None = None, since: datetime | None = None) -> DataFrame:
-        return self._read("traffic_counts", run_id, since)
+    def detections(self, run_id: str | None = None, since: datetime | None = None, **chosen) -> DataFrame:
+        return self.snapshot().detections(run_id, since, **chosen)
 
-    def detections(
-        self, complete_only: bool = True, run_id: str | None = None, since: datetime | None = None
-    ) -> DataFrame:
-        stored = self._read("detections", run_id, since)
-        if not complete_only:
-            return stored
-        complete = self.counts(run_id, since).select("run_id", "batch_id").distinct()
-        whole = stored.join(complete, ["run_id", "batch_id"], "left_semi")
-        return whole.select(*stored.columns)
+    def counts(self, run_id: str | None = None, since: datetime | None = None, **chosen) -> DataFrame:
+        return self.snapshot().counts(run_id, since, **chosen)
+
+    def batches(self, run_id: str | None = None) -> DataFrame:
+        return self.snapshot().batches(run_id)
 
     # --- writing ---
 
@@ -185,42 +324,49 @@ class Store:
 
         Both tables are fed from one cached evaluation that may spill to disk;
         a bulk load too large for that is better evaluated once per table
-        (``cached=False``).  One clock value stamps the whole batch.  Nothing but three sums, taken
-        while the counts are written, returns to the driver.
+        (``cached=False``).  One clock value stamps the whole batch.  Nothing but sums and
+        ranges, taken while the tables are written, returns to the driver.
         """
+        began = time.monotonic()
         clock = now or datetime.now(timezone.utc)
         stamp, tag = F.lit(clock).cast("timestamp"), F.lit(batch_id)
         day = clock.astimezone(timezone.utc).date()
-        self.delete_batch(batch_id, run_id)  # what an earlier attempt left, its marker first
+        place = f"{day}/{uuid.uuid4().hex}"
 
+        def written(table: str, rows: DataFrame, extra: Sequence[Column] = ()) -> dict:
+            seen = Observation()
+            ranged = rows.withColumn("run_id", F.lit(run_id)).observe(seen, *_ranges(table, rows.columns), *extra)
+            ranged = sort_for_storage(ranged) if table == "detections" else ranged
+            ranged.write.parquet(f"{self.base}/{table}/{place}")
+            return seen.get
+
+        n = F.col("record_count")
+        sums = [
+            total(F.when(F.col("label") == UNPARSEABLE, n)).alias("unparseable"),
+            total(F.when(F.col("label") == INCOMPLETE, n)).alias("incomplete"),
+            total(n).alias("messages"),
+        ]
         if cached:
             evaluated.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            rows = detections(evaluated, tag, stamp, self.record_schema).drop("batch_id")
-            sort_for_storage(rows).write.mode("overwrite").parquet(
-                self._batch_folder("detections", day, run_id, batch_id)
-            )
-            n = F.col("record_count")
-            seen = Observation()
-            tallies = (
-                traffic_counts(evaluated, tag, stamp)
-                .drop("batch_id")
-                .observe(
-                    seen,
-                    total(F.when(F.col("label") == UNPARSEABLE, n)).alias("unparseable"),
-                    total(F.when(F.col("label") == INCOMPLETE, n)).alias("incomplete"),
-                    total(n).alias("messages"),
-                )
-            )
-            tallies.write.mode("overwrite").parquet(
-                self._batch_folder("traffic_counts", day, run_id, batch_id)
-            )
-            found = seen.get
+            found = {
+                "detections": written("detections", detections(evaluated, tag, stamp, self.record_schema)),
+                "traffic_counts": written("traffic_counts", traffic_counts(evaluated, tag, stamp), sums),
+            }
         finally:
             if cached:
                 evaluated.unpersist()
-        unparseable, incomplete = found["unparseable"], found["incomplete"]
-        return BatchTotals(found["messages"] - unparseable - incomplete, unparseable, incomplete)
+        seen = found["traffic_counts"]
+        broken = seen["unparseable"] + seen["incomplete"]
+        totals = BatchTotals(seen["messages"] - broken, seen["unparseable"], seen["incomplete"])
+        entry = {
+            "run": run_id, "batch": batch_id, "day": str(day), "at": clock.astimezone(timezone.utc).isoformat(),
+            "totals": [totals.messages, totals.valid, totals.unparseable, totals.incomplete],
+            "ms": round(1000 * (time.monotonic() - began)),
+            "pieces": {t: _piece(f"{t}/{place}", f) for t, f in found.items() if f["rows"]},
+        }
+        self.log.commit(lambda state: both(state.without(run_id, batch_id), {"put": [entry]}))
+        return totals
 
     def round_trip(self, run_id: str, written: DataFrame) -> DataFrame:
         """Per label, rows that should be in a run's detections against rows that are, value for value.
@@ -246,3 +392,17 @@ class Store:
             ).alias("same_values"),
             F.lit(alike).alias("same_types"),
         )
+
+
+def grown(kept: StructType, wanted: StructType, table: str) -> bool:
+    """Whether ``wanted`` adds columns to ``kept``; anything but added nullable columns is refused."""
+    known = {f.name: f for f in wanted.fields}
+    for f in kept.fields:
+        if f.name not in known:
+            raise ValueError(f"{table}: column {f.name} is stored and would be lost")
+        if known[f.name].dataType != f.dataType:
+            raise ValueError(f"{table}: column {f.name} is stored as {f.dataType.simpleString()}, not {known[f.name].dataType.simpleString()}")
+    added = [f for f in wanted.fields if f.name not in kept.fieldNames()]
+    if any(not f.nullable for f in added):
+        raise ValueError(f"{table}: added columns must be nullable")
+    return bool(added)
