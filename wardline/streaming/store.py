@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 from functools import cached_property, reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -337,8 +338,13 @@ class Store:
             seen = Observation()
             ranged = rows.withColumn("run_id", F.lit(run_id)).observe(seen, *_ranges(table, rows.columns), *extra)
             ranged = sort_for_storage(ranged) if table == "detections" else ranged
-            ranged.write.parquet(f"{self.base}/{table}/{place}")
-            return seen.get
+            folder = f"{self.base}/{table}/{place}"
+            ranged.write.parquet(folder)
+            try:
+                return seen.get
+            except Py4JJavaError:  # a plan that turned out empty may lose its observation
+                back = self.spark.read.schema(self.layout(table, State())).parquet(folder)
+                return back.agg(*_ranges(table, rows.columns), *extra).first().asDict()
 
         n = F.col("record_count")
         sums = [
