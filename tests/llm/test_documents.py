@@ -55,7 +55,7 @@ def test_byte_removal_equals_loops(docs, length):
 
 def test_documents_that_share_a_passage_do_not_meet_in_one_group(spark, monkeypatch):
     """Each goes on from it in its own way, the first bytes of which others have too."""
-    monkeypatch.setattr(suffixes, "CROWD", 20, raising=False)
+    monkeypatch.setattr(suffixes, "CROWD", 20)
     rng = random.Random(11)
     letters = lambda n, of: "".join(rng.choice(of) for _ in range(n))
     passage = letters(470, "abcdefgh ")

@@ -10,12 +10,13 @@ number of steps.  Neighbours in the order then tell how far any suffixes agree t
 the right, hashes of what stands before them tell it to the left, and bytes are
 compared before anything is removed on the strength of hashes.
 
-Only grams that occur twice anywhere have their surroundings sent, and equal
-surroundings of one slice of documents are sent once and answered at home.  Where
-very many different surroundings would meet, as at the ends of a passage that many
-documents go on from in their own way, each string is asked for by its hash, and
-those found twice meet by themselves, one of a kind from a slice.  Texts
-that occur several times are removed whole and take part through one of them.
+Strings of a picked position that begin close to each other have a core in common,
+the bytes that all of them hold.  Where a core occurs nowhere else none of them can be
+repeated, so cores are looked up first, and only strings of repeated cores go on.  Their
+surroundings are sent to be sorted, equal surroundings of one slice of documents once.
+Where very many different surroundings would meet, as at the ends of a passage that many
+documents go on from in their own way, strings meet one by one instead, by two hashes.
+Texts that occur several times are removed whole and take part through one of them.
 
 Defined results: a null text has no bytes; texts shorter than ``length`` lose
 nothing; rows that repeat, even with equal ids, are each other's repeats; an
@@ -56,9 +57,12 @@ from wardline.llm.text import BYTE_VALUES, PrefixHash, mix, slices, text_bytes
 #: Bytes of a repeated string, and of the grams that pick positions.
 LENGTH, GRAM = 400, 32
 
-#: Bytes of a gram's hash that travel when shared grams are sought.
+#: Bytes of a core's hash that travel; if two meet by accident, a little more is looked at.
 PROBE_BYTES = 6
 
+#: Starts of strings that share a core.
+GROUP = 32
+
 #: Bytes of text worked on at once, bytes of text per bucket of suffixes, bytes compared at once.
 SLICE, BUCKET, COMPARED = 1 << 20, 4 << 20, 1 << 20
 
@@ -69,7 +73,8 @@ REACHES = (16, 64, 160)
 
 #: A hash that more than ``CROWD`` different surroundings would meet under is crowded; slices
 #: that have ``FEW`` of them or fewer are not counted, so up to that many of each come on top.
-CROWD, FEW = 4096, 2
+#: The limit rises with the data, so that there are never more than ``MOST`` crowded hashes.
+CROWD, FEW, MOST = 4096, 2, 1 << 20
 
 
 def picked(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
@@ -94,22 +99,45 @@ def picked(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple
     return at[first], hashes[at[first]], document[starts[first]], starts[first], starts[last]
 
 
-def shared_grams(docs: DataFrame, length: int, bits: int) -> DataFrame:
-    """``row, at``: picked positions whose gram is picked anywhere else too."""
+def _core(length: int) -> tuple[int, int]:
+    """Starts in a group, and bytes of its core."""
+    group = max(1, min(GROUP, length // 8))
+    return group, length - group + 1
+
+
+def _groups(at: np.ndarray, first: np.ndarray, last: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Strings of positions in groups by how far before their position they begin.
+
+    Number of the position, number of the group, where its core starts, its first and last start.
+    """
+    group, _ = _core(length)
+    nearest = (at - last) // group
+    count = (at - first) // group - nearest + 1
+    owner = np.repeat(np.arange(len(at)), count)
+    number = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count) + nearest[owner]
+    core = at[owner] - group * number
+    return owner, number, core, np.maximum(first[owner], core - group + 1), np.minimum(last[owner], core)
+
+
+def covered_bytes(docs: DataFrame, length: int, bits: int) -> DataFrame:
+    """``row, starts, ends``: stretches covered by cores that occur anywhere else too."""
+    size = _core(length)[1]
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=SLICE):
             data, offsets = text_bytes(batch.column("text"))
-            at, hashes, document, _, _ = picked(data, offsets, length)
-            rows = batch.column("row").to_numpy()[document]
-            places = (at - offsets[document]).astype(np.int32)
-            yield from offer(hashes, rows, places, np.ones(len(at), dtype=bool), bits, PROBE_BYTES)
-
-    def meet(table: pa.Table) -> pa.Table:
-        rows, ats = answer(table, PROBE_BYTES)
-        return pa.table({"row": rows, "at": ats})
+            at, _, document, first, last = picked(data, offsets, length)
+            owner, number, core, _, _ = _groups(at, first, last, length)
+            keys = mix(PrefixHash(BYTE_VALUES[data]).of(core, size) ^ mix(number.astype(np.uint64)))
+            rows = batch.column("row").to_numpy()[document[owner]]
+            places = (core - offsets[document[owner]]).astype(np.int32)
+            yield from offer(keys, rows, places, np.ones(len(core), dtype=bool), bits, PROBE_BYTES)
 
-    return per_bucket(docs.select("row", "text").mapInArrow(probe, OFFER), meet, "row long, at int")
+    found = per_bucket(
+        docs.select("row", "text").mapInArrow(probe, OFFER),
+        lambda table: regrouped(*answer(table, PROBE_BYTES), bits), "bucket int, rows binary, ats binary",
+    )
+    return stored(per_bucket(found, lambda table: runs_of(table, size), SPANS), "cores")
 
 
 def _by_reach(data, at, grams, document, first, last, length: int) -> list[tuple[np.ndarray, ...]]:
@@ -124,42 +152,51 @@ def _by_reach(data, at, grams, document, first, last, length: int) -> list[tuple
     return out
 
 
-def _by_string(data, document, first, last, length: int) -> tuple[np.ndarray, ...]:
-    """Each string of positions by itself: its start, the hash of all its bytes, and its document."""
-    counts = last - first + 1
-    starts = np.arange(counts.sum()) + np.repeat(first - (np.cumsum(counts) - counts), counts)
-    return starts, mix(PrefixHash(BYTE_VALUES[data]).of(starts, length)), np.repeat(document, counts)
+#: Byte values of a second hash, for strings that only their hashes speak for.
+_SECOND = mix(BYTE_VALUES ^ np.uint64(0x5851F42D4C957F2D)) | np.uint64(1)
+_PAIR = np.dtype([("one", "<u8"), ("two", "<u8")])
 
 
-def crowded_hashes(docs: DataFrame, length: int) -> np.ndarray:
-    """Sorted hashes that more than ``CROWD`` different surroundings would meet under."""
+def _pairs(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """Two hashes of each string."""
+    out = np.zeros(len(starts), dtype=_PAIR)
+    for name, values in (("one", BYTE_VALUES), ("two", _SECOND)):
+        out[name] = mix(PrefixHash(values[data]).of(starts, length))
+    return out
 
-    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=SLICE):
-            data, offsets = text_bytes(batch.column("text"))
-            at, grams, document, first, last = picked(data, offsets, length)
-            place, counts = np.unique(grams, return_inverse=True, return_counts=True)[1:]
-            kept = counts[place] > FEW
-            parts = _by_reach(data, *(x[kept] for x in (at, grams, document, first, last)), length)
-            at, met, _, first, last = (np.concatenate(x) for x in zip(*parts, strict=True))
-            whole = mix(PrefixHash(BYTE_VALUES[data]).of(first, last + length - first) + mix((at - first).astype(np.uint64)))
-            found, counts = np.unique(met[np.unique(whole, return_index=True)[1]], return_counts=True)
-            much = counts > FEW
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found[much].view(np.int64)), pa.array(counts[much], pa.int64())], names=["met", "n"]
-            )
 
-    counts = docs.select("text").mapInArrow(report, "met long, n long").groupBy("met").agg(F.sum("n").alias("n"))
-    rows = counts.where(F.col("n") > CROWD).select("met").collect()
-    return np.sort(np.array([r[0] for r in rows], dtype=np.int64).view(np.uint64))
+def _several(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each key occurs several times, and whether it is the one that stands for its kind."""
+    order = np.lexsort((keys["two"], keys["one"]))
+    same = keys[order][1:] == keys[order][:-1]
+    several, stands = np.zeros(len(keys), dtype=bool), np.ones(len(keys), dtype=bool)
+    several[order[1:][same]] = several[order[:-1][same]] = True
+    stands[order[1:][same]] = False
+    return several, stands
+
+
+def _spread(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All whole numbers of ranges, and which range each is of."""
+    counts = last - first + 1
+    owner = np.repeat(np.arange(len(first)), counts)
+    return np.arange(len(owner)) + np.repeat(first - (np.cumsum(counts) - counts), counts), owner
 
 
-#: Surroundings of picked positions, by gram; and stretches already known, by row.
-CONTEXTS = "bucket int, numbers binary, data binary, rows binary, starts binary, ends binary"
-_CONTEXTS = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in "numbers data rows starts ends".split())])
+#: What meets in a bucket: surroundings of picked positions, by gram; stretches already known, by
+#: row; strings by hash, those that a slice merely has and those whose owners want to know.
+_PARTS = "numbers data rows starts ends plain keys owners places".split()
+CONTEXTS = ", ".join(["bucket int", *(f"{c} binary" for c in _PARTS)])
+_CONTEXTS = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in _PARTS)])
 _NUMBERS = np.dtype([("gram", "<u8"), ("row", "<i8"), ("at", "<i4"), ("left", "<i4"), ("right", "<i4"), ("asks", "<i4")])
 
 
+def _completed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in parts:
+        none = pa.nulls(part.num_rows, pa.binary())
+        columns = [part.column(c) if c in part.schema.names else none for c in _CONTEXTS.names]
+        yield pa.RecordBatch.from_arrays(columns, schema=_CONTEXTS)
+
+
 def _contexts(numbers: np.ndarray, texts: list[bytes], bits: int) -> Iterator[pa.RecordBatch]:
     if not len(numbers):
         return
@@ -167,24 +204,23 @@ def _contexts(numbers: np.ndarray, texts: list[bytes], bits: int) -> Iterator[pa
     order = np.argsort(bucket, kind="stable")
     first = np.flatnonzero(np.diff(bucket[order], prepend=-1))
     for part in np.split(order, first[1:]):
+        columns = [[int(bucket[part[0]])], [numbers[part].tobytes()], [b"".join(texts[i] for i in part)]]
+        kinds = (pa.int32(), pa.binary(), pa.binary())
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([int(bucket[part[0]])], pa.int32()),
-                pa.array([numbers[part].tobytes()], pa.binary()),
-                pa.array([b"".join(texts[i] for i in part)], pa.binary()),
-                *(pa.nulls(1, pa.binary()) for _ in range(3)),
-            ],
-            schema=_CONTEXTS,
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["bucket", "numbers", "data"]
         )
 
 
 def _stretches(rows: np.ndarray, starts: np.ndarray, ends: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
     bucket = mix(rows.view(np.uint64)) >> np.uint64(64 - bits)
-    for part in packed(bucket, {"rows": rows, "starts": starts.astype(np.int32), "ends": ends.astype(np.int32)}):
-        missing = pa.nulls(part.num_rows, pa.binary())
-        yield pa.RecordBatch.from_arrays(
-            [part.column("bucket"), missing, missing, *(part.column(c) for c in ("rows", "starts", "ends"))], schema=_CONTEXTS
-        )
+    yield from packed(bucket, {"rows": rows, "starts": starts.astype(np.int32), "ends": ends.astype(np.int32)})
+
+
+def _strings(keys: np.ndarray, owners: np.ndarray, places: np.ndarray, asked: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
+    """Strings that differ within a slice: those whose owners ask, and the others."""
+    bucket = (keys["one"] >> np.uint64(64 - bits)).astype(np.int64)
+    yield from packed(bucket[~asked], {"plain": keys[~asked]})
+    yield from packed(bucket[asked], {"keys": keys[asked], "owners": owners[asked], "places": places[asked]})
 
 
 class Suffixes:
@@ -317,89 +353,94 @@ def _merged(rows: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     return rows[first], starts[first], reach[last]
 
 
-def _shared_positions(batch: pa.RecordBatch, length: int) -> tuple:
-    """Of a slice with ``places``: bytes, offsets, and the shared positions by reach."""
-    data, offsets = text_bytes(batch.column("text"))
+def _candidates(batch: pa.RecordBatch, data, offsets, length: int) -> tuple[np.ndarray, ...]:
+    """Of a slice with covered ``starts, ends``: positions by reach with the strings whose core is repeated."""
     at, grams, document, first, last = picked(data, offsets, length)
-    lists = batch.column("places")
-    wanted = np.repeat(offsets[:-1], np.diff(lists.offsets.to_numpy())) + lists.flatten().to_numpy()
-    kept = np.isin(at, wanted)
-    parts = _by_reach(data, *(x[kept] for x in (at, grams, document, first, last)), length)
-    return data, offsets, *(np.concatenate(x) for x in zip(*parts, strict=True))
-
+    owner, _, core, start, end = _groups(at, first, last, length)
+    edges = np.zeros(len(data) + 1, dtype=np.int64)
+    for name, step in (("starts", 1), ("ends", -1)):
+        lists = batch.column(name)
+        base = np.repeat(offsets[:-1], np.diff(lists.offsets.to_numpy()))
+        np.add.at(edges, base + lists.flatten().to_numpy(), step)
+    covered = np.concatenate([[0], np.cumsum(np.cumsum(edges)[:-1] > 0)])
+    size = _core(length)[1]
+    alive = covered[core + size] - covered[core] == size
+    # Neighbouring groups of a position are one range of strings again; nearer groups come first.
+    owner, start, end = owner[alive], start[alive], end[alive]
+    fresh = np.ones(len(owner), dtype=bool)
+    fresh[1:] = (owner[1:] != owner[:-1]) | (end[1:] + 1 != start[:-1])
+    head = np.flatnonzero(fresh)
+    tail = np.append(head[1:], len(owner)) - 1 if len(owner) else head
+    own = owner[head]
+    parts = _by_reach(data, at[own], grams[own], document[own], start[tail], end[head], length)
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def crowded_hashes(near: DataFrame, length: int, size: int) -> np.ndarray:
+    """Sorted hashes that too many different surroundings would meet under; ``size`` is the bytes of all texts."""
 
-def repeated_strings(near: DataFrame, crowded: np.ndarray, length: int, bits: int) -> DataFrame:
-    """``row, starts, ends``: starts of strings that would meet under crowded hashes and whose own hash occurs twice."""
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=SLICE):
-            data, offsets, _, met, document, first, last = _shared_positions(batch, length)
-            many = np.isin(met, crowded)
-            starts, strings, document = _by_string(data, document[many], first[many], last[many], length)
-            rows, places = batch.column("row").to_numpy()[document], (starts - offsets[document]).astype(np.int32)
-            yield from offer(strings, rows, places, np.ones(len(starts), dtype=bool), bits)
+            data, offsets = text_bytes(batch.column("text"))
+            at, met, _, first, last = _candidates(batch, data, offsets, length)
+            whole = mix(PrefixHash(BYTE_VALUES[data]).of(first, last + length - first) + mix((at - first).astype(np.uint64)))
+            found, counts = np.unique(met[np.unique(whole, return_index=True)[1]], return_counts=True)
+            much = counts > FEW
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found[much].view(np.int64)), pa.array(counts[much], pa.int64())], names=["met", "n"]
+            )
 
-    found = per_bucket(
-        near.mapInArrow(ask, OFFER), lambda table: regrouped(*answer(table), bits), "bucket int, rows binary, ats binary"
-    )
-    return stored(per_bucket(found, lambda table: runs_of(table, 1), SPANS), "strings")
+    counts = near.mapInArrow(report, "met long, n long").groupBy("met").agg(F.sum("n").alias("n"))
+    # A text has a position in every hundred bytes at most, but for periods, which collapse; one counts per reach.
+    limit = max(CROWD, size // 100 * (len(REACHES) + 1) // MOST)
+    rows = counts.where(F.col("n") > limit).select("met").collect()
+    return np.sort(np.array([r[0] for r in rows], dtype=np.int64).view(np.uint64))
 
 
-def surroundings(docs: DataFrame, copies: DataFrame, length: int, bits: int) -> DataFrame:
-    """What meets, as ``CONTEXTS``: surroundings of shared positions, one of a kind from a slice."""
-    shared = stored(shared_grams(docs, length, bits), "grams")
-    hits = shared.groupBy("row").agg(F.collect_list("at").alias("places"))
-    near = (
+def surroundings(docs: DataFrame, copies: DataFrame, length: int, bits: int, size: int) -> DataFrame:
+    """What meets, as ``CONTEXTS``: surroundings of positions and strings, one of a kind from a slice."""
+    covered = covered_bytes(docs, length, bits)
+    near = stored(
         docs.select("row", "text")
         .dropDuplicates(["row"])
-        .join(hits.hint("shuffle_hash"), "row")
+        .join(covered.hint("shuffle_hash"), "row")
         .join(copies.hint("shuffle_hash"), "row", "left")
         .where("coalesce(speaks, true)")
-        .select("row", "text", "places", F.col("speaks").isNull().alias("asks"))
+        .select("row", "text", "starts", "ends", F.col("speaks").isNull().alias("asks")),
+        "near",
     )
-    none = F.array().cast("array<int>")
-    crowded = crowded_hashes(docs, length)
-    if len(crowded):
-        strings = repeated_strings(near, crowded, length, bits)
-        near = near.join(strings.hint("shuffle_hash"), "row", "left")
-        near = near.withColumns({c: F.coalesce(c, none) for c in ("starts", "ends")})
-    else:
-        near = near.withColumns({"starts": none, "ends": none})
+    crowded = crowded_hashes(near, length, size)
 
     def surround(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=SLICE):
-            data, offsets, at, grams, document, first, last = _shared_positions(batch, length)
-            many = np.isin(grams, crowded)
-            if many.any():
-                starts, strings, owner = _by_string(data, document[many], first[many], last[many], length)
-                edges = np.zeros(len(data) + 1, dtype=np.int64)
-                for name, step in (("starts", 1), ("ends", -1)):
-                    lists = batch.column(name)
-                    base = np.repeat(offsets[:-1], np.diff(lists.offsets.to_numpy()))
-                    np.add.at(edges, base + lists.flatten().to_numpy(), step)
-                twice = (np.cumsum(edges) > 0)[starts]
-                starts, strings, owner = starts[twice], strings[twice], owner[twice]
-                pairs = ((at, starts), (grams, strings), (document, owner), (first, starts), (last, starts))
-                at, grams, document, first, last = (np.concatenate([x[~many], y]) for x, y in pairs)
+            data, offsets = text_bytes(batch.column("text"))
+            found = _candidates(batch, data, offsets, length)
+            many = np.isin(found[1], crowded)
+            at, grams, document, first, last = (x[~many] for x in found)
+            strings, group = _spread(found[3][many], found[4][many])
+            holder = found[2][many][group]
+            row, asks = batch.column("row").to_numpy(), batch.column("asks").to_numpy(zero_copy_only=False)
             texts = [data[a : b + length].tobytes() for a, b in zip(first, last, strict=True)]
             seen: dict[tuple, list[int]] = {}
             for i, key in enumerate(zip((at - first).tolist(), texts, strict=True)):
                 seen.setdefault(key, []).append(i)
             numbers = np.zeros(len(at), dtype=_NUMBERS)
-            numbers["gram"], numbers["row"] = grams, batch.column("row").to_numpy()[document]
+            numbers["gram"], numbers["row"], numbers["asks"] = grams, row[document], asks[document]
             numbers["at"], numbers["left"], numbers["right"] = at - offsets[document], at - first, last + length - at
-            numbers["asks"] = batch.column("asks").to_numpy(zero_copy_only=False)[document]
             known = np.array([i for group in seen.values() if len(group) > 1 for i in group], dtype=np.int64)
             own = known[numbers["asks"][known] > 0]
-            yield from _stretches(
-                *_merged(
-                    numbers["row"][own], (first - offsets[document])[own], (last + length - offsets[document])[own]
-                ),
-                bits,
-            )
+            keys = _pairs(data, strings, length)
+            several, stands = _several(keys)
+            lost = several & asks[holder]
+            begin = np.concatenate([(first - offsets[document])[own], (strings - offsets[holder])[lost]])
+            close = np.concatenate([(last + length - offsets[document])[own], (strings - offsets[holder])[lost] + length])
+            rows = np.concatenate([numbers["row"][own], row[holder[lost]]])
             numbers["asks"][known] = 0
             sent = np.array([group[0] for group in seen.values()], dtype=np.int64)
-            yield from _contexts(numbers[sent], [texts[i] for i in sent], bits)
+            asked, places = asks[holder] & ~several, (strings - offsets[holder]).astype(np.int32)
+            yield from _completed(_stretches(*_merged(rows, begin, close), bits))
+            yield from _completed(_contexts(numbers[sent], [texts[i] for i in sent], bits))
+            yield from _completed(_strings(keys[stands], row[holder[stands]], places[stands], asked[stands], bits))
 
     return near.mapInArrow(surround, CONTEXTS)
 
@@ -409,22 +450,26 @@ def repeated_spans(docs: DataFrame, copies: DataFrame, length: int = LENGTH) ->
 
     For rows of ``keyed`` documents; ``copies``, the texts that occur more than once, are not listed.
     """
-    bits = bucket_bits(docs.sparkSession, text_size(docs) / BUCKET * BUCKET_BYTES)
+    size = text_size(docs)
+    bits = bucket_bits(docs.sparkSession, size / BUCKET * BUCKET_BYTES)
 
     def meet(table: pa.Table) -> pa.Table:
         have = lambda name, kind: unpacked(table[name].drop_null(), kind)
         rows, starts, ends = _repeated(have("numbers", _NUMBERS), have("data", np.uint8), length)
-        rows = np.concatenate([rows, have("rows", np.int64)])
-        starts = np.concatenate([starts, have("starts", np.int32)])
-        ends = np.concatenate([ends, have("ends", np.int32)])
-        parts = list(_stretches(*_merged(rows, starts, ends), bits))
+        keys = np.concatenate([have("keys", _PAIR), have("plain", _PAIR)])
+        owners, places = have("owners", np.int64), have("places", np.int32)
+        again = _several(keys)[0][: len(owners)]
+        rows = np.concatenate([rows, have("rows", np.int64), owners[again]])
+        starts = np.concatenate([starts, have("starts", np.int32), places[again]])
+        ends = np.concatenate([ends, have("ends", np.int32), places[again] + length])
+        parts = list(_completed(_stretches(*_merged(rows, starts, ends), bits)))
         return pa.Table.from_batches(parts, schema=_CONTEXTS)
 
     def joined(table: pa.Table) -> pa.Table:
         have = (unpacked(table["rows"], np.int64), unpacked(table["starts"], np.int32), unpacked(table["ends"], np.int32))
         return spans_table(*_merged(*have))
 
-    found = per_bucket(surroundings(docs, copies, length, bits), meet, CONTEXTS)
+    found = per_bucket(surroundings(docs, copies, length, bits, size), meet, CONTEXTS)
     return stored(per_bucket(found, joined, SPANS), "repeats")
 
 
