@@ -67,13 +67,14 @@ def with_verdict(df: DataFrame) -> DataFrame:
     return judged.withColumn("problem_rank", problem_rank())
 
 
-def alerts(det: DataFrame, zone: str = DISPLAY_TIME_ZONE) -> DataFrame:
-    """One row per minute, class, claim and verdict instead of one per record.
+#: What makes records one alert.
+ALERT_KEYS = ["window_start_ts", "verdict", "actual_label", "detected_as", "rules_fired", "max_severity"]
 
-    Display text and the rank follow from the keys, so they are worked out per
-    alert after the aggregation.
-    """
-    keyed = det.select(
+
+def alert_keyed(det: DataFrame, *keep: str | Column) -> DataFrame:
+    """Stored rows with the keys of their alert and what alerts sum up."""
+    return det.select(
+        *keep,
         minute_of(event_instant()).alias("window_start_ts"),
         verdict().alias("verdict"),
         F.col("label").alias("actual_label"),
@@ -84,20 +85,31 @@ def alerts(det: DataFrame, zone: str = DISPLAY_TIME_ZONE) -> DataFrame:
         F.col("`count`").alias("connections"),
         "latency_seconds",
     )
-    grouped = keyed.groupBy(
-        "window_start_ts", "verdict", "actual_label", "detected_as", "rules_fired", "max_severity"
-    ).agg(
+
+
+def alert_rows(grouped: DataFrame, zone: str = DISPLAY_TIME_ZONE) -> DataFrame:
+    """Alerts with display text and rank, which follow from the keys."""
+    return grouped.select(
+        display_time(F.col("window_start_ts"), MINUTE_FORMAT, zone).alias("window_start"),
+        *ALERT_KEYS, "event_count", "services_touched", "conn_min", "conn_max", "avg_latency_s",
+        problem_rank().alias("problem_rank"),
+    )
+
+
+def alerts(det: DataFrame, zone: str = DISPLAY_TIME_ZONE) -> DataFrame:
+    """One row per minute, class, claim and verdict instead of one per record.
+
+    Display text and the rank follow from the keys, so they are worked out per
+    alert after the aggregation.
+    """
+    grouped = alert_keyed(det).groupBy(*ALERT_KEYS).agg(
         F.count(F.lit(1)).alias("event_count"),
         F.count_distinct("service").alias("services_touched"),
         F.min("connections").alias("conn_min"),
         F.max("connections").alias("conn_max"),
         F.round(F.avg("latency_seconds"), 2).alias("avg_latency_s"),
     )
-    return grouped.select(
-        display_time(F.col("window_start_ts"), MINUTE_FORMAT, zone).alias("window_start"),
-        "*",
-        problem_rank().alias("problem_rank"),
-    )
+    return alert_rows(grouped, zone)
 
 
 def top_alerts(alert_rows: DataFrame, limit: int = 100) -> DataFrame:

@@ -20,8 +20,10 @@ from wardline.functions.expressions import (
     count_where,
     each_of,
     listed,
+    minute_of,
 )
-from wardline.operators import decode, monitoring, prepare, scoring
+from wardline.functions.running import one_row
+from wardline.operators import decode, monitoring, prepare, rollups, scoring
 from wardline.operators.rules import evaluate
 from wardline.operators.shipped_rules import shipped_rules
 from wardline.plans import rulesets
@@ -42,6 +44,7 @@ from wardline.streaming.job import run_available, run_id_of
 from wardline.streaming.progress import ProgressLog
 from wardline.streaming.report import export_report, report_parts
 from wardline.streaming.store import Store
+from wardline.streaming.windows import closed_windows, closing_alerts, horizon, start_closing, still_open
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -344,6 +347,56 @@ def delete_batch(v: Views) -> DataFrame:
     )
 
 
+def delete_compacted(v: Views) -> DataFrame:
+    """Batches deleted and replayed once their day is compacted, and one deleted of an open day.
+
+    What is left is the later half of the data, once.
+    """
+    store = Store(v.spark, shared_dir(v.spark, "store"))
+    store.ensure_tables()
+    early, rows = F.minute("processed_at") < 30, ("event_id", "batch_id", "processed_at")
+    parts = [v.judged.where(early).drop(*rows), v.judged.where(~early).drop(*rows)]
+    closed, opened = (datetime(2024, 1, day, 12, tzinfo=timezone.utc) for day in (30, 31))
+    store.write_batch(parts[0], 0, now=closed)
+    store.write_batch(parts[1], 1, now=closed)
+    store.write_batch(parts[0], 2, now=opened)
+    store.compact(closed.date())
+    store.delete_batch(0)
+    store.write_batch(parts[1], 1, now=closed)
+    store.delete_batch(2)
+    snapshot = store.snapshot()
+    stored = snapshot.detections().groupBy("batch_id", "label").agg(F.count(F.lit(1)).alias("stored"))
+    return snapshot.counts().groupBy("batch_id", "label").agg(F.sum("record_count").alias("record_count")).join(
+        stored, ["batch_id", "label"], "left"
+    ).withColumn("stored", F.coalesce("stored", F.lit(0)))
+
+
+def alerts_rollup(v: Views) -> DataFrame:
+    """Alerts of a stored run from what its batches added to them."""
+    return texts(_two_runs(v).snapshot().alerts("a"), "window_start_ts")
+
+
+def latency_rollup(v: Views) -> DataFrame:
+    """Latency per minute of a stored run from sketches, and whether their ranks are as near as promised."""
+    snapshot = _two_runs(v).snapshot()
+    found = snapshot.latency_over_time(run_id="a")
+    rows = snapshot.detections("a").select(minute_of(F.col("processed_at")).alias("minute"), "latency_seconds")
+    near = []
+    for name, p in rollups.LATENCY_QUANTILES.items():
+        # the value is rounded to two places, so it stands for whatever rounds to it
+        below, upto = (F.count_if(F.col("latency_seconds") <= F.col(name) + d) / F.count("latency_seconds") for d in (-0.005, 0.005))
+        near.append(((below - rollups.RANK_ERROR <= p) & (upto + rollups.RANK_ERROR >= p)).alias(name.replace("_s", "_near")))
+    return texts(rows.join(found, "minute").groupBy("minute", "max_s").agg(*near), "minute")
+
+
+def drilldown_stored(v: Views) -> DataFrame:
+    """Stored rows around the false alarms of a run, from the files of their minutes only."""
+    snapshot = _two_runs(v).snapshot()
+    rows = snapshot.around(monitoring.only_verdict(snapshot.alerts("a")), "a")
+    raw = monitoring.raw_rows(rows, row_key=("timestamp",)).drop("window_start_ts", "latency_s")
+    return texts(raw, "event_ts")
+
+
 def report_export(v: Views) -> DataFrame:
     """Every part of the exported report read back: a row per part, label and figure."""
     folder = shared_dir(v.spark, "report")
@@ -440,6 +493,43 @@ def stream_progress(v: Views) -> DataFrame:
     )
 
 
+def stream_batches(v: Views) -> DataFrame:
+    """What a stream's batches left in the store's own table of them, and a line through their cost."""
+    source, store, checkpoint = _live(v)
+    _deliver_and_drain(v, v.messages, source, store, checkpoint)
+    batches = store.batches(run_id_of(v.spark, checkpoint))
+    cost = monitoring.batch_cost_fit(batches.select(F.col("messages").alias("records"), "batch_ms"))
+    sums = batches.agg(*[F.sum(c).alias(c) for c in ("messages", "valid", "unparseable", "incomplete")])
+    more = batches.where("messages > 0").agg(F.countDistinct("messages").alias("kinds"))
+    fitted = one_row(sums, one_row(cost, more))
+    return fitted.select(
+        "messages", "valid", "unparseable", "incomplete",
+        (F.col("batches") >= F.ceil(F.col("messages") / F.lit(BATCH_FILES * FILE_MESSAGES))).alias("batches_bounded"),
+        ((F.col("kinds") < 2) | F.col("ms_per_record").isNotNull()).alias("cost_known"),
+    )
+
+
+#: How long the windows of ``stream_alerts`` wait: rows are late by ten minutes and one at most.
+ALERT_DELAY = "15 minutes"
+
+
+def stream_alerts(v: Views) -> DataFrame:
+    """Alerts as a stream closes them, in two runs on one checkpoint, and those still open from the rows."""
+    root, clock = shared_dir(v.spark, "live"), F.unix_micros("processed_at")
+    middle = v.det.agg(((F.min(clock) + F.max(clock)) / 2).alias("t")).scalar()
+    for part in (v.det.where(clock < middle), v.det.where(clock >= middle)):
+        part.write.mode("append").parquet(f"{root}/in")
+        rows = v.spark.readStream.schema(v.det.schema).parquet(f"{root}/in")
+        frame = closing_alerts(rows, ALERT_DELAY)
+        query = start_closing(frame, f"{root}/out", f"{root}/checkpoint")
+        query.awaitTermination()
+    minute = F.timestamp_seconds(F.floor(F.col("timestamp") / 60) * 60)
+    tail = v.det.where(still_open(minute, horizon(query)))
+    return texts(
+        rollups.alerts_of(closed_windows(frame, f"{root}/out")).unionByName(monitoring.alerts(tail)), "window_start_ts"
+    )
+
+
 QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     # rules
     "rule_ops": rule_ops,
@@ -503,11 +593,17 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "sink_roundtrip": sink_roundtrip,
     "reset_tables": reset_tables,
     "delete_batch": delete_batch,
+    "delete_compacted": delete_compacted,
+    "alerts_rollup": alerts_rollup,
+    "latency_rollup": latency_rollup,
+    "drilldown_stored": drilldown_stored,
     "report_export": report_export,
     "stream_ingest": stream_ingest,
     "stream_detect": stream_detect,
     "stream_resume": stream_resume,
     "stream_progress": stream_progress,
+    "stream_batches": stream_batches,
+    "stream_alerts": stream_alerts,
 }
 
 

@@ -290,6 +290,14 @@ cnt AS (
 )"""
 
 
+#: Detections as the first of the two stored runs has them.
+_RUN_DET = """run_det AS (
+  SELECT * EXCLUDE (seen_at) REPLACE (seen_at AS processed_at, epoch(seen_at) - "timestamp" AS latency_seconds) FROM (
+    SELECT *, CASE WHEN minute(processed_at) < 30 THEN TIMESTAMP '2024-01-30 12:00:00'
+                   ELSE TIMESTAMP '2024-01-31 12:00:00' END AS seen_at FROM det)
+)"""
+
+
 def _cells(part: str, source: str, figures: str, item: str = "''") -> str:
     """One row per figure of a report part."""
     return " UNION ALL ".join(
@@ -505,6 +513,14 @@ ORACLE: dict[str, str] = {
         _confusion(),
     ),
     "alerts": _det_query("SELECT * FROM alerts", _ALERTS),
+    "stream_alerts": _det_query("SELECT * FROM alerts", _ALERTS),
+    "stream_batches": _counts_query(
+        f"""SELECT {_n("sum(record_count)", "messages")},
+        {_n("sum(record_count) FILTER (WHERE label NOT IN ('" + UNPARSEABLE + "', '" + INCOMPLETE + "'))", "valid")},
+        {_n("sum(record_count) FILTER (WHERE label = '" + UNPARSEABLE + "')", "unparseable")},
+        {_n("sum(record_count) FILTER (WHERE label = '" + INCOMPLETE + "')", "incomplete")},
+        true AS batches_bounded, true AS cost_known FROM cnt"""
+    ),
     "alerts_top": _det_query(
         """SELECT * FROM alerts ORDER BY window_start_ts DESC, problem_rank, event_count DESC, actual_label,
         detected_as, rules_fired, max_severity NULLS FIRST, verdict LIMIT 100""",
@@ -577,6 +593,24 @@ ORACLE: dict[str, str] = {
         f"""SELECT CAST(0 AS BIGINT) AS batch_id, label, {_n("sum(record_count)", "record_count")}
         FROM cnt WHERE minute(batch_time) < 30 GROUP BY label"""
     ),
+    "delete_compacted": _det_query(
+        f"""SELECT CAST(1 AS BIGINT) AS batch_id, c.label, {_n("sum(record_count)", "record_count")},
+        {_n("coalesce(any_value(s.stored), 0)", "stored")}
+        FROM cnt c LEFT JOIN (SELECT label, count(*) AS stored FROM det WHERE minute(processed_at) >= 30 GROUP BY label) s
+          ON c.label = s.label
+        WHERE minute(batch_time) >= 30 GROUP BY c.label"""
+    ),
+    "alerts_rollup": _det_query("SELECT * FROM alerts", _RUN_DET, _ALERTS.replace("FROM det ", "FROM run_det ")),
+    "latency_rollup": _det_query(
+        f"""SELECT {_text("processed_at")} AS "minute", round(max(latency_seconds), 2) AS max_s,
+        true AS p50_near, true AS p95_near FROM run_det GROUP BY processed_at""",
+        _RUN_DET,
+    ),
+    "drilldown_stored": _det_query(
+        """SELECT * EXCLUDE (latency_s) FROM raw WHERE window_start IN
+        (SELECT window_start FROM alerts WHERE verdict = 'FALSE POSITIVE')""",
+        _ALERTS, _RAW,
+    ),
     "report_export": _det_query(
         "SELECT * FROM ("
         + " UNION ALL ".join([

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     ArrayType,
+    BinaryType,
     BooleanType,
     DoubleType,
     IntegerType,
@@ -73,6 +74,7 @@ _TYPES = {
     "boolean": BooleanType(),
     "timestamp": TimestampType(),
     "array<string>": ArrayType(StringType()),
+    "binary": BinaryType(),
 }
 
 
@@ -118,3 +120,10 @@ BATCHES_SCHEMA = _struct(
     "batch_id bigint, batch_time timestamp, messages bigint, valid bigint, unparseable bigint, "
     "incomplete bigint, batch_ms bigint"
 )
+
+#: What one batch adds to an alert; services are a set, latencies a sketch that can be merged.
+ALERT_PARTS_SCHEMA = _struct(
+    "batch_id bigint, batch_time timestamp, window_start_ts timestamp, verdict string, actual_label string, "
+    "detected_as string, rules_fired string, max_severity string, event_count bigint, services array<string>, "
+    "conn_min int, conn_max int, latency_sum double, latency_n bigint, latency_max double, latency_sketch binary"
+)

@@ -1,8 +1,8 @@
 """The stored tables as Parquet folders, written from the executors, listed by a commit log.
 
 ``detections`` holds attacks and flagged rows, ``traffic_counts`` one row per batch and
-label, ``batches`` one row per batch with its totals and how long it took.  A
-micro-batch writes folders of its own and then one commit that makes all of them
+label, ``batches`` one row per batch with its totals and how long it took, ``alert_parts``
+what each batch adds to the alerts.  A micro-batch writes folders of its own and then one commit that makes all of them
 visible together; running it again - after a crash before or after that - replaces its
 rows.  Nothing else ever changes or removes a file that a reader may be using: deleting,
 replaying and compacting are commits too, and ``vacuum`` clears what no commit of the
@@ -19,21 +19,25 @@ import json
 import time
 import uuid
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 from functools import cached_property, reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from wardline.functions.expressions import total
+from wardline.operators import rollups
 from wardline.operators.prepare import detections, sort_for_storage, traffic_counts
 from wardline.schema import (
+    ALERT_PARTS_SCHEMA,
     BATCHES_SCHEMA,
     COUNTS_SCHEMA,
+    DISPLAY_TIME_ZONE,
     INCOMPLETE,
     RECORD_SCHEMA,
     UNPARSEABLE,
@@ -43,7 +47,9 @@ from wardline.sources import files
 from wardline.streaming.commits import CommitConflict, CommitLog, State, both
 
 #: When a row of each table was processed, and the event it tells of (epoch seconds, if any).
-CLOCKS = {"detections": "processed_at", "traffic_counts": "batch_time", "batches": "batch_time"}
+CLOCKS = {
+    "detections": "processed_at", "traffic_counts": "batch_time", "batches": "batch_time", "alert_parts": "batch_time"
+}
 EVENT_TIME, LABEL = "timestamp", "label"
 
 #: Time ranges that are passed to the files one by one; more are passed as the one that spans them.
@@ -158,6 +164,17 @@ class Snapshot:
         layout = self.store.layout("batches", self.state)
         return self.store.spark.createDataFrame(rows, layout).unionByName(self._read("batches", run_id, None))
 
+    def alert_parts(self, run_id: str | None = None, since: datetime | None = None) -> DataFrame:
+        return self._read("alert_parts", run_id, since)
+
+    def alerts(self, run_id: str | None = None, zone: str = DISPLAY_TIME_ZONE) -> DataFrame:
+        """The alerts of all stored rows, from what each batch has added to them."""
+        return rollups.alerts_of(self.alert_parts(run_id), zone)
+
+    def latency_over_time(self, since: datetime | None = None, run_id: str | None = None) -> DataFrame:
+        """Latency per minute of processing, from sketches; see ``rollups.latency_of`` for the error."""
+        return rollups.latency_of(self.alert_parts(run_id, since))
+
     def around(self, alert_rows: DataFrame, run_id: str | None = None) -> DataFrame:
         """Stored rows of the minutes that some alerts (``window_start_ts``) fall into.
 
@@ -204,7 +221,7 @@ class Store:
         return detections_schema(self.record_schema)
 
     def tables(self) -> dict[str, StructType]:
-        return {"detections": self.detections_type, "traffic_counts": COUNTS_SCHEMA, "batches": BATCHES_SCHEMA}
+        return {"detections": self.detections_type, "traffic_counts": COUNTS_SCHEMA, "batches": BATCHES_SCHEMA, "alert_parts": ALERT_PARTS_SCHEMA}
 
     def layout(self, table: str, state: State) -> StructType:
         """Columns of a table's files: as stored, or as they will be."""
@@ -253,7 +270,7 @@ class Store:
             return
         part = Snapshot(self, State(snapshot.state.version, snapshot.state.schemas, own, old))
         name, pieces = uuid.uuid4().hex, {}
-        sources = {"detections": part.detections(), "traffic_counts": part.counts(), "batches": part.batches()}
+        sources = {"detections": part.detections(), "traffic_counts": part.counts(), "batches": part.batches(), "alert_parts": part.alert_parts()}
         for table, rows in sources.items():
             order = [c for c in (LABEL, EVENT_TIME if EVENT_TIME in rows.columns else CLOCKS[table]) if c in rows.columns]
             folder = f"{table}/{day}/{name}"
@@ -323,8 +340,8 @@ class Store:
     ) -> BatchTotals:
         """Store one evaluated micro-batch.
 
-        Both tables are fed from one cached evaluation that may spill to disk;
-        a bulk load too large for that is better evaluated once per table
+        All tables are fed, at the same time, from one cached evaluation that may spill
+        to disk; a bulk load too large for that is better evaluated once per table
         (``cached=False``).  One clock value stamps the whole batch.  Nothing but sums and
         ranges, taken while the tables are written, returns to the driver.
         """
@@ -354,11 +371,17 @@ class Store:
         ]
         if cached:
             evaluated.persist(StorageLevel.MEMORY_AND_DISK)
+        kept = detections(evaluated, tag, stamp, self.record_schema)
+        jobs = {
+            "detections": (kept, ()),
+            "traffic_counts": (traffic_counts(evaluated, tag, stamp), sums),
+            "alert_parts": (rollups.alert_parts(kept), ()),
+        }
         try:
-            found = {
-                "detections": written("detections", detections(evaluated, tag, stamp, self.record_schema)),
-                "traffic_counts": written("traffic_counts", traffic_counts(evaluated, tag, stamp), sums),
-            }
+            with ThreadPoolExecutor(len(jobs)) as pool:
+                start = inheritable_thread_target(self.spark)(written)
+                running = {table: pool.submit(start, table, *job) for table, job in jobs.items()}
+                found = {table: job.result() for table, job in running.items()}
         finally:
             if cached:
                 evaluated.unpersist()
