@@ -75,6 +75,56 @@ def test_nearest_with_odd_and_equal_vectors(odd, monkeypatch):
     assert set(found) == set(expected) and hits >= 0.9 * 20 * len(expected)
 
 
+@pytest.fixture(scope="module")
+def repeated(spark):
+    """Ids that several rows have, queries among them, and a third of all rows under one id."""
+    rng = np.random.default_rng(12)
+    rows = [(i % 45, rng.normal(size=4).round(2).tolist()) for i in range(60)] + [(40, [0.5, 0.5, 0.0, 0.1])] * 30
+    rows += [(1, [0.5, 0.5, 0.0, 0.0]), (1, [0.9, 0.1, 0.0, 0.0])]
+    return rows, spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+
+def by_row(rows, k, of):
+    """Results of every query row, as a sorted list of lists of (vec_id, score)."""
+    out = []
+    for i, (q, a) in enumerate(rows):
+        if q % 20 == 0:
+            scored = sorted((-of(a, b), v) for j, (v, b) in enumerate(rows) if j != i)
+            out += [(q, r + 1, v, -s) for r, (s, v) in enumerate(scored[:k])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("k", [3, 20, 200])
+def test_rows_of_one_id_are_rows_of_their_own(repeated, k):
+    rows, table = repeated
+    found = topk.exact_top_k(table, QUERY, k)
+    assert sorted(map(tuple, found.collect())) == by_row(rows, k, integers)
+    near = ann.nearest(table, QUERY, k).collect()
+    exact = by_row(rows, k, lambda a, b: float(np.dot(a, b)))
+    assert len(near) == len(exact)
+    assert sum(abs(a.score - b[3]) < 1e-9 for a, b in zip(sorted(near, key=lambda r: (r.query_id, r["rank"], r.vec_id)), exact, strict=True)) >= 0.9 * len(exact)
+
+
+def test_repeated_ids_equal_sql(repeated, tmp_path):
+    import compare
+
+    rows, table = repeated
+    table.write.parquet(str(tmp_path / "embeddings"))
+    duck = compare.duck(str(tmp_path))
+    duck.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings/*.parquet'")
+    assert compare.differences(topk.exact_top_k(table, QUERY, 20), duck, topk.ORACLE) == []
+
+
+@pytest.mark.parametrize("sign", [-1, 1])
+def test_large_and_odd_totals_stay_exact(spark, sign):
+    """Negative scores beyond the exactness of doubles, odd ones among them."""
+    rows = [(0, [1 / 64, 1 / 64])] + [(i, [sign * 1e14 / 64, sign * (1e14 + i) / 64]) for i in range(1, 32) if i % 20]
+    rows += [(40, [-3 / 64, 0.0]), (60, [5 / 64, -5 / 64])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for k in (1, 20, 30):
+        assert grouped(topk.exact_top_k(table, QUERY, k)) == brute(rows, k, integers)
+
+
 def test_no_vectors_give_no_rows(odd):
     _, table = odd
     assert topk.exact_top_k(table.limit(0), QUERY, 3).count() == 0

@@ -17,8 +17,8 @@ ids as can matter, smallest first; so a very common vector neither clutters the
 graph nor makes ties arbitrary.
 
 Defined results: vectors that are null, zero, or hold a null or non-finite
-component, and rows without an id, take no part; of rows with the same id the
-smallest vector does; shorter vectors are filled up with zeros; a query with at
+component, and rows without an id, take no part; rows with the same id are rows
+of their own, each other's candidates too; shorter vectors are filled up with zeros; a query with at
 most k candidates in reach gets them all; an empty table gives an empty result.
 """
 
@@ -184,8 +184,8 @@ def build_index(vectors: DataFrame, width: int) -> DataFrame:
     """A row per shard: its vectors and the graph as flat arrays."""
 
     def build(table: pa.Table) -> pa.Table:
-        table = table.sort_by("vec_id")
-        graph = Graph.build(table["vec_id"].to_numpy().astype(np.int64), matrix(table["embedding"], width))
+        table = table.sort_by("key")
+        graph = Graph.build(table["key"].to_numpy().astype(np.int64), matrix(table["embedding"], width))
         levels = [dict(zip(("members", "offsets", "neighbours"), (x.tobytes() for x in level), strict=True)) for level in graph.levels]
         kind = pa.list_(pa.struct([(n, pa.binary()) for n in ("members", "offsets", "neighbours")]))
         return pa.table(
@@ -252,28 +252,28 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             columns = [np.frombuffer(row[c], dtype=t) for c, t in (("query_id", np.int64), ("node", np.int64), ("score", np.float64))]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "node", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query", "node", "score"])
 
 
 def nearest(vectors: DataFrame, queries: str, k: int) -> DataFrame:
     """``query_id, rank, vec_id, score``: about the ``k`` largest inner products of the vectors chosen by ``queries``."""
     taking = stored(usable(vectors).where(F.exists("embedding", lambda x: x != 0)), "vectors")
     asked, width = taking.agg(F.count_if(F.expr(queries)), F.max(F.size("embedding"))).first()
-    order = Window.partitionBy("embedding").orderBy("vec_id")
+    order = Window.partitionBy("embedding").orderBy("key")
     # No more than k + 1 ids of equal vectors can appear in one result.
     equals = taking.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
     members = stored(equals, "members")
-    nodes = members.where("n = 1").select("vec_id", "embedding")
+    nodes = members.where("n = 1").select("key", "embedding")
     rows = nodes.count()
     shards = max(1, -(-rows // SHARD))
     index = stored(build_index(dealt(nodes, SHARD, rows, 1), width or 1), "index")
 
     def block(table: pa.Table) -> pa.Table:
-        table = table.sort_by("vec_id")
+        table = table.sort_by("key")
         return pa.table(
             {
                 "block": pa.array([table["shard"][0].as_py()], pa.int32()),
-                "query_ids": pa.array([table["vec_id"].to_numpy().astype(np.int64).tobytes()], pa.binary()),
+                "query_ids": pa.array([table["key"].to_numpy().astype(np.int64).tobytes()], pa.binary()),
                 "query_vectors": pa.array([matrix(table["embedding"], width).tobytes()], pa.binary()),
             }
         )
@@ -288,14 +288,16 @@ def nearest(vectors: DataFrame, queries: str, k: int) -> DataFrame:
     while group > 1:
         group = -(-group // FAN_IN)
         found = found.groupBy("block", F.floor(F.col("shard") / (shards // group + 1))).applyInArrow(_merged(k), FOUND)
-    names = members.select(F.col("embedding"), "vec_id").join(
-        nodes.select("embedding", F.col("vec_id").alias("node")), "embedding"
+    names = members.select("embedding", "key", "vec_id").join(
+        nodes.select("embedding", F.col("key").alias("node")), "embedding"
     )
+    asking = taking.where(queries).select(F.col("key").alias("query"), F.col("vec_id").alias("query_id"))
     return best_of(
-        found.mapInArrow(_unpack, "query_id long, node long, score double")
-        .join(names.select("node", "vec_id"), "node")
-        .where("vec_id <> query_id")
-        .select("query_id", "vec_id", "score"),
+        found.mapInArrow(_unpack, "query long, node long, score double")
+        .join(names.select("node", "key", "vec_id"), "node")
+        .where("key <> query")
+        .join(asking, "query")
+        .select("query", "query_id", "key", "vec_id", "score"),
         k,
     )
 

@@ -15,8 +15,8 @@ The totals are whole numbers and exact.  Queries travel in blocks to all shards;
 what a list returns depends on the cutoff only, never on a fixed number.
 
 Defined results: vectors that are null or hold a null or non-finite component,
-and rows without an id, take no part; of rows with the same id the smallest
-vector does; shorter vectors are filled up with zeros; components and scores
+and rows without an id, take no part; rows with the same id are rows of their own,
+each other's candidates too; shorter vectors are filled up with zeros; components and scores
 beyond the range of a long stop at its ends; a query with fewer candidates than
 k gets them all; an empty table gives an empty result; other columns do not matter.
 """
@@ -55,23 +55,27 @@ def _scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
 
 
 def packed_lists(vectors: DataFrame, width: int, parts: int) -> DataFrame:
-    """``shard, part, ids, vectors``: one row for each list, or block of queries."""
+    """``shard, part, ids, names, vectors``: one row for each list, or block of queries.
+
+    ``ids`` are the rows' keys, ``names`` their vec_ids, which places ascend with.
+    """
 
     def pack(table: pa.Table) -> pa.Table:
-        table = table.sort_by("vec_id")
+        table = table.sort_by("key")
         whole = matrix(table["embedding"], width, np.int64)
-        ids = table["vec_id"].to_numpy().astype(np.int64).tobytes()
+        ids, names = (table[c].to_numpy().astype(np.int64).tobytes() for c in ("key", "vec_id"))
         pieces = np.array_split(whole, parts, axis=1)
         return pa.table(
             {
                 "shard": pa.array([table["shard"][0].as_py()] * parts, pa.int32()),
                 "part": pa.array(range(parts), pa.int32()),
                 "ids": pa.array([ids] * parts, pa.binary()),
+                "names": pa.array([names] * parts, pa.binary()),
                 "vectors": pa.array([np.ascontiguousarray(p).tobytes() for p in pieces], pa.binary()),
             }
         )
 
-    return vectors.groupBy("shard").applyInArrow(pack, "shard int, part int, ids binary, vectors binary")
+    return vectors.groupBy("shard").applyInArrow(pack, "shard int, part int, ids binary, names binary, vectors binary")
 
 
 def _ints(value: bytes, kind=np.int64) -> np.ndarray:
@@ -169,9 +173,9 @@ def _visited(lists: DataFrame, queries: DataFrame) -> DataFrame:
     """Each list joined with the blocks of queries sent to its shard."""
     asked = queries.select(
         "block", "shard", "part", F.col("ids").alias("query_ids"), F.col("vectors").alias("query_vectors"),
-        *(c for c in queries.columns if c not in ("block", "shard", "part", "ids", "vectors")),
+        *(c for c in queries.columns if c not in ("block", "shard", "part", "ids", "names", "vectors")),
     )
-    return asked.join(lists, ["shard", "part"])
+    return asked.join(lists.drop("names"), ["shard", "part"])
 
 
 def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,9 +265,11 @@ def _narrowed(parts: int):
         known = np.pad(known, ((0, 0), (0, parts - known.shape[1])))
         kth, share = _cutoffs(rows[0], parts)
         missing = parts - known.sum(axis=1)
+        # Whole numbers throughout: Python's where 64 bits would not hold them.
+        kind = object if max(np.abs(x.astype(float)).max(initial=0) for x in (total, share)) > 2**61 / (parts + 1) else np.int64
         short = np.maximum(share[query], _LOWEST + 1) - 1
-        possible = total.astype(float) + missing * short.astype(float)
-        kept = (missing == 0) & (total >= kth[query]) | (missing > 0) & (possible >= kth[query].astype(float) * (1 - 1e-12) - 1)
+        possible = total.astype(kind) + missing.astype(kind) * short.astype(kind)
+        kept = (possible >= kth[query].astype(kind)).astype(bool)  # of whole entries the total itself
         query, place, total, known = query[kept], place[kept], total[kept], known[kept]
         out = [
             _batch(
@@ -295,8 +301,9 @@ def _finished(k: int):
         reach = total >= kth[query]
         query, place, total = query[reach], place[reach], total[reach]
         best = _highest(query, np.where(total == _LOWEST, _LOWEST + 1, total), k)  # places ascend with ids
-        asked, own = _ints(rows[0]["query_ids"]), _ints(rows[0]["ids"])
-        return pa.table({"query_id": asked[query[best]], "vec_id": own[place[best]], "score": total[best]})
+        columns = {n: _ints(rows[0][c])[query[best]] for n, c in (("query", "query_ids"), ("query_id", "query_names"))}
+        columns |= {n: _ints(rows[0][c])[place[best]] for n, c in (("key", "ids"), ("vec_id", "names"))}
+        return pa.table({**columns, "score": total[best]})
 
     return run
 
@@ -332,21 +339,21 @@ def exact_top_k(vectors: DataFrame, queries: str, k: int, scale: int = 64, parts
     # Second phase: everything that reaches the cutoff.
     told = stored(blocks.join(kth, "block", "left"), "told")
     collected = _visited(lists, to_every_shard(told, shards)).mapInArrow(_collect(parts), ENTRIES)
-    heads = told.where("part = 0").select("block", F.col("ids").alias("query_ids"), "kth")
+    heads = told.where("part = 0").select("block", F.col("ids").alias("query_ids"), F.col("names").alias("query_names"), "kth")
     opened = stored(
         collected.join(heads, "block").groupBy("block", "shard").applyInArrow(_narrowed(parts), _OPEN), "open"
     )
     # Third phase: missing parts, whole scores, the best.
     asks = opened.where("wanted").drop("wanted", "score").join(blocks, ["block", "part"])
     resolved = _visited(lists, asks).mapInArrow(_resolve, ENTRIES)
-    owners = lists.where("part = 0").select("shard", "ids")
+    owners = lists.where("part = 0").select("shard", "ids", "names")
     final = (
         opened.where("NOT wanted").drop("wanted")
         .unionByName(resolved)
         .join(heads, "block")
         .join(owners, "shard")
         .groupBy("block", "shard")
-        .applyInArrow(_finished(k), "query_id long, vec_id long, score long")
+        .applyInArrow(_finished(k), "query long, query_id long, key long, vec_id long, score long")
     )
     return best_of(final, k)
 
@@ -369,15 +376,15 @@ def _deduplicated_sum(table: pa.Table) -> pa.Table:
 
 ORACLE = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  SELECT row_number() OVER () AS key, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.e, v.e)::BIGINT AS score
-  FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0
+  SELECT q.key, q.vec_id AS query_id, v.vec_id, list_dot_product(q.e, v.e)::BIGINT AS score
+  FROM v q JOIN v ON q.key <> v.key WHERE q.vec_id % 20 = 0
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY score DESC, vec_id) AS rank FROM scored
 ) WHERE rank <= 20
 """
 

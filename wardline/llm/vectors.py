@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.llm.exchange import stored
@@ -20,16 +20,19 @@ def finite(embedding: str = "embedding") -> Column:
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """``vec_id, embedding`` (doubles) of the vectors that take part.
+    """``key, vec_id, embedding`` (doubles) of the vectors that take part.
 
-    Rows without an id take none; of rows with the same id, the smallest vector does.
+    Rows without an id take none.  Every other row is one of its own, also where ids
+    repeat: ``key`` tells them apart once the result has been written, and keys ascend
+    as ids do.  Rows of one id may be dealt to several ranges.
     """
-    return (
-        vectors.where(finite() & F.col("vec_id").isNotNull())
-        .select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-        .groupBy("vec_id")
-        .agg(F.min("embedding").alias("embedding"))
+    rows = vectors.where(finite() & F.col("vec_id").isNotNull()).select(
+        F.col("vec_id").cast("long").alias("vec_id"),
+        F.col("embedding").cast("array<double>").alias("embedding"),
+        F.monotonically_increasing_id().alias("turn"),
     )
+    ordered = rows.repartitionByRange("vec_id", "turn").sortWithinPartitions("vec_id", "turn")
+    return ordered.select(F.monotonically_increasing_id().alias("key"), "vec_id", "embedding")
 
 
 def matrix(lists: pa.ChunkedArray, width: int, kind=np.float64) -> np.ndarray:
@@ -43,7 +46,7 @@ def matrix(lists: pa.ChunkedArray, width: int, kind=np.float64) -> np.ndarray:
 
 def dealt(vectors: DataFrame, size: int, rows: int, seed: int) -> DataFrame:
     """``vectors`` with a number ``shard`` that deals about ``size`` rows to each."""
-    return vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(max(1, -(-rows // size)))).cast("int"))
+    return vectors.withColumn("shard", F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(max(1, -(-rows // size)))).cast("int"))
 
 
 def to_every_shard(queries: DataFrame, shards: int) -> DataFrame:
@@ -52,10 +55,11 @@ def to_every_shard(queries: DataFrame, shards: int) -> DataFrame:
 
 
 def best_of(rows: DataFrame, k: int) -> DataFrame:
-    """The ``k`` highest scores of each query with their rank, ties to the smaller id."""
-    from pyspark.sql import Window
+    """The ``k`` highest scores of each query row with their rank, ties to the smaller id.
 
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ``rows`` has ``query, query_id, key, vec_id, score``; ``query`` and ``key`` name rows.
+    """
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "key")
     return (
         rows.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
