@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from wardline.llm.exchange import stored
 from wardline.llm import bpe, exchange, jaccard, langid, mixing, pages, quality, substring, suffixes
 
 CLASHING = ["row", "bucket", "score", "tokens", "kept", "node", "starts", "size"]
@@ -127,6 +128,37 @@ def test_similar_sets_across_blocks(spark):
     assert len(pairs) == len(set(mine)) == len(set(theirs))
 
 
+def chained(spark, n: int):
+    """Sets of which each shares two thirds with the next, every tenth a near copy of the one before."""
+    rows, words = [], [f"w{i}" for i in range(4 * n + 100)]
+    for i in range(n):
+        at = 4 * (i - 1) if i % 10 == 9 else 4 * i
+        own = [*words[at : at + 24]]
+        if i % 10 == 9:
+            own[-1] = f"n{i}"
+        rows.append((i, " ".join(own)))
+    return rows, spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+
+
+@pytest.mark.parametrize("block", [8, 32])
+def test_chains_of_families_meet_by_single_shingles(spark, monkeypatch, block):
+    """Rows that are compared grow with the sets, not with their square."""
+    counted, real = [], jaccard.meetings
+    monkeypatch.setattr(jaccard, "meetings", lambda sets, size: counted.append(real(sets, size)) or counted[-1])
+    for n in (1000, 4000) if block == 32 else (1000,):
+        rows, table = chained(spark, n)
+        found = jaccard.candidates(jaccard.shared_shingles(table, jaccard.heavy_shingles(table, 20 * n), 8))
+        roots = jaccard.linked_components(stored(found.dropDuplicates(["node"]), "found"), block=block)
+        node = {r.doc_id: r.node for r in jaccard.shingle_sets(table).collect()}
+        root = {r.node: r.root for r in roots.collect()}
+        for i in range(n):
+            same = root.get(node[i], node[i]) == root.get(node[i - 1], node[i - 1]) if i else False
+            assert same == (i % 10 == 9), i
+    if block == 32:
+        few, many = (c.count() for c in counted)
+        assert many <= 5.5 * few
+
+
 def test_one_of_each_group_stays(docs):
     kept = jaccard.keep_one(docs)
     assert kept.columns == docs.columns

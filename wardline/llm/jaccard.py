@@ -11,13 +11,15 @@ with a path is worked out once and shared by every set below it, and a subtree i
 left as soon as the shingles that remain could not lift any overlap high enough.
 
 Equal sets are collapsed first.  A family too large for one task is dealt into
-blocks, every block also gets the family's pivots, and only families that this
-leaves in several parts are compared block by block.  Links within what is
-already one component add nothing and are not looked for, so a large group of
-near copies costs little more than its size.
+blocks, every block also gets the family's pivots.  Where this leaves a family in
+several parts, its sets meet again by single shingles of their prefixes, those that
+several parts have, and only with sets whose size allows a link; a trie for each such
+meeting looks for what joins the parts.  Links within what is already one component
+add nothing and are not looked for, so a large group of near copies costs little
+more than its size, and a long chain of families as much as its prefixes.
 
-Shingles are compared by 64-bit hashes, and sets are named by 64-bit hashes of
-their content.
+Shingles are compared by 64-bit hashes (of at least 256 buckets, fewer drop a bit
+each), and sets are named by 64-bit hashes of their content.
 
 Defined results: null texts and texts without words have the empty set, which is
 linked with nothing; fewer words than a shingle make one shingle of the whole
@@ -125,7 +127,7 @@ def prefix_length(sizes: np.ndarray) -> np.ndarray:
 
 
 #: Bytes of a shingle's hash that travel beside its bucket, and the place of the first heavy one.
-TOKEN_BYTES, LAST = 5, 1 << 30
+TOKEN_BYTES, LAST = 7, 1 << 30
 
 #: What a slice of documents sends: to buckets of hashes its light shingles, to its own bucket
 #: its heavy ones and its sets.  A set is meant by its number in the slice.
@@ -409,18 +411,49 @@ def linked_components(found: DataFrame, block: int = BLOCK, pivots: int = PIVOTS
         .drop("to")
     )
     roots = components(_links(members.unionByName(lent).withColumn("part", F.col("node"))))
-    # Then between the blocks of families that are still in several parts.
+    # Then by single shingles, in families that are still in several parts.
     large = members.where("blocks > 1").join(roots, "node", "left").withColumn("part", F.coalesce("root", "node"))
     split = large.groupBy("family").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b")
-    pairs = large.join(split.select("family"), "family").withColumn(
-        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    open_ = stored(large.join(split.select("family"), "family").drop("root", "block", "blocks", "n"), "open")
+    if open_.isEmpty():
+        return roots
+    more = stored(_links(meetings(open_, block)), "links")
+    known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return components(known.unionByName(more))
+
+
+#: Sizes of two similar sets lie in one class or in neighbouring ones.
+SIZE_RATIO = 100 / PERCENT
+
+
+def meetings(sets: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``sets`` (``node, size, part, lead, tokens``) once for each meeting, named ``family, block``.
+
+    Sets of different parts meet under a shingle of both prefixes, with those of their own
+    class of sizes and the next; a meeting without several parts does not take place.  A
+    meeting too large for one task is held between its blocks.
+    """
+    size_class = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(SIZE_RATIO))).cast("long")
+    asked = sets.select(
+        "node", "part", size_class.alias("class"),
+        F.explode(F.slice("tokens", F.lit(1), F.col("lead").cast("int"))).alias("token"),
     )
-    pairs = pairs.where("other <> block").withColumn(
-        "block", F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")
+    # First which shingles several parts have, then which of their meetings.
+    apart = lambda rows, *key: stored(
+        rows.groupBy(*key).agg(F.min("part").alias("a"), F.max("part").alias("b"), F.count("*").alias("n")).where("a <> b"),
+        "apart",
     )
-    known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    more = stored(_links(pairs), "links")
-    return components(known.unionByName(more)) if not more.isEmpty() else roots
+    asked = asked.join(apart(asked, "token").select("token"), "token")
+    asked = asked.select("node", "part", "token", F.explode(F.array("class", F.col("class") + 1)).alias("class"))
+    met = apart(asked, "token", "class").select("token", "class", F.ceil(F.col("n") / block).alias("blocks"))
+    placed = asked.join(met, ["token", "class"]).withColumn("own", F.pmod(F.xxhash64("node", "token"), F.col("blocks")))
+    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    placed = placed.withColumn("other", F.explode(every))
+    return placed.select(
+        "node",
+        F.xxhash64("token", "class").alias("family"),
+        (F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")).alias("block"),
+    ).join(sets.select("node", "size", "part", "tokens"), "node")
 
 
 def similar_sets(docs: DataFrame) -> DataFrame:
