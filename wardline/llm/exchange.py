@@ -149,6 +149,44 @@ def answer(table: pa.Table, width: int = 8) -> tuple[np.ndarray, np.ndarray]:
     return rows, ats
 
 
+#: Two hashes as one key: what meets under both is taken to be equal.
+PAIR = np.dtype([("one", "<u8"), ("two", "<u8")])
+
+
+def several(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each pair of hashes occurs several times, and whether it is the one that stands for its kind."""
+    order = np.lexsort((keys["two"], keys["one"]))
+    same = keys[order][1:] == keys[order][:-1]
+    again, stands = np.zeros(len(keys), dtype=bool), np.ones(len(keys), dtype=bool)
+    again[order[1:][same]] = again[order[:-1][same]] = True
+    stands[order[1:][same]] = False
+    return again, stands
+
+
+def offer_pairs(keys: np.ndarray, rows: np.ndarray, ats: np.ndarray, asked: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
+    """``offer`` for pairs of hashes."""
+    again, stands = several(keys)
+    asking, known, top = asked & ~again, asked & again, np.uint64(64 - bits)
+    plain, held = keys[stands & ~asking], keys[asking]
+    parts = [
+        packed(plain["one"] >> top, {"plain": plain}),
+        packed(held["one"] >> top, {"keys": held, "rows": rows[asking], "ats": ats[asking]}),
+        packed(mix(rows[known].view(np.uint64)) >> top, {"known_rows": rows[known], "known_ats": ats[known]}),
+    ]
+    for part in parts:
+        yield from map(_completed, part)
+
+
+def answer_pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """``answer`` for pairs of hashes."""
+    have = lambda name, kind: unpacked(table[name].drop_null(), kind)
+    keys = have("keys", PAIR)
+    found = several(np.concatenate([keys, have("plain", PAIR)]))[0][: len(keys)]
+    rows = np.concatenate([have("rows", np.int64)[found], have("known_rows", np.int64)])
+    ats = np.concatenate([have("ats", np.int32)[found], have("known_ats", np.int32)])
+    return rows, ats
+
+
 def regrouped(rows: np.ndarray, ats: np.ndarray, bits: int) -> pa.Table:
     """(row, place) pairs, packed by buckets of rows."""
     order = np.lexsort((ats, rows))

@@ -8,6 +8,8 @@ other position.  From each such anchor the hit is extended over all windows
 around it, as far as they are found elsewhere too; what the extended hits cover
 is removed.
 
+Windows are taken to be equal if two independent 64-bit hashes of their words are.
+
 Probes are sent once per slice of documents and key, and a slice that has a key
 twice answers itself.  So a passage that very many documents share costs a
 bucket one entry per slice.  Texts that occur several times are removed whole
@@ -29,19 +31,22 @@ from pyspark.sql import functions as F
 
 from wardline.llm.exchange import (
     OFFER,
+    PAIR,
     SPANS,
     answer,
+    answer_pairs,
     bucket_bits,
     copies_of,
     keyed,
     offer,
+    offer_pairs,
     per_bucket,
     regrouped,
     runs_of,
     stored,
     text_size,
 )
-from wardline.llm.text import Words, slices
+from wardline.llm.text import SECOND_VALUES, Words, slices
 
 WINDOW = 35
 
@@ -100,17 +105,20 @@ def extended(docs: DataFrame, blocks: DataFrame, copies: DataFrame, window: int,
             hit = np.zeros(grid[-1], dtype=bool)
             lengths = np.diff(lists.offsets.to_numpy())
             hit[np.repeat(grid[:-1], lengths) + lists.flatten().to_numpy()] = True
-            starts, hashes = words.runs(words.hashes(), window)
+            starts, one = words.runs(words.hashes(), window)
             owner = words.doc[starts]
             within = starts - words.bounds[owner]
             near_hit = hit[grid[owner] + _block_of(within, block)]
-            owner, within, hashes = owner[near_hit], within[near_hit], hashes[near_hit]
+            keys = np.zeros(int(near_hit.sum()), dtype=PAIR)
+            keys["one"] = one[near_hit]
+            keys["two"] = words.runs(words.hashes(SECOND_VALUES), window)[1][near_hit]
+            owner, within = owner[near_hit], within[near_hit]
             rows = batch.column("row").to_numpy()[owner]
             asks = batch.column("asks").to_numpy(zero_copy_only=False)[owner]
-            yield from offer(hashes, rows, within.astype(np.int32), asks, bits)
+            yield from offer_pairs(keys, rows, within.astype(np.int32), asks, bits)
 
     def meet(table: pa.Table) -> pa.Table:
-        return regrouped(*answer(table), bits)
+        return regrouped(*answer_pairs(table), bits)
 
     found = per_bucket(near.mapInArrow(extend, OFFER), meet, "bucket int, rows binary, ats binary")
     return per_bucket(found, lambda table: runs_of(table, window), SPANS)

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from wardline.llm.exchange import (
     BUCKET_BYTES,
     OFFER,
+    PAIR,
     SPANS,
     answer,
     bucket_bits,
@@ -47,12 +48,13 @@ from wardline.llm.exchange import (
     per_bucket,
     regrouped,
     runs_of,
+    several,
     spans_table,
     stored,
     text_size,
     unpacked,
 )
-from wardline.llm.text import BYTE_VALUES, PrefixHash, mix, slices, text_bytes
+from wardline.llm.text import BYTE_VALUES, SECOND_VALUES, PrefixHash, mix, slices, text_bytes
 
 #: Bytes of a repeated string, and of the grams that pick positions.
 LENGTH, GRAM = 400, 32
@@ -152,29 +154,14 @@ def _by_reach(data, at, grams, document, first, last, length: int) -> list[tuple
     return out
 
 
-#: Byte values of a second hash, for strings that only their hashes speak for.
-_SECOND = mix(BYTE_VALUES ^ np.uint64(0x5851F42D4C957F2D)) | np.uint64(1)
-_PAIR = np.dtype([("one", "<u8"), ("two", "<u8")])
-
-
 def _pairs(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     """Two hashes of each string."""
-    out = np.zeros(len(starts), dtype=_PAIR)
-    for name, values in (("one", BYTE_VALUES), ("two", _SECOND)):
+    out = np.zeros(len(starts), dtype=PAIR)
+    for name, values in (("one", BYTE_VALUES), ("two", SECOND_VALUES)):
         out[name] = mix(PrefixHash(values[data]).of(starts, length))
     return out
 
 
-def _several(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each key occurs several times, and whether it is the one that stands for its kind."""
-    order = np.lexsort((keys["two"], keys["one"]))
-    same = keys[order][1:] == keys[order][:-1]
-    several, stands = np.zeros(len(keys), dtype=bool), np.ones(len(keys), dtype=bool)
-    several[order[1:][same]] = several[order[:-1][same]] = True
-    stands[order[1:][same]] = False
-    return several, stands
-
-
 def _spread(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All whole numbers of ranges, and which range each is of."""
     counts = last - first + 1
@@ -430,14 +417,14 @@ def surroundings(docs: DataFrame, copies: DataFrame, length: int, bits: int, siz
             known = np.array([i for group in seen.values() if len(group) > 1 for i in group], dtype=np.int64)
             own = known[numbers["asks"][known] > 0]
             keys = _pairs(data, strings, length)
-            several, stands = _several(keys)
-            lost = several & asks[holder]
+            again, stands = several(keys)
+            lost = again & asks[holder]
             begin = np.concatenate([(first - offsets[document])[own], (strings - offsets[holder])[lost]])
             close = np.concatenate([(last + length - offsets[document])[own], (strings - offsets[holder])[lost] + length])
             rows = np.concatenate([numbers["row"][own], row[holder[lost]]])
             numbers["asks"][known] = 0
             sent = np.array([group[0] for group in seen.values()], dtype=np.int64)
-            asked, places = asks[holder] & ~several, (strings - offsets[holder]).astype(np.int32)
+            asked, places = asks[holder] & ~again, (strings - offsets[holder]).astype(np.int32)
             yield from _completed(_stretches(*_merged(rows, begin, close), bits))
             yield from _completed(_contexts(numbers[sent], [texts[i] for i in sent], bits))
             yield from _completed(_strings(keys[stands], row[holder[stands]], places[stands], asked[stands], bits))
@@ -456,9 +443,9 @@ def repeated_spans(docs: DataFrame, copies: DataFrame, length: int = LENGTH) ->
     def meet(table: pa.Table) -> pa.Table:
         have = lambda name, kind: unpacked(table[name].drop_null(), kind)
         rows, starts, ends = _repeated(have("numbers", _NUMBERS), have("data", np.uint8), length)
-        keys = np.concatenate([have("keys", _PAIR), have("plain", _PAIR)])
+        keys = np.concatenate([have("keys", PAIR), have("plain", PAIR)])
         owners, places = have("owners", np.int64), have("places", np.int32)
-        again = _several(keys)[0][: len(owners)]
+        again = several(keys)[0][: len(owners)]
         rows = np.concatenate([rows, have("rows", np.int64), owners[again]])
         starts = np.concatenate([starts, have("starts", np.int32), places[again]])
         ends = np.concatenate([ends, have("ends", np.int32), places[again] + length])

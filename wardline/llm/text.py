@@ -37,6 +37,10 @@ def mix(values: np.ndarray) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
+#: Byte values of a second hash, for what only its hashes speak for.
+SECOND_VALUES = mix(BYTE_VALUES ^ np.uint64(0x5851F42D4C957F2D)) | np.uint64(1)
+
+
 class _Powers:
     """Powers of a multiplier modulo 2**64, grown on demand."""
 
@@ -108,9 +112,9 @@ class Words:
         self.bounds = np.concatenate([[0], np.cumsum(self.counts)])
         self.doc = np.repeat(np.arange(len(self.counts)), self.counts)
 
-    def hashes(self) -> np.ndarray:
+    def hashes(self, values: np.ndarray = BYTE_VALUES) -> np.ndarray:
         lengths = self.ends - self.starts
-        return mix(PrefixHash(BYTE_VALUES[self.data]).of(self.starts, lengths) + lengths.astype(np.uint64))
+        return mix(PrefixHash(values[self.data]).of(self.starts, lengths) + lengths.astype(np.uint64))
 
     def runs(self, hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Starts (word numbers) and hashes of all runs of ``length`` words of one document."""
