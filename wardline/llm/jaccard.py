@@ -478,7 +478,8 @@ def similar_sets(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` per component, that of the smallest id (null last); rows equal in id and text count as one.
 
-    Rows with the empty set are all kept.
+    Where such rows differ in other columns, the same one of them stays in every run.
+    Rows with the empty set are kept, one of each id and text.
     """
     identity = F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", F.xxhash64("text").alias("text_hash"))
     chosen = (
@@ -489,14 +490,17 @@ def keep_one(docs: DataFrame) -> DataFrame:
         .alias("c")
     )
     return (
-        docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct("*").alias("doc"))
+        docs.select(
+            "doc_id", F.xxhash64("text").alias("text_hash"), F.struct("*").alias("doc"), F.xxhash64(F.struct("*")).alias("turn")
+        )
         .alias("d")
         .join(
             chosen.hint("shuffle_hash"),
             F.expr("d.doc_id <=> c.doc_id AND d.text_hash = c.text_hash"),
             "left_semi",
         )
-        .dropDuplicates(["doc_id", "text_hash"])
+        .groupBy("doc_id", "text_hash")
+        .agg(F.min_by("doc", "turn").alias("doc"))
         .select("doc.*")
     )
 

@@ -207,20 +207,27 @@ def mix_sources(docs: DataFrame, schedules: DataFrame | None = None, cap: float
 
 
 def training_order(docs: DataFrame, schedules: DataFrame | None = None, cap: float = 3) -> DataFrame:
-    """The mix itself: a row of ``docs`` for each time it is met, whole, range-sorted by position."""
+    """The mix itself: a row of ``docs`` for each time it is met, whole, range-sorted by position.
+
+    Rows equal in id, text and source are met in turn; where they differ in other
+    columns, the same one of them stands for all in every run.
+    """
     plan = (
         _counted(docs, schedules, cap)
         .where("passes > 0")
         .withColumn("position", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("passes") - 1), _position)))
-        .groupBy("doc_id", "text_hash")  # rows equal in id and text are met in turn
+        .groupBy("doc_id", "text_hash", "source")
         .agg(F.collect_list("position").alias("positions"))
         .alias("p")
     )
-    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct("*").alias("doc"))
+    whole = F.struct("*")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "source", whole.alias("doc"), F.xxhash64(whole).alias("turn"))
+    same = "d.doc_id <=> p.doc_id AND d.text_hash = p.text_hash AND d.source <=> p.source"
     return (
-        texts.dropDuplicates(["doc_id", "text_hash"])
+        texts.groupBy("doc_id", "text_hash", "source")
+        .agg(F.min_by("doc", "turn").alias("doc"))
         .alias("d")
-        .join(plan.hint("shuffle_hash"), F.expr("d.doc_id <=> p.doc_id AND d.text_hash = p.text_hash"))
+        .join(plan.hint("shuffle_hash"), F.expr(same))
         .select("doc", F.explode("positions").alias("position"))
         .orderBy("position", "doc.doc_id")
         .select("doc.*")
