@@ -8,6 +8,7 @@ import compare
 import edge
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
@@ -41,6 +42,9 @@ def test_pipeline_stage_by_stage(spark, data):
     for name, stage in corpus_pipeline.STAGES:
         before = [tuple(r) for r in docs.collect()]
         docs = stored(stage(spark, docs, data), f"test-{name}")
+        if name == "mixture":
+            numbers = docs.select(F.input_file_name().alias("file"), "_metadata.row_index", "doc_id", "text").collect()
+            ordered = [(r.doc_id, r.text) for r in sorted(numbers, key=lambda r: (r.file.rpartition("/")[2], r.row_index))]
         after = [tuple(r) for r in docs.collect()]
         if name != "tokens":
             assert docs.columns == columns
@@ -63,6 +67,9 @@ def test_pipeline_stage_by_stage(spark, data):
             text = {r[0]: r[1] for r in before}
             library = pytest.importorskip("tokenizers").Tokenizer.from_file(bpe.byte_bpe_path())
             assert len(after) == len(before)
+            placed = sorted(docs.collect(), key=lambda r: r.position)
+            assert [r.doc_id for r in placed] == [doc for doc, _ in ordered]
+            assert len({r.position for r in placed}) == len(placed)
             for row in docs.collect():
                 assert np.frombuffer(row.ids, "<u4").tolist() == library.encode(text[row.doc_id], add_special_tokens=False).ids
                 assert row.decoded_sha256 == edge.sha(text[row.doc_id].encode())
