@@ -80,9 +80,12 @@ class Views:
     @cached_property
     def messages(self) -> DataFrame:
         """Events as JSON messages, laid down like a topic."""
-        return self._written(
-            "messages", adapters.MESSAGE_TABLE, lambda: adapters.message_view(self.table("events"))
-        )
+        def laid_down() -> DataFrame:
+            # A topic has partitions for all cores; one small file would be decoded by one of them.
+            rows, cores = adapters.message_view(self.table("events")), self.spark.sparkContext.defaultParallelism
+            return rows if len(rows.inputFiles()) >= cores else rows.repartition(cores)
+
+        return self._written("messages", adapters.MESSAGE_TABLE, laid_down)
 
     @cached_property
     def parsed(self) -> DataFrame:
