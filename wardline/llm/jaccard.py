@@ -438,14 +438,19 @@ def meetings(sets: DataFrame, block: int = BLOCK) -> DataFrame:
         "node", "part", size_class.alias("class"),
         F.explode(F.slice("tokens", F.lit(1), F.col("lead").cast("int"))).alias("token"),
     )
-    # First which shingles several parts have, then which of their meetings.
-    apart = lambda rows, *key: stored(
-        rows.groupBy(*key).agg(F.min("part").alias("a"), F.max("part").alias("b"), F.count("*").alias("n")).where("a <> b"),
-        "apart",
-    )
-    asked = asked.join(apart(asked, "token").select("token"), "token")
-    asked = asked.select("node", "part", "token", F.explode(F.array("class", F.col("class") + 1)).alias("class"))
+    # First which shingles several parts have, then which of their meetings.  Sets of the
+    # class below come to a meeting, but do not hold one among themselves again.
+    def apart(rows: DataFrame, *key: str) -> DataFrame:
+        found = rows.groupBy(*key).agg(
+            F.min("part").alias("a"), F.max("part").alias("b"), F.count("*").alias("n"), F.max("own").alias("held")
+        )
+        return stored(found.where("a <> b AND held"), "apart")
+
+    asked = asked.join(apart(asked.withColumn("own", F.lit(True)), "token").select("token"), "token")
+    places = [F.struct((F.col("class") + up).alias("class"), F.lit(up == 0).alias("own")) for up in (0, 1)]
+    asked = asked.select("node", "part", "token", F.explode(F.array(*places)).alias("place")).select("node", "part", "token", "place.*")
     met = apart(asked, "token", "class").select("token", "class", F.ceil(F.col("n") / block).alias("blocks"))
+    asked = asked.drop("own")
     placed = asked.join(met, ["token", "class"]).withColumn("own", F.pmod(F.xxhash64("node", "token"), F.col("blocks")))
     every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
     placed = placed.withColumn("other", F.explode(every))
