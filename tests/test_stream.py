@@ -14,7 +14,7 @@ from wardline.operators.shipped_rules import shipped_rules
 from wardline.schema import INCOMPLETE, RECORD_FIELDS, UNPARSEABLE, VERDICT_FIELDS
 from wardline.sources.messages import MESSAGE_SCHEMA, file_stream
 from wardline.streaming import job
-from wardline.streaming.progress import ProgressLog, caught_up_without_data, progress_table
+from wardline.streaming.progress import LOG_SCHEMA, ProgressLog, caught_up_without_data, progress_table
 from wardline.streaming.store import Store
 
 
@@ -163,6 +163,23 @@ def test_every_batch_and_source_is_logged(spark, live):
     assert own.agg(F.sum("records")).first()[0] == 121
 
 
+def test_reports_and_totals_outlive_the_query(spark, live):
+    """Two runs on one checkpoint; nobody asks the log for its table."""
+    for name in "ab":
+        deliver(live.source, name, [good(i) for i in range(20)] + BROKEN)
+        query = live.run()
+        spark._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        kept = spark.read.schema(LOG_SCHEMA).parquet(job.progress_folder(live.store))
+        assert kept.where(F.col("query_run") == str(query.runId)).agg(F.sum("records")).first()[0] == 26
+    assert kept.agg(F.sum("records")).first()[0] == 52
+    run = job.run_id_of(spark, live.checkpoint)
+    batches = live.store.batches(run)
+    assert batches.agg(F.sum("messages"), F.sum("valid")).first()[:] == (52, 40) and batches.where("batch_ms <= 0").count() == 0
+    log = job.BatchLog.resumed(live.store, run)
+    assert (log.unparseable + log.incomplete, log.idle) == (12, 0)
+    assert job.run_id_of(spark, live.checkpoint) == run
+
+
 def test_batch_log_has_totals_and_idle_notices(caplog):
     from wardline.streaming.job import BatchLog
     from wardline.streaming.store import BatchTotals

@@ -111,12 +111,13 @@ def start_detection(
     judged = evaluate(parse_messages(messages, store.record_schema, required), rules)
 
     log = BatchLog.resumed(store, run_id)
-    ProgressLog.attached(spark, progress_folder(store))
+    name = f"detection-{run_id}"
+    ProgressLog.attached(spark, progress_folder(store), name)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         log.note(batch_id, store.write_batch(batch, batch_id, run_id))
 
-    writer = judged.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    writer = judged.writeStream.queryName(name).foreachBatch(process).option("checkpointLocation", checkpoint)
     if trigger is None:
         writer = writer.trigger(availableNow=True)
     else:

@@ -39,30 +39,42 @@ class ProgressLog(StreamingQueryListener):
 
     Spark itself remembers only the last reports of a query.  Rows are held back
     until there are ``at_once`` of them, the oldest has waited ``seconds``, or the
-    query ends, so that a short trigger does not write a file per batch.
+    query ends, so that a short trigger does not write a file per batch.  A log with
+    ``names`` keeps the reports of queries of these names only, any other those of all.
     """
 
     _attached: ClassVar[dict[tuple[str, str], ProgressLog]] = {}
 
     def __init__(self, spark: SparkSession, folder: str, at_once: int = 1000, seconds: float = 30.0):
         self.spark, self.folder, self.at_once, self.seconds = spark, folder, at_once, seconds
+        self.names: set[str] = set()
+        self.over = False
+        self._active: set[str] = set()
         self._rows: list[tuple] = []
         self._since = time.monotonic()
         self._lock = Lock()
 
     @classmethod
-    def attached(cls, spark: SparkSession, folder: str) -> ProgressLog:
-        """The log of a folder, listening; one for all queries that report there."""
+    def attached(cls, spark: SparkSession, folder: str, name: str) -> ProgressLog:
+        """The log of a folder, listening to the query of a name; one for all queries that report there."""
         key = (spark.sparkContext.applicationId, folder)
+        for other in [k for k, log in cls._attached.items() if log.over and k != key]:
+            spark.streams.removeListener(cls._attached.pop(other))  # not from its own callback
+        log = cls._attached.get(key) or cls(spark, folder)
+        log.over = False
+        log.names.add(name)
         if key not in cls._attached:
-            cls._attached[key] = cls(spark, folder)
-            spark.streams.addListener(cls._attached[key])
-        return cls._attached[key]
+            cls._attached[key] = log
+            spark.streams.addListener(log)
+        return log
 
     def onQueryStarted(self, event: Any) -> None:
-        pass
+        if event.name in self.names:
+            self._active.add(str(event.runId))
 
     def onQueryProgress(self, event: Any) -> None:
+        if self.names and event.progress.name not in self.names:
+            return
         report = json.loads(event.progress.json)
         rows = [
             (
@@ -83,6 +95,9 @@ class ProgressLog(StreamingQueryListener):
     def onQueryTerminated(self, event: Any) -> None:
         if self._rows:
             self.flush()
+        if str(event.runId) in self._active:
+            self._active.discard(str(event.runId))
+            self.over = not self._active
 
     def flush(self) -> None:
         """Append what is held back to the table."""
@@ -92,7 +107,7 @@ class ProgressLog(StreamingQueryListener):
 
     def table(self) -> DataFrame:
         """All reports so far; waits for those that Spark has not delivered yet."""
-        self.spark._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        self.spark._jsc.sc().listenerBus().waitUntilEmpty(300_000)
         self.flush()
         return self.spark.read.schema(LOG_SCHEMA).parquet(self.folder)
 
