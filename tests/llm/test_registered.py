@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import html
 import re
 
 import compare
@@ -36,6 +37,23 @@ def test_native_operators_run_no_python(spark, data, name):
     assert not PYTHON.search(frame._jdf.queryExecution().executedPlan().toString())
 
 
+def written_truth(markup: str | None) -> str:
+    """Main text of a given page by eye: what its article holds, a line for each heading and paragraph."""
+    inside = re.search(r"<article>(.*)</article>", markup or "", re.S)
+    blocks = re.split(r"</?(?:h1|p)>", inside[1]) if inside else []
+    lines = [" ".join(html.unescape(re.sub(r"</?b>|<br>", "", b)).split()) for b in blocks]
+    return "\n".join(x for x in lines if x)
+
+
+def test_main_text_of_the_given_pages(spark):
+    folder = "/root/testdata/sf0.01"
+    markup = {r.page_id: r.html for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
+    found = QUERIES["op6_main_text"](spark, folder).collect()
+    assert len(found) == len(markup) == 250
+    assert [r.page_id for r in found if r.text != written_truth(markup[r.page_id])] == []
+    assert all(r.n_chars == len(r.text) for r in found)
+
+
 def test_pipeline_stage_by_stage(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     columns = docs.columns
