@@ -332,7 +332,7 @@ def main_text(model, source: str) -> str:
 PARAGRAPHS = [f"<p>This is paragraph {i}, with many words in it. It goes on, sentence by sentence, {'and on, and on. ' * 20}</p>" for i in range(8)]
 
 
-@pytest.mark.parametrize("name", ["related-work", "social-history", "privacy", "tags", "respond", "no-sidebar"])
+@pytest.mark.parametrize("name", ["related-work", "social-history", "privacy", "tags", "respond", "no-sidebar", "comment-analysis", "ad-hoc", "modal-logic"])
 def test_words_of_attributes_do_not_drop_article_text(page_trees, name):
     lost = f"<section class='{name}'>{''.join(PARAGRAPHS[4:])}</section>"
     around = "<html><body><nav><a href=/>Home</a></nav><div class='ad'>Buy this.</div><article><h1>Head</h1>{}{}</article><footer>Foot</footer>"
@@ -342,6 +342,26 @@ def test_words_of_attributes_do_not_drop_article_text(page_trees, name):
     assert "headline" in main_text(page_trees, around.format(header, "".join(PARAGRAPHS)))
 
 
+@pytest.mark.parametrize("name", ["comments", "comment-list", "ad", "sidebar-left", "cookie-notice", "newsletter-signup", "comment-analysis"])
+def test_words_of_attributes_drop_what_stands_aside(page_trees, name):
+    box = f"<div class='{name}'>{'<p>Reader says this, and that. A nice one.</p>' * 3}</div>"
+    page = "<html><body><nav><a href=/>Home</a></nav><article><h1>Head</h1>{}{}</article>{}<footer>Foot</footer>"
+    kept = all_text(f"<h1>Head</h1>{''.join(PARAGRAPHS)}")
+    assert main_text(page_trees, page.format("".join(PARAGRAPHS), "", box)) == kept
+    if name != "comment-analysis":  # inside an article that may be part of it
+        assert main_text(page_trees, page.format("".join(PARAGRAPHS), box, "")) == kept
+
+
+def test_words_are_a_prior_that_scores_can_overrule():
+    page = pages.Page(f"<article><h1>Head</h1><div class='comments'>{PARAGRAPHS[0]}</div>{PARAGRAPHS[1]}<nav>Home</nav></article>")
+    text = page.text(pages.choose(page, np.full(len(page.parent), 5.0)))
+    assert "paragraph 0" in text and "Home" not in text
+    by = dict(zip(page.names, page.by_words, strict=True))
+    assert by["div"] == 2 and by["nav"] == by["h1"] == 0
+    assert pages.Page("<article>a</article><p class='comment-analysis'>b</p>").by_words[-1] == 2
+    assert pages.Page("<article>a<p class='comment-analysis'>b</p></article>").by_words[-1] == 1
+
+
 def all_text(source: str) -> str:
     page = pages.Page(source)
     return page.text(np.ones(len(page.parent), dtype=bool))

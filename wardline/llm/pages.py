@@ -5,7 +5,10 @@ its subtree holds per tag and how much of that stands in links, what its and its
 ancestors' attributes say, its depth, its place among its siblings.  Gradient
 boosted trees turn them into a score for belonging to the article.  Pages that
 mark their article teach the trees; half of the teaching rows have the marks
-hidden, so that unmarked pages are told by the rest.  The choice over a page is
+hidden, so that unmarked pages are told by the rest.  Tags that never hold the
+article (nav, form and the like) set aside for good; words of attributes are a
+prior, high for names made of certain words only and outside a marked article,
+that the trees can overrule.  The choice over a page is
 made for the whole tree at once: an element can only be kept in a kept parent,
 and the choice with the highest total is taken.
 
@@ -37,8 +40,9 @@ SAMPLE_PAGES, SAMPLE_NODES = 1500, 60_000
 #: Trees, their depth, shrinkage, penalty, and bins per feature.
 TREES, DEPTH, RATE, PENALTY, BINS = 40, 4, 0.2, 1.0, 32
 
-#: Share of a page's text that attribute words alone cannot set aside; highest score of what is marked as aside beyond doubt.
-WRAPPER, SET_ASIDE = 0.6, -3.0
+#: Share of a page's text that attribute words alone cannot set aside; highest score of what tags mark as aside;
+#: log odds that a certain word takes off besides what any word does.
+WRAPPER, SET_ASIDE, CERTAIN = 0.6, -3.0, 9.0
 
 # Elements by what HTML makes of them ...
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -70,6 +74,11 @@ DOUBTFUL = set(
     "search share sharing social tags widget".split()
 )
 CERTAIN_WORDS = ASIDE_WORDS - DOUBTFUL
+#: Words that say where or how something stands, not what it is: a certain word beside these and its like stays certain.
+PLACING = set(
+    "area block body bottom box center col column container content group inner item items left line link links list "
+    "main outer panel primary right row secondary section side site slot text thread top unit wrap wrapper".split()
+)
 TURNING = set("no non without has with".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>?", re.S)
@@ -96,18 +105,21 @@ class Page:
         self.own, self.links, self.marks = [0], [0], [0]
         self.runs: list[tuple[int, int, str]] = []
         self._block = 0
-        #: Whether only doubtful words set an element aside, whether it is inside an article's tag, whether it is aside
-        #: beyond doubt; and whether its own words are.
-        self.by_words, self.in_main, self.barred, self.certain = [False], [False], [False], [False]
+        #: Whether words set an element aside and no tag does (1 doubtful, 2 certain ones, or any outside a marked article),
+        #: whether it is inside an article's tag, whether a tag sets it aside; and whether its own words are certain.
+        self.by_words, self.in_main, self.barred, self.certain = [0], [False], [False], [False]
         self._read(source)
         self._settle()
 
     def _open(self, name: str, attributes: str, stack: list[int]) -> int:
         above, node = stack[-1], len(self.parent)
-        words = set()
+        words, certain = set(), False
         for m in _ATTRIBUTE.finditer(attributes):
-            found = [w.lower() for w in _WORD.findall(m[2] or m[3] or m[4] or "")]
-            words.update(w for before, w in zip(["", *found], found, strict=False) if before not in TURNING)
+            for name_given in (m[2] or m[3] or m[4] or "").split():
+                found = [w.lower() for w in _WORD.findall(name_given)]
+                told = {w for before, w in zip(["", *found], found, strict=False) if before not in TURNING}
+                words |= told
+                certain |= not CERTAIN_WORDS.isdisjoint(told) and told <= ASIDE_WORDS | PLACING
         kind = (name in MAIN) - (name in ASIDE) * 2
         if words and not kind:
             kind = -1 if not ASIDE_WORDS.isdisjoint(words) else (1 if not MAIN_WORDS.isdisjoint(words) else 0)
@@ -116,7 +128,7 @@ class Page:
         self.depth.append(len(stack))
         self.names.append(name)
         self.kind.append(kind)
-        self.certain.append(not CERTAIN_WORDS.isdisjoint(words))
+        self.certain.append(certain)
         self.inside.append(0)
         self.sibling.append(self.children[above])
         self.children[above] += 1
@@ -199,9 +211,12 @@ class Page:
             kind = self.kind[node]
             self.inside[node] = -1 if kind < 0 or above < 0 else max(above, kind)
             up = self.parent[node]
-            self.barred.append(kind == -2 or (kind == -1 and self.certain[node]) or self.barred[up])
-            self.by_words.append(self.inside[node] < 0 and not self.barred[node])
+            self.barred.append(kind == -2 or self.barred[up])
+            told = (1 + self.certain[node]) * (kind == -1)
+            self.by_words.append(0 if self.barred[node] else max(told, self.by_words[up]))
             self.in_main.append(self.names[node] in MAIN or self.in_main[up])
+        if any(self.in_main):
+            self.by_words = [b if m or not b else 2 for b, m in zip(self.by_words, self.in_main, strict=True)]
 
     def text(self, kept: np.ndarray) -> str:
         """The kept elements' text: white space as one space, blocks as lines."""
@@ -299,7 +314,7 @@ class Trees:
 def choose(page: Page, margin: np.ndarray) -> np.ndarray:
     """The best choice over the tree in which every kept element has a kept parent.
 
-    What tags or certain words mark as standing aside is not scored above ``SET_ASIDE``.
+    What tags mark as standing aside is not scored above ``SET_ASIDE``.
     """
     n = len(page.parent)
     margin = np.where(np.array(page.barred), np.minimum(margin, SET_ASIDE), margin)
@@ -317,10 +332,10 @@ def choose(page: Page, margin: np.ndarray) -> np.ndarray:
 
 
 def scores(model: Trees, x: np.ndarray, by_words: np.ndarray) -> np.ndarray:
-    """Log odds of elements; where only doubtful words set aside they are a prior, and the trees judge by the rest."""
+    """Log odds of elements; where words set aside they are a prior, and the trees judge by the rest."""
     seen = x.copy()
-    seen[np.ix_(by_words, MARKED)] = 0
-    return model.margin(seen, prior(x))
+    seen[np.ix_(by_words > 0, MARKED)] = 0
+    return model.margin(seen, prior(x) - CERTAIN * (by_words == 2))
 
 
 def _taught(page: Page) -> tuple[np.ndarray, np.ndarray] | None:
@@ -338,7 +353,7 @@ def _taught(page: Page) -> tuple[np.ndarray, np.ndarray] | None:
         up = page.parent[marked[0]]
         while up >= 0:
             inside[up], up = True, page.parent[up]
-    return inside, ~(np.array(page.by_words) & np.array(page.in_main))
+    return inside, ~((np.array(page.by_words) == 1) & np.array(page.in_main))
 
 
 def train(pages: DataFrame, column: str = "html") -> Trees:
