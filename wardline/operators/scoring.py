@@ -228,7 +228,9 @@ def label_metrics(det: DataFrame, counts: DataFrame) -> DataFrame:
 
     Recall asks whether any rule fired on the class, precision whether claims
     of the class were right; normal rows count against the class they were
-    claimed for.  Classes neither stored nor claimed are left out.
+    claimed for.  Classes neither stored nor claimed are left out.  A stored
+    row whose label looks reserved is a class like any other; its traffic counts
+    as malformed, so its support is what is stored, and ``integrity`` reports it.
     """
     tally = _own_tallies()
     columns = {
