@@ -49,6 +49,10 @@ from wardline.streaming.windows import closed_windows, closing_alerts, horizon,
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: Messages laid down in one file, unless there are fewer files than cores.
+LAID_DOWN_ROWS = 100_000
+
+
 class Views:
     """The given tables as the views the operators work on."""
 
@@ -81,9 +85,12 @@ class Views:
     def messages(self) -> DataFrame:
         """Events as JSON messages, laid down like a topic."""
         def laid_down() -> DataFrame:
-            # A topic has partitions for all cores; one small file would be decoded by one of them.
-            rows, cores = adapters.message_view(self.table("events")), self.spark.sparkContext.defaultParallelism
-            return rows if len(rows.inputFiles()) >= cores else rows.repartition(cores)
+            # A topic has partitions for all cores; one file would be written and decoded by one of them.
+            # The narrow events are dealt out, not the wide messages, so that all cores build messages too.
+            events, cores = self.table("events"), self.spark.sparkContext.defaultParallelism
+            if len(events.inputFiles()) < cores:
+                events = events.repartition(max(cores, -(-events.count() // LAID_DOWN_ROWS)))
+            return adapters.message_view(events)
 
         return self._written("messages", adapters.MESSAGE_TABLE, laid_down)
 
