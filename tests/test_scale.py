@@ -27,3 +27,22 @@ def test_all_cores_build_messages_and_only_events_are_dealt_out(spark, monkeypat
     assert len(files) == spark.sparkContext.defaultParallelism
     assert all(".zstd." in name for name in files)
     assert views.messages.count() == views.table("events").count()
+
+
+def test_a_batch_reads_its_messages_once_and_caches_quiet_rows_as_a_word(spark, monkeypatch, tmp_path):
+    views, kept = catalog.Views(spark, DATA), []
+    monkeypatch.setattr(
+        "wardline.streaming.store.rollups.alert_parts",
+        lambda rows, make=catalog.rollups.alert_parts: kept.append(rows._jdf.queryExecution().optimizedPlan().toString()) or make(rows),
+    )
+    store, read = catalog.Store(spark, str(tmp_path / "store")), spark.sparkContext.accumulator(0)
+
+    def counting(value):
+        read.add(1)
+        return value
+
+    once = F.udf(counting)
+    rows = views.judged.drop("event_id", "batch_id", "processed_at").withColumn("flag", once("flag"))
+    store.write_batch(rows, 0)
+    assert read.value == 1000
+    assert "InMemoryRelation [_count_label" in kept[0]

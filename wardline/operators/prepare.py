@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -16,10 +18,30 @@ from wardline.schema import (
 )
 
 
+def _is_worth_storing(columns: Sequence[str]) -> Column:
+    kept = is_attack() | F.col("is_detection")
+    return kept & (F.col(STATUS_COLUMN) == VALID) if STATUS_COLUMN in columns else kept
+
+
 def worth_storing(df: DataFrame) -> DataFrame:
     """Real attacks and flagged rows; quiet normal traffic is only counted."""
-    kept = df.where(is_attack() | F.col("is_detection"))
-    return kept.where(F.col(STATUS_COLUMN) == VALID) if STATUS_COLUMN in df.columns else kept
+    return df.where(_is_worth_storing(df.columns))
+
+
+def _counted_as(columns: Sequence[str]) -> str:
+    return COUNT_LABEL_COLUMN if COUNT_LABEL_COLUMN in columns else "label"
+
+
+def narrowed(df: DataFrame) -> DataFrame:
+    """What the stored tables need of evaluated rows: the label each counts under, and ``kept``,
+    the whole row if it is worth storing."""
+    whole = F.struct(*[F.col(f"`{name}`") for name in df.columns])
+    return df.select(_counted_as(df.columns), F.when(_is_worth_storing(df.columns), whole).alias("kept"))
+
+
+def kept_rows(narrow: DataFrame) -> DataFrame:
+    """The rows that ``narrowed`` has kept."""
+    return narrow.where("kept IS NOT NULL").select("kept.*")
 
 
 def latency_seconds(processed_at: Column, epoch_seconds: str = "timestamp") -> Column:
@@ -57,12 +79,11 @@ def sort_for_storage(df: DataFrame) -> DataFrame:
 
 def traffic_counts(df: DataFrame, batch_id: Column, batch_time: Column) -> DataFrame:
     """One row per batch and label, malformed rows under their reserved label."""
-    counted = COUNT_LABEL_COLUMN if COUNT_LABEL_COLUMN in df.columns else "label"
     return (
         df.groupBy(
             batch_id.cast("bigint").alias("batch_id"),
             batch_time.alias("batch_time"),
-            F.col(counted).alias("label"),
+            F.col(_counted_as(df.columns)).alias("label"),
         )
         .agg(F.count(F.lit(1)).alias("record_count"))
     )

@@ -32,7 +32,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from wardline.functions.expressions import total
 from wardline.operators import rollups
-from wardline.operators.prepare import detections, sort_for_storage, traffic_counts
+from wardline.operators.prepare import detections, kept_rows, narrowed, sort_for_storage, traffic_counts
 from wardline.schema import (
     ALERT_PARTS_SCHEMA,
     BATCHES_SCHEMA,
@@ -340,10 +340,12 @@ class Store:
     ) -> BatchTotals:
         """Store one evaluated micro-batch.
 
-        All tables are fed, at the same time, from one cached evaluation that may spill
-        to disk; a bulk load too large for that is better evaluated once per table
-        (``cached=False``).  One clock value stamps the whole batch.  Nothing but sums and
-        ranges, taken while the tables are written, returns to the driver.
+        All tables are fed from one cached evaluation that may spill to disk, and that holds
+        a word per quiet row and whole rows of detections only.  The counts are written
+        first: they read each message once, whatever executor has it, while jobs at the same
+        time would have several of them evaluate the same rows.  ``cached=False`` evaluates
+        once per table.  One clock value stamps the whole batch.  Nothing but sums and ranges,
+        taken while the tables are written, returns to the driver.
         """
         began = time.monotonic()
         clock = now or datetime.now(timezone.utc)
@@ -369,22 +371,18 @@ class Store:
             total(F.when(F.col("label") == INCOMPLETE, n)).alias("incomplete"),
             total(n).alias("messages"),
         ]
-        if cached:
-            evaluated.persist(StorageLevel.MEMORY_AND_DISK)
-        kept = detections(evaluated, tag, stamp, self.record_schema)
-        jobs = {
-            "detections": (kept, ()),
-            "traffic_counts": (traffic_counts(evaluated, tag, stamp), sums),
-            "alert_parts": (rollups.alert_parts(kept), ()),
-        }
+        rows = narrowed(evaluated).persist(StorageLevel.MEMORY_AND_DISK) if cached else evaluated
+        kept = detections(kept_rows(rows) if cached else rows, tag, stamp, self.record_schema)
+        jobs = {"detections": kept, "alert_parts": rollups.alert_parts(kept)}
         try:
+            found = {"traffic_counts": written("traffic_counts", traffic_counts(rows, tag, stamp), sums)}
             with ThreadPoolExecutor(len(jobs)) as pool:
                 start = inheritable_thread_target(self.spark)(written)
-                running = {table: pool.submit(start, table, *job) for table, job in jobs.items()}
-                found = {table: job.result() for table, job in running.items()}
+                running = {table: pool.submit(start, table, job) for table, job in jobs.items()}
+                found |= {table: job.result() for table, job in running.items()}
         finally:
             if cached:
-                evaluated.unpersist()
+                rows.unpersist()
         seen = found["traffic_counts"]
         broken = seen["unparseable"] + seen["incomplete"]
         totals = BatchTotals(seen["messages"] - broken, seen["unparseable"], seen["incomplete"])
