@@ -7,6 +7,7 @@ The callables only bind operators to the given tables and fix the presentation
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import date, datetime, timezone
 from functools import cached_property
 
@@ -427,29 +428,64 @@ def report_export(v: Views) -> DataFrame:
     return out.where("value IS NOT NULL")
 
 
-#: Bounds of a micro-batch of the stream queries: files, and messages in a file.
+#: Least bounds of a micro-batch of the stream queries: files, and messages in a file.
 BATCH_FILES, FILE_MESSAGES = 4, 2500
 
+#: A long backlog is caught up in about so many micro-batches, each with at most so many messages a core.
+CATCH_UP_BATCHES, CORE_MESSAGES = 20, 250_000
+
+
+@dataclass(frozen=True)
+class Bounds:
+    """Of a micro-batch: files, and messages in a file."""
+
+    files: int
+    messages: int
+
+    @property
+    def ceiling(self) -> int:
+        return self.files * self.messages
+
+
+def batch_bounds(backlog: int, cores: int) -> Bounds:
+    """What a micro-batch takes of a backlog; a batch costs a second or more, whatever it holds.
+
+    A gzip file is read by one core, so a larger batch has a file for each.
+    """
+    least = BATCH_FILES * FILE_MESSAGES
+    batch = min(backlog // CATCH_UP_BATCHES, cores * CORE_MESSAGES)
+    if batch <= least:
+        return Bounds(BATCH_FILES, FILE_MESSAGES)
+    files = max(BATCH_FILES, cores)
+    return Bounds(files, -(-batch // files))
+
+
+def _bounds(v: Views) -> Bounds:
+    return batch_bounds(v.messages.count(), v.spark.sparkContext.defaultParallelism)
+
 
 def _live(v: Views) -> tuple[str, Store, str]:
     root = shared_dir(v.spark, "live")
     return f"{root}/in", Store(v.spark, f"{root}/store"), f"{root}/checkpoint"
 
 
-def _deliver(messages: DataFrame, source: str) -> None:
+def _deliver(messages: DataFrame, source: str, bounds: Bounds) -> None:
     """Leave messages as text files of bounded length."""
     writer = messages.select("value").write.mode("append").option("compression", "gzip")
-    writer.option("maxRecordsPerFile", FILE_MESSAGES).text(source)
+    writer.option("maxRecordsPerFile", bounds.messages).text(source)
 
 
-def _drain(v: Views, source: str, store: Store, checkpoint: str) -> StreamingQuery:
+def _drain(v: Views, source: str, store: Store, checkpoint: str, bounds: Bounds) -> StreamingQuery:
     """Stream what is new in the source, in micro-batches of bounded size."""
-    return run_available(file_stream(v.spark, source, max_files=BATCH_FILES), shipped_rules(), store, checkpoint)
+    return run_available(file_stream(v.spark, source, max_files=bounds.files), shipped_rules(), store, checkpoint)
 
 
-def _deliver_and_drain(v: Views, messages: DataFrame, source: str, store: Store, checkpoint: str) -> StreamingQuery:
-    _deliver(messages, source)
-    return _drain(v, source, store, checkpoint)
+def _deliver_and_drain(
+    v: Views, messages: DataFrame, source: str, store: Store, checkpoint: str, bounds: Bounds | None = None
+) -> StreamingQuery:
+    bounds = bounds or _bounds(v)
+    _deliver(messages, source, bounds)
+    return _drain(v, source, store, checkpoint, bounds)
 
 
 def stream_ingest(v: Views) -> DataFrame:
@@ -477,23 +513,27 @@ def stream_resume(v: Views) -> DataFrame:
 
 
 def stream_progress(v: Views) -> DataFrame:
-    """Per run of a stream what its batches read; the second run finds nothing new."""
+    """Per run of a stream what its batches read; the second run finds nothing new.
+
+    Spark's reports say which run a batch belongs to.  Their row counts add up what tasks read,
+    and so count twice what is evaluated twice; the store's own totals of the batch do not.
+    """
     source, store, checkpoint = _live(v)
-    _deliver(v.messages, source)
+    bounds = _bounds(v)
+    _deliver(v.messages, source, bounds)
     log = ProgressLog(v.spark, f"{checkpoint}-progress")
     v.spark.streams.addListener(log)
     try:
-        runs = [str(_drain(v, source, store, checkpoint).runId) for _ in range(2)]
+        runs = [str(_drain(v, source, store, checkpoint, bounds).runId) for _ in range(2)]
         reports = log.table()
     finally:
         v.spark.streams.removeListener(log)
-    ceiling = F.lit(BATCH_FILES * FILE_MESSAGES)
     numbered = F.create_map(*[F.lit(x) for i, run in enumerate(runs) for x in (run, i + 1)])
     started = v.spark.createDataFrame([(i + 1,) for i in range(len(runs))], "run int")
-    read = reports.groupBy(F.element_at(numbered, F.col("query_run")).alias("run")).agg(
-        F.sum("records").alias("records"),
-        F.count_if(F.col("batch_records") > ceiling).alias("over_ceiling"),
-        F.count_distinct("source").alias("sources"),
+    batches = reports.select(F.element_at(numbered, F.col("query_run")).alias("run"), "batch_id").distinct()
+    read = batches.join(store.batches(run_id_of(v.spark, checkpoint)), "batch_id").groupBy("run").agg(
+        F.sum("messages").alias("records"),
+        F.count_if(F.col("messages") > bounds.ceiling).alias("over_ceiling"),
     )
     return started.join(read, "run", "left").select(
         "run",
@@ -506,7 +546,8 @@ def stream_progress(v: Views) -> DataFrame:
 def stream_batches(v: Views) -> DataFrame:
     """What a stream's batches left in the store's own table of them, and a line through their cost."""
     source, store, checkpoint = _live(v)
-    _deliver_and_drain(v, v.messages, source, store, checkpoint)
+    bounds = _bounds(v)
+    _deliver_and_drain(v, v.messages, source, store, checkpoint, bounds)
     batches = store.batches(run_id_of(v.spark, checkpoint))
     cost = monitoring.batch_cost_fit(batches.select(F.col("messages").alias("records"), "batch_ms"))
     sums = batches.agg(*[F.sum(c).alias(c) for c in ("messages", "valid", "unparseable", "incomplete")])
@@ -514,7 +555,7 @@ def stream_batches(v: Views) -> DataFrame:
     fitted = one_row(sums, one_row(cost, more))
     return fitted.select(
         "messages", "valid", "unparseable", "incomplete",
-        (F.col("batches") >= F.ceil(F.col("messages") / F.lit(BATCH_FILES * FILE_MESSAGES))).alias("batches_bounded"),
+        (F.col("batches") >= F.ceil(F.col("messages") / F.lit(bounds.ceiling))).alias("batches_bounded"),
         ((F.col("kinds") < 2) | F.col("ms_per_record").isNotNull()).alias("cost_known"),
     )
 
