@@ -129,3 +129,22 @@ def test_no_vectors_give_no_rows(odd):
     _, table = odd
     assert topk.exact_top_k(table.limit(0), QUERY, 3).count() == 0
     assert ann.nearest(table.limit(0), QUERY, 3).count() == 0
+
+
+def test_top_k_sends_no_copies_of_queries_through_the_driver(spark, monkeypatch):
+    """Blocks of 164 kB in all visit 40 shards: as a broadcast they would be 6.5 MB, from files far below Spark's threshold."""
+    monkeypatch.setattr(topk, "SHARD", 16)
+    monkeypatch.setattr(topk, "QUERIES", 128)
+    rng = np.random.default_rng(7)
+    whole = rng.integers(-64, 65, size=(640, 64))
+    table = spark.createDataFrame([(i, (v / 64).tolist()) for i, v in enumerate(whole)], "vec_id long, embedding array<double>")
+    scores = whole @ whole.T
+    np.fill_diagonal(scores, -(1 << 40))
+    expected = {q: [(int(v), int(scores[q, v])) for v in np.lexsort((np.arange(640), -scores[q]))[:5]] for q in range(0, 640, 2)}
+    for name, value in {"spark.sql.autoBroadcastJoinThreshold": "10m", "spark.sql.maxBroadcastTableSize": "4m"}.items():
+        spark.conf.set(name, value)
+    try:
+        assert grouped(topk.exact_top_k(table, "vec_id % 2 = 0", 5)) == expected
+    finally:
+        for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.maxBroadcastTableSize"):
+            spark.conf.unset(name)
