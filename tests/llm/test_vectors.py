@@ -148,3 +148,17 @@ def test_top_k_sends_no_copies_of_queries_through_the_driver(spark, monkeypatch)
     finally:
         for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.maxBroadcastTableSize"):
             spark.conf.unset(name)
+
+
+def test_packed_rows_reach_workers_few_at_once(spark):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting, None)
+    seen = topk._stored(spark.range(0, 100, 1, 1).mapInArrow(sizes, "n long"), "sizes").collect()
+    assert sum(r.n for r in seen) == 100 and max(r.n for r in seen) <= topk.ROWS_AT_ONCE
+    assert spark.conf.get(setting, None) == before
